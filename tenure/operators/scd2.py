@@ -61,7 +61,7 @@ def scd2_staged(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     merge_key = (
         F.col(keys[0]).cast("string") if len(keys) == 1
-        else F.to_json(F.struct(*[F.col(k).cast("string") for k in keys]))
+        else F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in keys]))
     )
     no_key = F.lit(None).cast("string")
     copies = F.when(F.col(f"tgt_{keys[0]}").isNotNull(), F.array(merge_key, no_key)).otherwise(

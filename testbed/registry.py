@@ -224,11 +224,11 @@ def conditional_update_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _early_subscriptions(spark: SparkSession, sf: str) -> DataFrame:
-    return scd2_initial(d.current_subscriptions(_orders(spark, sf), "1996-06-30"), "1996-07-01 00:00:00")
+    return scd2_initial(d.current_subscriptions(_orders(spark, sf), "1997-12-31"), "1998-01-01 00:00:00")
 
 
 def _subscription_changes(spark: SparkSession, sf: str) -> DataFrame:
-    source = d.current_subscriptions(_orders(spark, sf), "1998-12-31")
+    source = d.current_subscriptions(_orders(spark, sf), d.AS_OF)
     return scd2_changes(
         source, _early_subscriptions(spark, sf), dimensions.SUBSCRIPTION_KEY, dimensions.SUBSCRIPTION_TRACKED
     )
@@ -259,7 +259,7 @@ def scd2_merge_subscriptions_q(spark: SparkSession, sf: str) -> DataFrame:
     """Two loads on top of a first one, so that history from before takes part."""
     orders = _orders(spark, sf)
     dimension = _early_subscriptions(spark, sf)
-    for cut, as_of in (("1998-12-31", "1999-01-01 00:00:00"), ("1999-12-31", "2000-01-01 00:00:00")):
+    for cut, as_of in (("1999-12-31", "2000-01-01 00:00:00"), (d.AS_OF, LOAD_TS)):
         dimension = dimensions.merge_subscriptions(dimension, d.current_subscriptions(orders, cut), as_of)
     return dimension
 

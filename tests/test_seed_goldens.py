@@ -1,0 +1,117 @@
+"""Known answers for a seed script of INSERT rows, whose path is given in TENURE_SEED_SQL.
+
+The script is read as text only. Expected numbers are those of FIXTURES.md.
+"""
+
+import os
+import re
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tenure.contracts import CUSTOMERS, INVOICES, PLANS, SUBSCRIPTIONS, conform
+from tenure.functions.countries import assigned_country_codes
+from tenure.operators.checks import fk_orphans, pk_duplicates
+from tenure.operators.spine import rejected_windows
+from tenure.plans import silver
+from tenure.plans.cohorts import cohort_sizes, customer_cohorts, retention_cohorts, retention_from_fact
+from tenure.plans.fact import date_spine, fact_daily
+from tenure.plans.kpi import kpi_daily, kpi_daily_changepoints
+
+SEED = os.environ.get("TENURE_SEED_SQL")
+pytestmark = pytest.mark.skipif(not SEED, reason="TENURE_SEED_SQL names no seed script")
+
+AS_OF = "2025-08-24"
+BUSINESS = {"valid_from": "sub_start_date", "valid_to": "sub_end_date"}
+
+
+@pytest.fixture(scope="module")
+def seed(spark):
+    text = open(SEED).read()
+    tables = {}
+    contracts = {"customers": CUSTOMERS, "plans": PLANS, "subscriptions": SUBSCRIPTIONS, "invoices": INVOICES}
+    for name, contract in contracts.items():
+        head, body = re.search(rf"INSERT INTO \w+\.{name}\(([^)]*)\) VALUES\n(.*?);", text, re.S).groups()
+        columns = head.split(",")
+        found = []
+        for line in body.splitlines():
+            values = [v if v != "NULL" else None for v in line.strip().strip(",").strip("()").split(",")]
+            found.append(tuple(v.strip("'") if v else None for v in values))
+        raw = spark.createDataFrame(found, ", ".join(f"{c} string" for c in columns))
+        tables[name] = conform(raw, contract.schema)
+    return tables
+
+
+@pytest.fixture(scope="module")
+def clean(spark, seed):
+    return {
+        "customers": silver.clean_customers(seed["customers"], assigned_country_codes(spark)),
+        "subscriptions": silver.clean_subscriptions(seed["subscriptions"]),
+        "invoices": silver.clean_invoices(seed["invoices"]),
+        "plans": silver.clean_plans(seed["plans"]),
+    }
+
+
+def counts(df, *by):
+    return {tuple(r)[0] if len(by) == 1 else tuple(r)[:-1]: r["count"] for r in df.groupBy(*by).count().collect()}
+
+
+def test_rows_and_rules(seed, clean):
+    assert [seed[t].count() for t in ("plans", "customers", "subscriptions", "invoices")] == [3, 50, 50, 84]
+    assert [clean[t].count() for t in ("plans", "customers", "subscriptions", "invoices")] == [3, 50, 50, 84]
+    assert counts(seed["subscriptions"], "status") == {"active": 24, "trialing": 11, "canceled": 8, "paused": 7}
+    assert counts(clean["customers"], "country") == {"IN": 12, "GB": 11, "US": 11, "AU": 9, "DE": 7}
+    assert counts(clean["invoices"], "paid") == {True: 66, False: 18}
+    for t, key in (("customers", "customer_id"), ("subscriptions", "subscription_id"), ("invoices", "invoice_id")):
+        assert pk_duplicates(seed[t], [key]).count() == 0
+    for c, parent, key in INVOICES.references + SUBSCRIPTIONS.references:
+        child = seed["invoices"] if c == "subscription_id" else seed["subscriptions"]
+        assert fk_orphans(child, c, seed[parent], key).count() == 0
+
+
+def test_spine(clean):
+    subs = clean["subscriptions"]
+    assert rejected_windows(subs, **BUSINESS).count() == 3
+    assert date_spine(subs, AS_OF, end_rule="inclusive", **BUSINESS).count() == 2771
+    assert date_spine(subs, AS_OF, **BUSINESS).count() == 2766
+
+
+def test_kpis(clean):
+    expected = {
+        date(2025, 5, 31): (Decimal(315), 5), date(2025, 6, 30): (Decimal(947), 13),
+        date(2025, 7, 31): (Decimal(1399), 21), date(2025, 8, 24): (Decimal(1536), 24),
+    }
+    daily = kpi_daily(fact_daily(clean["subscriptions"], clean["plans"], AS_OF, for_kpi=True, **BUSINESS))
+    changes = kpi_daily_changepoints(clean["subscriptions"], clean["plans"], AS_OF, **BUSINESS)
+    for out in (daily, changes):
+        got = {r.dt: r for r in out.collect()}
+        assert {d: (got[d].mrr, got[d].active_customers) for d in expected} == expected
+        assert (got[date(2025, 8, 24)].arr, got[date(2025, 8, 24)].arpu) == (Decimal(18432), Decimal(64))
+    assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, changes.collect()))
+
+
+def test_cohorts_and_retention(clean):
+    sizes = {r.cohort_month.month: r.cohort_size for r in cohort_sizes(customer_cohorts(clean["customers"])).collect()}
+    assert sizes == {3: 9, 4: 4, 5: 10, 6: 10, 7: 13, 8: 4}
+    retained = {
+        (3, "W1"): 0, (3, "M1"): 0, (3, "M3"): 2, (4, "W1"): 0, (4, "M1"): 0, (4, "M3"): 0,
+        (5, "W1"): 0, (5, "M1"): 1, (5, "M3"): 5, (6, "W1"): 2, (6, "M1"): 2,
+        (7, "W1"): 3, (7, "M1"): 4, (8, "W1"): 2,
+    }
+    facts = fact_daily(clean["subscriptions"], clean["plans"], AS_OF, **BUSINESS)
+    for out in (
+        retention_cohorts(clean["customers"], clean["subscriptions"], AS_OF, **BUSINESS),
+        retention_from_fact(clean["customers"], facts, AS_OF),
+    ):
+        got = {(r.cohort_month.month, r.period_name): r.retained_users for r in out.collect()}
+        assert got == retained
+
+
+def test_load_time_mode_sees_nothing_before_the_load(clean):
+    loaded = clean["subscriptions"].withColumns({
+        "start_date": F.lit(datetime(2025, 8, 24)), "end_date": F.lit(None).cast("timestamp"),
+    })
+    out = kpi_daily(fact_daily(loaded, clean["plans"], AS_OF, for_kpi=True)).collect()
+    assert [(r.dt, r.mrr, r.new_mrr) for r in out] == [(date(2025, 8, 24), Decimal(1536), Decimal(1536))]

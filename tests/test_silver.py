@@ -1,0 +1,153 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+from tenure.functions.countries import assigned_country_codes
+from tenure.operators.dedup import latest_by
+from tenure.plans import silver
+from tenure.plans.bronze import bronze, bronze_events
+from tests.conftest import day, money, plan_text, rows, ts
+
+HASH = "ab" * 32
+
+
+def test_assigned_codes(spark):
+    codes = assigned_country_codes(spark)
+    assert len(codes) == 249
+    assert {"AD", "GB", "IN", "SS", "ZW"} <= codes and not {"UK", "XX", "AN", "EU"} & codes
+
+
+def test_latest_by_is_total(frame):
+    df = frame(
+        [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", None, "p"), ("b", 1, None), ("c", None, None)],
+        "k string, at int, v string",
+    )
+    assert rows(latest_by(df, ["k"], ["at"])) == [("a", 2, "z"), ("b", 1, None), ("c", None, None)]
+
+
+def test_latest_by_reduces_before_the_shuffle(frame):
+    df = frame([("a", 1, "x")], "k string, at int, v string")
+    plan = plan_text(latest_by(df, ["k"], ["at"]))
+    exchange = plan.index("Exchange hashpartitioning")
+    assert "Partial" in plan[exchange:], "expected a WindowGroupLimit below the exchange"
+
+
+def test_customers(frame, spark):
+    raw = frame(
+        [
+            ("ok", HASH, "IN", ts("2025-01-01"), ts("2025-02-01")),
+            ("lower", HASH, "gb", ts("2025-01-01"), ts("2025-02-01")),
+            ("email", "jo.doe+x@mail.example.com", "IN", None, ts("2025-02-01")),
+            ("nohash", None, "IN", None, ts("2025-02-01")),
+            ("unknown", HASH, "XX", None, ts("2025-02-01")),
+            ("nocountry", HASH, None, None, ts("2025-02-01")),
+            ("dup", HASH, "US", None, ts("2025-02-01")),
+            ("dup", HASH, "DE", None, ts("2025-03-01")),
+            ("tie", HASH, "AU", None, ts("2025-02-01")),
+            ("tie", HASH, "US", None, ts("2025-02-01")),
+            # The newest row decides, even when it is the invalid one.
+            ("turned", HASH, "US", None, ts("2025-02-01")),
+            ("turned", HASH, "XX", None, ts("2025-03-01")),
+        ],
+        "customer_id string, email_hash string, country string, created_at timestamp, last_updated timestamp",
+    )
+    out = silver.clean_customers(bronze(raw, "customers", "2025-08-24 02:00:00"), assigned_country_codes(spark))
+    got = {(r.customer_id, r.country) for r in out.collect()}
+    assert got == {("ok", "IN"), ("lower", "gb"), ("dup", "DE"), ("tie", "US")}
+    assert out.first().source_file == "customer_file"
+    assert out.first().ingestion_date == datetime(2025, 8, 24, 2)
+    assert "is_valid_country" in out.columns
+    assert "BatchEvalPython" not in plan_text(out)
+
+
+def test_plans_keep_one_row_per_effective_date(frame):
+    raw = frame(
+        [
+            ("p", "Pro", money("29.00"), day("2025-01-01"), ts("2025-01-01")),
+            ("p", "Pro", money("31.00"), day("2025-01-01"), ts("2025-01-02")),
+            ("p", "Pro", money("35.00"), day("2025-06-01"), ts("2025-01-01")),
+        ],
+        "plan_id string, plan_name string, monthly_price decimal(10,2), effective_from date, last_updated timestamp",
+    )
+    prices = [r.monthly_price for r in silver.clean_plans(raw).orderBy("effective_from").collect()]
+    assert prices == [Decimal("31.00"), Decimal("35.00")]
+
+
+SUBS = "subscription_id string, status string, start_date date, end_date date, last_updated timestamp"
+
+
+def test_subscriptions_lifecycle(frame):
+    t = ts("2025-08-01")
+    raw = frame(
+        [
+            ("canceled-open", "canceled", day("2025-01-01"), None, t),
+            ("canceled-ended", "canceled", day("2025-01-01"), day("2025-02-01"), t),
+            ("active-open", "active", day("2025-01-01"), None, t),
+            ("active-ended", "active", day("2025-01-01"), day("2025-02-01"), t),
+            ("null-open", None, day("2025-01-01"), None, t),
+            ("null-ended", None, day("2025-01-01"), day("2025-02-01"), t),
+            ("paused", "paused", day("2025-01-01"), None, t),
+        ],
+        SUBS,
+    )
+    out = silver.clean_subscriptions(raw)
+    assert {r[0] for r in out.collect()} == {"canceled-ended", "active-open", "null-open", "null-ended", "paused"}
+    assert out.columns == ["subscription_id", "status", "sub_start_date", "sub_end_date", "last_updated"]
+    assert silver.clean_subscriptions(raw, apply_lifecycle=False).count() == 7
+
+
+def test_invoices_quality(frame):
+    t = ts("2025-08-01")
+    raw = frame(
+        [
+            ("good", money("9.00"), "USD", True, None, t),
+            ("negative", money("-9.00"), "USD", True, None, t),
+            ("euro", money("9.00"), "EUR", True, None, t),
+            ("failed", money("-9.00"), "EUR", False, "card_declined", t),
+            ("unexplained", money("-9.00"), "USD", False, None, t),
+            ("paid-reason", money("9.00"), "EUR", True, "odd", t),
+            ("null-amount", None, "USD", True, None, t),
+            ("zero", money("0.00"), "USD", True, None, t),
+        ],
+        "invoice_id string, amount decimal(10,2), currency string, paid boolean, failure_reason string,"
+        " last_updated timestamp",
+    )
+    assert {r[0] for r in silver.clean_invoices(raw).collect()} == {"good", "failed", "zero"}
+    assert silver.clean_invoices(raw, apply_quality=False).count() == 8
+
+
+EVENT = (
+    "event_id string, event_type string, event_ts string,"
+    " payload struct<customer_id:string,amount:decimal(10,2),failure_reason:string>"
+)
+
+
+def test_events_flatten_and_parse(frame, spark):
+    raw = frame(
+        [
+            ("e1", "invoice_paid", "2025-08-24T02:00:00Z", ("c1", money("9.00"), None)),
+            ("e1", "invoice_paid", "2025-08-24T03:00:00Z", ("c1", money("9.50"), None)),
+            ("e2", "trial_started", "24/08/2025", None),
+            ("e3", "plan_upgraded", None, ("c3", None, "why")),
+            ("e4", "plan_upgraded", "2025-08-24T02:00:00+05", ("c3", None, None)),
+        ],
+        EVENT,
+    )
+    bronze_rows = bronze_events(raw, "2025-08-25 00:00:00")
+    assert "payload" not in bronze_rows.columns
+    out = {r.event_id: r for r in silver.clean_events(bronze_rows).collect()}
+    assert out["e1"].event_ts == datetime(2025, 8, 24, 3) and out["e1"].amount == Decimal("9.50")
+    assert out["e2"].event_ts is None and out["e2"].customer_id is None
+    assert out["e3"].event_ts is None and out["e3"].failure_reason == "why"
+    assert {r.event_id for r in silver.malformed_events(bronze_rows).collect()} == {"e2", "e4"}
+
+
+def test_event_time_is_utc_in_any_session_zone(frame, spark):
+    raw = bronze_events(frame([("e", "t", "2025-08-24T02:00:00Z", None)], EVENT), "2025-08-25 00:00:00")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        seconds = silver.clean_events(raw).selectExpr("unix_timestamp(event_ts)").first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert seconds == 1755993600 + 7200
+    assert date(2025, 8, 24) == datetime.fromtimestamp(1755993600).date()

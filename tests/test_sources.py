@@ -1,0 +1,135 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tenure.contracts import INVOICES, PLANS
+from tenure.sources.extract import (
+    ExtractSpec,
+    extract,
+    extract_all,
+    extract_specs,
+    incremental_extract,
+    jdbc_options,
+    next_watermark,
+)
+from tenure.sources.scratch import scratch_path
+from tenure.sources.tables import (
+    overwrite_partitions,
+    read_event_files,
+    read_landing,
+    read_table,
+    save_as_table,
+    with_month,
+    write_landing,
+    write_table,
+)
+from tests.conftest import TESTDATA, plan_text, rows, ts
+
+SOURCE = "id int, last_updated timestamp"
+
+
+def source(frame):
+    return frame([(1, ts("2025-01-01")), (2, ts("2025-01-02")), (3, ts("2025-01-02 00:00:01")), (4, None)], SOURCE)
+
+
+def test_incremental_is_strictly_newer(frame):
+    df = source(frame)
+    assert [r.id for r in incremental_extract(df, "2025-01-02").collect()] == [3]
+    assert sorted(r.id for r in incremental_extract(df).collect()) == [1, 2, 3]
+    assert next_watermark(df).first()[0] == datetime(2025, 1, 2, 0, 0, 1)
+    nothing = incremental_extract(df, datetime(2026, 1, 1))
+    assert next_watermark(nothing, datetime(2026, 1, 1)).first()[0] == datetime(2026, 1, 1)
+
+
+def test_watermark_reaches_the_scan(spark):
+    orders = spark.read.parquet(f"{TESTDATA}/orders.parquet").select("o_orderkey", F.col("o_orderdate").alias("last_updated"))
+    plan = plan_text(incremental_extract(orders, "1999-12-31"))
+    assert "GreaterThan(o_orderdate,1999-12-31T00:00)" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_specs_route_by_load_type(frame, spark):
+    source(frame).createOrReplaceTempView("src_things")
+    config = frame(
+        [("things", "incremental", None), ("all_things", "full", "SELECT id FROM src_things")],
+        "source_name string, load_type string, source_query string",
+    )
+    assert [s.source_name for s in extract_specs(config)] == ["all_things", "things"]
+    got = extract_all(spark, config, lambda name: spark.table(f"src_{name}"), since="2025-01-01")
+    assert sorted(r.id for r in got["things"].collect()) == [2, 3]
+    assert got["all_things"].count() == 4
+    with pytest.raises(ValueError, match="source_query"):
+        extract(spark, ExtractSpec("x", "full"))
+
+
+def test_jdbc_reads_are_partitioned():
+    options = jdbc_options("jdbc:x", "select 1", "id", (0, 100), 8, {"user": "me"})
+    assert options["dbtable"] == "(select 1) extract_source" and options["user"] == "me"
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", "0", "100", "8")
+    assert "numPartitions" not in jdbc_options("jdbc:x", "select 1")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "select 1", "id")
+
+
+def test_landing_batches_do_not_overwrite_each_other(frame, spark, tmp_path):
+    root = str(tmp_path)
+    schema = "id int, v string"
+    write_landing(frame([(1, "full")], schema), root, "things", "2025-01-01")
+    for _ in range(2):
+        write_landing(frame([(2, "delta")], schema), root, "things", "2025-01-02")
+    struct = frame([], schema).schema
+    assert rows(read_landing(spark, root, "things", struct, "2025-01-01")) == [(1, "full")]
+    assert rows(read_landing(spark, root, "things", struct)) == [(1, "full", "2025-01-01"), (2, "delta", "2025-01-02")]
+
+
+def test_event_files_with_broken_lines_and_absent_fields(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '{"event_id":"e1","event_ts":"2025-01-01T00:00:00Z","payload":{"customer_id":"c","amount":9.5}}\n'
+        '{"event_id":"e2"}\n'
+        "not json\n"
+    )
+    df = read_event_files(spark, str(tmp_path))
+    got = {r.event_id: r for r in df.collect()}
+    assert str(got["e1"].payload.amount) == "9.50" and got["e1"].payload.failure_reason is None
+    assert got["e2"].payload is None
+    assert got[None]._corrupt_record == "not json"
+
+
+def test_tables_merge_schema_and_catalog(frame, spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(frame([(1,)], "a int"), path)
+    write_table(frame([(2, "x")], "a int, b string"), path, mode="append")
+    assert rows(read_table(spark, path, merge_schema=True), "a") == [(1, None), (2, "x")]
+    write_table(frame([(3,)], "a int"), path)
+    assert rows(read_table(spark, path)) == [(3,)]
+    try:
+        save_as_table(frame([(4,)], "a int"), "tenure_things", str(tmp_path / "ext"))
+        assert rows(spark.table("tenure_things")) == [(4,)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS tenure_things")
+
+
+def test_only_touched_months_are_replaced(frame, spark, tmp_path):
+    path = str(tmp_path / "fact")
+    days = lambda *items: with_month(frame([(date.fromisoformat(d), n) for d, n in items], "dt date, n int"))
+    write_table(days(("2025-01-01", 1), ("2025-01-31", 2), ("2025-02-01", 3)), path, partition_by=["dt_month"])
+    overwrite_partitions(days(("2025-02-02", 9)), path, ["dt_month"])
+    assert rows(read_table(spark, path).select("dt", "n")) == [
+        (date(2025, 1, 1), 1), (date(2025, 1, 31), 2), (date(2025, 2, 2), 9),
+    ]
+    pruned = plan_text(read_table(spark, path).filter("dt_month = '2025-02'"))
+    assert "PartitionFilters: [isnotnull(dt_month" in pruned
+
+
+def test_scratch_follows_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b
+    if root is not None:
+        assert a.startswith(root)
+
+
+def test_source_contracts_name_their_parents():
+    assert ("subscription_id", "subscriptions", "subscription_id") in INVOICES.references
+    assert PLANS.key == ("plan_id",)
