@@ -78,4 +78,5 @@ def clip_windows(
 def explode_days(windows: DataFrame, day: str = "dt") -> DataFrame:
     """One row per covered day; drops the window columns."""
     days = F.sequence("first_day", "last_day", F.expr("interval 1 day"))
-    return windows.withColumn(day, F.explode(days)).drop("first_day", "last_day")
+    others = [c for c in windows.columns if c not in ("first_day", "last_day")]
+    return windows.select(*others, F.explode(days).alias(day))

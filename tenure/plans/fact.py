@@ -163,14 +163,16 @@ def priced_windows(
         spread_by=["subscription_id", "first_day"],
         is_small=is_small,
     )
-    return cut.withColumns({
-        "first_day": F.greatest("first_day", "plan_from"),
-        "last_day": F.least("last_day", "plan_to"),
-    }).drop("plan_from", "plan_to")
+    others = [c for c in windows.columns if c not in ("first_day", "last_day")]
+    return cut.select(
+        *others, "plan_name", "tier", "monthly_price",
+        F.greatest("first_day", "plan_from").alias("first_day"),
+        F.least("last_day", "plan_to").alias("last_day"),
+    )
 
 
 def _flag(status: str) -> Column:
-    return F.coalesce((F.col("status_at_day") == status).cast("int"), F.lit(0))
+    return F.coalesce((F.col("status") == status).cast("int"), F.lit(0))
 
 
 def fact_daily(
@@ -200,16 +202,15 @@ def fact_daily(
     if for_kpi:
         pieces = pieces.withColumn("price_cents", cents(F.col("monthly_price")))
     daily = explode_days(pieces)
-    priced = daily.withColumnsRenamed({
-        "status": "status_at_day", "tier": "tier_at_day", "monthly_price": "monthly_price_at_day",
-    }).withColumns({
+    values = {
+        "status_at_day": F.col("status"),
+        "tier_at_day": F.col("tier"),
+        "monthly_price_at_day": F.col("monthly_price"),
         "is_active": _flag(ACTIVE),
         "is_trialing": _flag(TRIALING),
         "is_canceled": _flag(CANCELED),
-    })
-    types = {f.name: f.dataType for f in priced.schema}
-    columns = []
-    for field in FACT_DAILY.schema:
-        value = F.col(field.name)
-        columns.append(value if types[field.name] == field.dataType else value.cast(field.dataType).alias(field.name))
-    return priced.select(*columns, *(["version_no", "price_cents"] if for_kpi else []))
+    }
+    columns = [
+        values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in FACT_DAILY.schema
+    ]
+    return daily.select(*columns, *(["version_no", "price_cents"] if for_kpi else []))

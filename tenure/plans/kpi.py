@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tenure.contracts import KPI_DAILY, MONEY, conform
+from tenure.contracts import KPI_DAILY, MONEY
 from tenure.functions.money import cents, from_cents
 from tenure.functions.rules import ACTIVE
 from tenure.functions.times import as_date
@@ -45,14 +45,14 @@ MONEY_COLUMNS = ["mrr", "new_mrr", "expansion_mrr", "contraction_mrr", "churn_mr
 
 def _finish(totals: DataFrame) -> DataFrame:
     """Totals in cents to the contract types, with ARR and ARPU."""
-    active = F.col("active_customers")
-    return conform(
-        totals.withColumns({c: from_cents(F.col(c)) for c in MONEY_COLUMNS}).withColumns({
-            "arr": F.col("mrr") * 12,
-            "arpu": F.when(active > 0, F.col("mrr") / active).otherwise(F.lit(0)),
-        }),
-        KPI_DAILY.schema,
-    )
+    active, mrr = F.col("active_customers"), from_cents(F.col("mrr"))
+    values = {c: from_cents(F.col(c)) for c in MONEY_COLUMNS} | {
+        "arr": mrr * 12,
+        "arpu": F.when(active > 0, mrr / active).otherwise(F.lit(0)),
+    }
+    return totals.select([
+        values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in KPI_DAILY.schema
+    ])
 
 
 def _within(df: DataFrame, from_dt: str | date | None, to_dt: str | date | None) -> DataFrame:
