@@ -67,11 +67,18 @@ def left_range_join(
 
 
 def overlapping_ranges(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Rows whose inclusive [start, end] range begins before an earlier range of the key ended."""
-    earlier = Window.partitionBy(key).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
+    """Days on which a range begins although another range of the same key still runs.
+
+    Ranges are inclusive; a null end never ends. Ranges that begin on the same day are
+    counted together (``n_rows``) first, which leaves one row per key and day to compare.
+    """
     closed_end = F.coalesce(F.col(end).cast("date"), F.lit(LAST_DAY).cast("date"))
+    begun = df.groupBy(key, F.col(start).cast("date").alias(start)).agg(
+        F.max(closed_end).alias("last_day"), F.count(F.lit(1)).alias("n_rows")
+    )
+    earlier = Window.partitionBy(key).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
+    still_running = F.coalesce(F.col(start) <= F.max("last_day").over(earlier), F.lit(False))
     return (
-        df.withColumn("__ended", F.max(closed_end).over(earlier))
-        .filter(F.col(start).cast("date") <= F.col("__ended"))
-        .drop("__ended")
+        begun.withColumn("__overlaps", still_running | (F.col("n_rows") > 1))
+        .filter("__overlaps").drop("__overlaps")
     )

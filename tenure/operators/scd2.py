@@ -30,6 +30,11 @@ def scd2_initial(df: DataFrame, as_of: str | datetime) -> DataFrame:
     })
 
 
+def seed_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows in key order, for a partial first load."""
+    return df.orderBy(*keys).limit(n)
+
+
 def active_versions(dimension: DataFrame) -> DataFrame:
     return dimension.filter(F.col("active_status") == "Y")
 

@@ -51,10 +51,9 @@ def clean_invoices(bronze: DataFrame, apply_quality: bool = True) -> DataFrame:
 
 
 def clean_events(bronze: DataFrame) -> DataFrame:
-    """Newest row per event, with a real timestamp (null when malformed)."""
-    return latest_by(bronze, ["event_id"], ["event_ts"]).withColumn(
-        "event_ts", parse_event_ts(F.col("event_ts"))
-    )
+    """Newest row per event, with a real timestamp (null when malformed, and then oldest)."""
+    parsed = bronze.withColumn("event_ts", parse_event_ts(F.col("event_ts")))
+    return latest_by(parsed, ["event_id"], ["event_ts"])
 
 
 def malformed_events(bronze: DataFrame) -> DataFrame:

@@ -13,7 +13,14 @@ from tenure.contracts import CUSTOMERS, EVENTS, INVOICES, conform
 from tenure.functions.countries import assigned_country_codes
 from tenure.functions.times import as_date
 from tenure.operators.checks import fk_orphans, pk_duplicates
-from tenure.operators.scd2 import row_hash, scd2_changes, scd2_initial, scd2_merge, scd2_staged
+from tenure.operators.scd2 import (
+    row_hash,
+    scd2_changes,
+    scd2_initial,
+    scd2_merge,
+    scd2_staged,
+    seed_rows,
+)
 from tenure.operators.updates import conditional_update
 from tenure.plans import cohorts, dimensions, fact, kpi, silver
 from tenure.plans.bronze import bronze, bronze_events
@@ -214,6 +221,13 @@ def scd2_initial_q(spark: SparkSession, sf: str) -> DataFrame:
     return scd2_initial(plans.filter(F.col("plan_name").isin("ECONOMY", "SMALL")), FIRST_LOAD_TS)
 
 
+def scd2_seed_q(spark: SparkSession, sf: str) -> DataFrame:
+    """A dimension begun with its first four keys, as a partial first load."""
+    customers = conform(d.customers_raw(d.table(spark, sf, "customer"), _orders(spark, sf)), CUSTOMERS.schema)
+    newest = silver.latest_by(customers, ["customer_id"], ["last_updated"])
+    return scd2_initial(seed_rows(newest, ["customer_id"], 4), FIRST_LOAD_TS)
+
+
 def _repriced_plans(spark: SparkSession, sf: str) -> DataFrame:
     plans = d.part_plans(d.table(spark, sf, "part"))
     return conditional_update(plans, F.col("plan_name") == "ECONOMY", {"monthly_price": F.lit(101)})

@@ -93,7 +93,9 @@ def test_overlapping_plan_ranges_fan_out_like_the_daily_join_and_are_reported(fr
     by_day = attach_plan(date_spine(v, AS_OF), p).select("dt", "monthly_price")
     by_piece = fact_daily(v, p, AS_OF).select("dt", "monthly_price_at_day")
     assert rows(by_day) == rows(by_piece) and by_day.count() == 31 + 4
-    assert [r.monthly_price for r in overlapping_ranges(p, "plan_id", "effective_from", "effective_to").collect()] == [Decimal("12.00")]
+    assert rows(overlapping_ranges(p, "plan_id", "effective_from", "effective_to")) == [("1", date(2025, 1, 5), date(2025, 1, 8), 1)]
+    twice = p.unionByName(p.filter("monthly_price = 15"))
+    assert [(r.effective_from.day, r.n_rows) for r in overlapping_ranges(twice, "plan_id", "effective_from", "effective_to").orderBy("effective_from").collect()] == [(5, 1), (25, 2)]
 
 
 def test_fact_contract_flags_and_unknown_plan(frame):

@@ -126,6 +126,7 @@ def test_events_flatten_and_parse(frame, spark):
         [
             ("e1", "invoice_paid", "2025-08-24T02:00:00Z", ("c1", money("9.00"), None)),
             ("e1", "invoice_paid", "2025-08-24T03:00:00Z", ("c1", money("9.50"), None)),
+            ("e1", "invoice_paid", "yesterday", ("c1", money("1.00"), None)),
             ("e2", "trial_started", "24/08/2025", None),
             ("e3", "plan_upgraded", None, ("c3", None, "why")),
             ("e4", "plan_upgraded", "2025-08-24T02:00:00+05", ("c3", None, None)),
@@ -138,7 +139,7 @@ def test_events_flatten_and_parse(frame, spark):
     assert out["e1"].event_ts == datetime(2025, 8, 24, 3) and out["e1"].amount == Decimal("9.50")
     assert out["e2"].event_ts is None and out["e2"].customer_id is None
     assert out["e3"].event_ts is None and out["e3"].failure_reason == "why"
-    assert {r.event_id for r in silver.malformed_events(bronze_rows).collect()} == {"e2", "e4"}
+    assert {r.event_id for r in silver.malformed_events(bronze_rows).collect()} == {"e1", "e2", "e4"}
 
 
 def test_event_time_is_utc_in_any_session_zone(frame, spark):
