@@ -20,7 +20,7 @@ from tenure.operators.dedup import latest_by
 from tenure.operators.scd2 import scd2_initial
 from tenure.plans import cohorts, dimensions, kpi, silver
 from tenure.plans.bronze import SOURCE_LABELS, bronze, flatten_events
-from tenure.plans.fact import fact_daily
+from tenure.plans.fact import daily_partitions, fact_daily
 from tenure.sources.dimension_store import create_dimension, merge_dimension, read_dimension
 from tenure.sources.tables import (
     landing_path,
@@ -176,9 +176,11 @@ def load_fact(
     """The daily fact by month. From the first of a month given as ``from_dt``, only later months are rewritten."""
     if from_dt is not None and str(from_dt)[8:10] != "01":
         raise ValueError("from_dt must be the first of a month, because whole months are replaced")
+    subscriptions = dimension(spark, layout, "subscriptions", batch_id)
     fact = with_month(fact_daily(
-        dimension(spark, layout, "subscriptions", batch_id), dimension(spark, layout, "plans", batch_id),
-        as_of, valid_from, valid_to, from_dt=from_dt, active_plans_only=True,
+        subscriptions, dimension(spark, layout, "plans", batch_id), as_of, valid_from, valid_to,
+        from_dt=from_dt, active_plans_only=True,
+        partitions=daily_partitions(subscriptions, as_of, valid_from, valid_to, from_dt=from_dt),
     ))
     path = layout.silver("fact_subscription_daily")
     if from_dt is None:

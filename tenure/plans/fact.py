@@ -21,6 +21,10 @@ from tenure.operators.ranges import (
 from tenure.operators.spine import HALF_OPEN, clip_windows, explode_days, version_windows
 
 
+#: Daily rows one task should produce at most: about 1 GB of them.
+ROWS_PER_TASK = 8_000_000
+
+
 def subscription_windows(
     subscriptions: DataFrame,
     as_of: str | date,
@@ -53,11 +57,33 @@ def _clipped_windows(
     keep_previous: bool,
     partitions: int | None,
 ) -> DataFrame:
-    windows = clip_windows(
+    if partitions is not None:
+        subscriptions = subscriptions.repartition(partitions, "subscription_id")
+    return clip_windows(
         subscription_windows(subscriptions, as_of, valid_from, valid_to, end_rule),
         from_dt, to_dt, keep_previous,
     )
-    return windows if partitions is None else windows.repartition(partitions, "subscription_id")
+
+
+def daily_partitions(
+    subscriptions: DataFrame,
+    as_of: str | date,
+    valid_from: str = "start_date",
+    valid_to: str = "end_date",
+    end_rule: str = HALF_OPEN,
+    from_dt: str | date | None = None,
+    to_dt: str | date | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> int:
+    """How many partitions the daily rows of these versions need, from their summed lengths.
+
+    Spark sizes tasks by the versions it reads, and cannot know how many days each becomes.
+    """
+    windows = clip_windows(
+        version_windows(subscriptions, as_of, valid_from, valid_to, end_rule), from_dt, to_dt
+    )
+    days = windows.agg(F.sum(F.datediff("last_day", "first_day") + 1)).first()[0] or 0
+    return max(1, -(-days // rows_per_task))
 
 
 def date_spine(
@@ -76,7 +102,7 @@ def date_spine(
     ``version_no`` is computed before versions are multiplied into days, which partitions
     the few versions by subscription, so a later window per subscription needs no shuffle of
     the many daily rows. A caller that drops ``version_no`` does not pay for it. Set
-    ``partitions`` to spread versions wider when they cover very many days each.
+    ``partitions`` (see ``daily_partitions``) when versions cover very many days each.
     """
     windows = _clipped_windows(
         subscriptions, as_of, valid_from, valid_to, end_rule, from_dt, to_dt, keep_previous, partitions

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tenure.contracts import FACT_DAILY, KPI_DAILY
 from tenure.operators.ranges import fits_broadcast, measured_bytes, overlapping_ranges
 from tenure.operators.spine import rejected_windows
-from tenure.plans.fact import attach_plan, date_spine, fact_daily, plan_timeline
+from tenure.plans.fact import attach_plan, daily_partitions, date_spine, fact_daily, plan_timeline
 from tenure.plans.kpi import kpi_daily, kpi_daily_changepoints, kpi_deltas, kpi_snapshot
 from tests import brute
 from tests.conftest import day, money, plan_text, rows
@@ -270,6 +270,19 @@ def test_daily_rows_are_not_shuffled_for_the_lag(frame):
     assert "__range_salt" in salted
 
 
+def test_partitions_follow_the_number_of_days(frame):
+    v = versions(frame, *CHANGES, ("t", "1", "active", "2025-01-01", None))
+    assert date_spine(v, AS_OF).count() == 38
+    assert [daily_partitions(v, AS_OF, rows_per_task=n) for n in (38, 37, 10, 1000)] == [1, 2, 4, 1]
+    assert daily_partitions(v, AS_OF, from_dt="2025-01-30", rows_per_task=1) == 4
+    p = plans(frame, ("1", "9.00", "2025-01-01", None))
+    sized = fact_daily(v, p, AS_OF, for_kpi=True, partitions=3)
+    assert rows(kpi_daily(sized)) == rows(kpi_daily(fact_daily(v, p, AS_OF, for_kpi=True)))
+    plan = plan_text(kpi_daily(sized))
+    assert plan.count("Exchange hashpartitioning(subscription_id") == 1
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_a_popular_plan_spreads_over_tasks_when_not_broadcast(frame, spark):
     days = spark.range(2000).select(
         F.concat(F.lit("s"), "id").alias("subscription_id"), F.lit("1").alias("plan_id"), F.lit(date(2025, 1, 3)).alias("dt")
