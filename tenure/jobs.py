@@ -7,15 +7,17 @@ own tables. Jobs take the batch id and the as-of time of their run and may be ru
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tenure.contracts import CUSTOMERS, EVENTS, INVOICES, PLANS, SUBSCRIPTIONS, Contract, conform
 from tenure.functions.countries import assigned_country_codes
+from tenure.operators.checks import contract_violations
 from tenure.operators.dedup import latest_by
 from tenure.operators.scd2 import scd2_initial
 from tenure.plans import cohorts, dimensions, kpi, silver
@@ -32,6 +34,7 @@ from tenure.sources.tables import (
     write_landing,
     write_table,
 )
+from tenure.streaming.events import drop_redelivered, event_stream, write_available
 
 BATCH_TABLES: dict[str, Contract] = {
     "customers": CUSTOMERS,
@@ -213,6 +216,27 @@ def load_gold(
     )
 
 
+def load_event_stream(spark: SparkSession, layout: Layout, delay: str = "1 day") -> StreamingQuery:
+    """Event files that arrived in ``landing/event_stream`` since the last run, without repeated
+    deliveries, appended to silver. The checkpoint lives beside the table."""
+    arrived = event_stream(spark, f"{layout.landing}/event_stream")
+    return write_available(
+        drop_redelivered(arrived, delay), layout.silver("event_stream"), f"{layout.silver('event_stream')}_checkpoint"
+    )
+
+
+def violations(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Contract checks over the silver tables."""
+    contracts = {
+        **BATCH_TABLES,
+        # Silver keeps one row per plan and effective date, and per subscription and start.
+        "plans": replace(PLANS, key=("plan_id", "effective_from")),
+        "subscriptions": replace(SUBSCRIPTIONS, key=("subscription_id", "sub_start_date")),
+    }
+    tables = {name: read_table(spark, layout.silver(name), layout.fmt) for name in contracts}
+    return contract_violations(tables, contracts)
+
+
 def read_kpis(spark: SparkSession, layout: Layout) -> DataFrame:
     """The KPI mart in order of days."""
     return read_table(spark, layout.gold("gold_kpi_daily"), layout.fmt).orderBy("dt")

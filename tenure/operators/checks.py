@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenure.contracts import Contract
+
 
 def pk_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with ``n_rows``. Counts are combined map-side."""
@@ -24,4 +27,39 @@ def fk_orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str
         .groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
     )
     known = parent.select(F.col(parent_key).alias("__parent"))
-    return referenced.join(known, referenced[column] == known["__parent"], "left_anti")
+    return referenced.join(known, F.col(column) == F.col("__parent"), "left_anti")
+
+
+def contract_violations(tables: dict[str, DataFrame], contracts: dict[str, Contract]) -> DataFrame:
+    """Repeated keys, missing keys and orphaned references of all tables in one frame.
+
+    Columns: ``table_name``, ``rule`` (``unique``, ``not_null`` or ``reference``),
+    ``column_name``, ``value`` and ``n_rows``. References to tables not given are skipped.
+    """
+    def report(df: DataFrame, table: str, rule: str, columns: Sequence[str]) -> DataFrame:
+        value = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+        return df.select(
+            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
+            F.lit("|".join(columns)).alias("column_name"), value.alias("value"), "n_rows",
+        )
+
+    found = []
+    for name, df in tables.items():
+        contract = contracts[name]
+        found.append(report(pk_duplicates(df, contract.key), name, "unique", contract.key))
+        required = [f.name for f in contract.schema if not f.nullable and f.name in df.columns]
+        absent = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
+        if absent:
+            nulls = (
+                df.select(F.explode(F.array_compact(F.array(*absent))).alias("column_name"))
+                .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_rows"))
+            )
+            found.append(nulls.select(
+                F.lit(name).alias("table_name"), F.lit("not_null").alias("rule"), "column_name",
+                F.lit(None).cast("string").alias("value"), "n_rows",
+            ))
+        for column, parent, parent_key in contract.references:
+            if parent in tables:
+                orphans = fk_orphans(df, column, tables[parent], parent_key)
+                found.append(report(orphans, name, "reference", [column]))
+    return reduce(DataFrame.unionByName, found)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -16,6 +17,10 @@ INCREMENTAL = "incremental"
 WATERMARK_COLUMN = "last_updated"
 FIRST_WATERMARK = "1900-01-01"
 
+# Where the config table is kept.
+CONFIG_SCHEMA = "ext"
+CONFIG_TABLE = "copy_config"
+
 #: More specs than this is not a config table.
 MAX_SPECS = 10_000
 
@@ -39,6 +44,16 @@ def extract_specs(config: DataFrame) -> list[ExtractSpec]:
     return [ExtractSpec(r.source_name, r.load_type, r.source_query) for r in rows]
 
 
+def read_config(spark: SparkSession, schema: str = CONFIG_SCHEMA, table: str = CONFIG_TABLE) -> DataFrame:
+    """The config table from the catalog."""
+    return spark.table(f"{schema}.{table}")
+
+
+def read_config_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The config table kept as CSV with a header."""
+    return conform(spark.read.option("header", "true").csv(path), COPY_CONFIG.schema)
+
+
 def full_extract(spark: SparkSession, query: str) -> DataFrame:
     """The result of a spec's stored query over registered tables."""
     return spark.sql(query)
@@ -83,6 +98,21 @@ def extract_all(
     return {s.source_name: extract(spark, s, read_table, since) for s in extract_specs(config)}
 
 
+def source_query(
+    spec: ExtractSpec, schema: str, since: str | date | datetime = FIRST_WATERMARK, column: str = WATERMARK_COLUMN
+) -> str:
+    """The SQL a database server runs for a spec: its stored query, or its table by watermark."""
+    if not spec.is_incremental:
+        if not spec.source_query:
+            raise ValueError(f"{spec.source_name}: a full load needs a source_query")
+        return spec.source_query
+    for name in (schema, spec.source_name, column):
+        if not re.fullmatch(r"[A-Za-z_]\w*", name):
+            raise ValueError(f"{name!r} is not a plain identifier")
+    newer_than = datetime.fromisoformat(str(since)).isoformat(sep=" ")
+    return f"SELECT * FROM {schema}.{spec.source_name} WHERE {column} > '{newer_than}'"
+
+
 def jdbc_query(
     spark: SparkSession,
     url: str,

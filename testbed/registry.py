@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenure import contracts
-from tenure.contracts import CUSTOMERS, EVENTS, INVOICES, conform
+from tenure.contracts import CUSTOMERS, EVENTS, INVOICES, SUBSCRIPTIONS, conform
 from tenure.functions.countries import assigned_country_codes
 from tenure.functions.times import as_date
-from tenure.operators.checks import fk_orphans, pk_duplicates
+from tenure.operators.checks import contract_violations, fk_orphans, pk_duplicates
 from tenure.operators.scd2 import (
     row_hash,
     scd2_changes,
@@ -412,6 +412,18 @@ def pk_duplicates_q(spark: SparkSession, sf: str) -> DataFrame:
     return pk_duplicates(d.invoices_raw(d.table(spark, sf, "lineitem")), contracts.INVOICES.key)
 
 
+def contract_violations_q(spark: SparkSession, sf: str) -> DataFrame:
+    """All checks over clean customers, uncleaned subscriptions and uncleaned invoices."""
+    tables = {
+        "customers": customers_silver_q(spark, sf),
+        "subscriptions": d.subscriptions_raw(_orders(spark, sf)),
+        "invoices": d.invoices_raw(d.table(spark, sf, "lineitem")),
+    }
+    return contract_violations(
+        tables, {"customers": CUSTOMERS, "subscriptions": SUBSCRIPTIONS, "invoices": INVOICES}
+    )
+
+
 def _streamed(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     out = scratch_path(spark, name)
     write_available(stream, out, scratch_path(spark, f"{name}-checkpoint"))

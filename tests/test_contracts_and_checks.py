@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenure.contracts import CUSTOMERS, INVOICES, KPI_DAILY, conform
-from tenure.operators.checks import fk_orphans, pk_duplicates
+from tenure.contracts import CUSTOMERS, INVOICES, KPI_DAILY, Contract, conform
+from tenure.operators.checks import contract_violations, fk_orphans, pk_duplicates
 from tests.conftest import rows
 
 
@@ -55,3 +55,21 @@ def test_fk_orphans(frame):
     child = frame([(1, "a"), (2, "b"), (3, "b"), (4, None)], "id int, parent string")
     parent = frame([("a",), ("a",), ("c",)], "parent string")
     assert rows(fk_orphans(child, "parent", parent, "parent")) == [("b", 2)]
+
+
+def test_contract_violations_names_table_rule_and_value(frame):
+    parent = Contract(schema(("p", T.StringType(), False)), key=("p",))
+    child = Contract(
+        schema(("c", T.StringType(), False), ("p", T.StringType(), True)),
+        key=("c",), references=(("p", "parent", "p"), ("p", "elsewhere", "p")),
+    )
+    tables = {
+        "parent": frame([("a",), ("a",), (None,)], "p string"),
+        "child": frame([("x", "a"), ("y", "gone"), ("z", None), (None, "gone")], "c string, p string"),
+    }
+    assert rows(contract_violations(tables, {"parent": parent, "child": child})) == [
+        ("child", "not_null", "c", None, 1),
+        ("child", "reference", "p", "gone", 2),
+        ("parent", "not_null", "p", None, 1),
+        ("parent", "unique", "p", "a", 2),
+    ]

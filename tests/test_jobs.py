@@ -10,11 +10,13 @@ from tenure.jobs import (
     land,
     load_bronze,
     load_dimensions,
+    load_event_stream,
     load_fact,
     load_gold,
     load_silver,
     read_kpis,
     read_retention,
+    violations,
 )
 from tenure.plans.kpi import kpi_daily
 from tenure.sources.tables import landing_path, read_table
@@ -96,6 +98,8 @@ def test_two_loads_end_to_end(spark, tmp_path):
         ("engagement", "W1", 2, 1), ("engagement", "M1", 2, 0),
     }
 
+    assert violations(spark, layout).collect() == []
+
     business = layout.gold("gold_kpi_daily")
     load_gold(spark, layout, "b2", "2025-02-10", "sub_start_date", "sub_end_date")
     assert read_table(spark, business).count() == (date(2025, 2, 10) - date(2025, 1, 3)).days + 1
@@ -104,3 +108,16 @@ def test_two_loads_end_to_end(spark, tmp_path):
 def test_fact_window_starts_with_a_month(spark, tmp_path):
     with pytest.raises(ValueError, match="first of a month"):
         load_fact(spark, Layout(str(tmp_path)), "b1", "2025-02-10", from_dt="2025-02-02")
+
+
+def test_event_stream_appends_what_is_new(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    folder = tmp_path / "landing/event_stream"
+    folder.mkdir(parents=True)
+    line = '{{"event_id":"{0}","event_ts":"2025-01-0{1}T00:00:00Z","payload":{{"customer_id":"c"}}}}\n'
+    (folder / "1.json").write_text(line.format("a", 1) + line.format("a", 1) + line.format("b", 1))
+    load_event_stream(spark, layout)
+    (folder / "2.json").write_text(line.format("b", 1) + line.format("c", 2))
+    load_event_stream(spark, layout)
+    out = read_table(spark, layout.silver("event_stream"))
+    assert sorted(r.event_id for r in out.collect()) == ["a", "b", "c"]

@@ -12,6 +12,9 @@ from tenure.sources.extract import (
     incremental_extract,
     jdbc_options,
     next_watermark,
+    read_config,
+    read_config_csv,
+    source_query,
 )
 from tenure.sources.scratch import scratch_path
 from tenure.sources.tables import (
@@ -133,3 +136,30 @@ def test_scratch_follows_the_session(spark):
 def test_source_contracts_name_their_parents():
     assert ("subscription_id", "subscriptions", "subscription_id") in INVOICES.references
     assert PLANS.key == ("plan_id",)
+
+
+def test_config_from_csv_and_catalog(frame, spark, tmp_path):
+    (tmp_path / "config.csv").write_text(
+        'source_name,load_type,source_query\nplans,full,"SELECT a, b FROM plans"\ninvoices,incremental,\n'
+    )
+    config = read_config_csv(spark, str(tmp_path / "config.csv"))
+    expected = [ExtractSpec("invoices", "incremental", None), ExtractSpec("plans", "full", "SELECT a, b FROM plans")]
+    assert extract_specs(config) == expected
+    spark.sql("CREATE DATABASE IF NOT EXISTS tenure_ext")
+    try:
+        save_as_table(config, "tenure_ext.copy_config", str(tmp_path / "config"))
+        assert extract_specs(read_config(spark, "tenure_ext")) == expected
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS tenure_ext CASCADE")
+
+
+def test_source_queries_for_a_server():
+    assert source_query(ExtractSpec("plans", "full", "SELECT 1"), "dbo") == "SELECT 1"
+    incremental = ExtractSpec("invoices", "incremental")
+    assert source_query(incremental, "dbo") == "SELECT * FROM dbo.invoices WHERE last_updated > '1900-01-01 00:00:00'"
+    with pytest.raises(ValueError, match="identifier"):
+        source_query(ExtractSpec("x; drop table y", "incremental"), "dbo")
+    with pytest.raises(ValueError):
+        source_query(incremental, "dbo", "yesterday' or '1'='1")
+    with pytest.raises(ValueError, match="source_query"):
+        source_query(ExtractSpec("plans", "full"), "dbo")
