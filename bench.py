@@ -1,7 +1,8 @@
 """Headline queries at one scale; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3).
-Each query is built and fully executed; the value is the median of the runs after a warm-up.
+Each run builds a query and executes it in full. All queries run once to warm up the JVM;
+then each runs once more and BENCH_RUNS times for its median.
 """
 
 from __future__ import annotations
@@ -51,14 +52,18 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     registered = queries()
+
+    def run(name: str) -> float:
+        started = time.perf_counter()
+        registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - started
+
+    for name in HEADLINE:
+        run(name)
     timings = {}
     for name in HEADLINE:
-        seconds = []
-        for _ in range(runs + 1):
-            started = time.perf_counter()
-            registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            seconds.append(time.perf_counter() - started)
-        timings[name] = round(statistics.median(seconds[1:]), 3)
+        run(name)
+        timings[name] = round(statistics.median(run(name) for _ in range(runs)), 3)
     print(json.dumps({
         "metric": "headline queries, total of medians",
         "value": round(sum(timings.values()), 3),

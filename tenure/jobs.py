@@ -216,13 +216,14 @@ def load_gold(
     )
 
 
-def load_event_stream(spark: SparkSession, layout: Layout, delay: str = "1 day") -> StreamingQuery:
+def load_event_stream(
+    spark: SparkSession, layout: Layout, delay: str = "1 day", state_partitions: int | None = None
+) -> StreamingQuery:
     """Event files that arrived in ``landing/event_stream`` since the last run, without repeated
     deliveries, appended to silver. The checkpoint lives beside the table."""
     arrived = event_stream(spark, f"{layout.landing}/event_stream")
-    return write_available(
-        drop_redelivered(arrived, delay), layout.silver("event_stream"), f"{layout.silver('event_stream')}_checkpoint"
-    )
+    out = layout.silver("event_stream")
+    return write_available(drop_redelivered(arrived, delay), out, f"{out}_checkpoint", state_partitions)
 
 
 def violations(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -74,16 +74,20 @@ def daily_partitions(
     from_dt: str | date | None = None,
     to_dt: str | date | None = None,
     rows_per_task: int = ROWS_PER_TASK,
-) -> int:
+) -> int | None:
     """How many partitions the daily rows of these versions need, from their summed lengths.
 
     Spark sizes tasks by the versions it reads, and cannot know how many days each becomes.
+    None means that one task could hold them all, so Spark's own choice will do; otherwise
+    the answer keeps all cores busy.
     """
     windows = clip_windows(
         version_windows(subscriptions, as_of, valid_from, valid_to, end_rule), from_dt, to_dt
     )
     days = windows.agg(F.sum(F.datediff("last_day", "first_day") + 1)).first()[0] or 0
-    return max(1, -(-days // rows_per_task))
+    needed = -(-days // rows_per_task)
+    cores = subscriptions.sparkSession.sparkContext.defaultParallelism
+    return max(needed, cores) if needed > 1 else None
 
 
 def date_spine(

@@ -60,13 +60,28 @@ def undated(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_ts").isNull()).drop("arrival")
 
 
-def write_available(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Process everything that has arrived into Parquet, then stop. Restarts go on from ``checkpoint``."""
-    query = (
+def write_available(
+    stream: DataFrame, out: str, checkpoint: str, state_partitions: int | None = None
+) -> StreamingQuery:
+    """Process everything that has arrived into Parquet, then stop. Restarts go on from ``checkpoint``.
+
+    ``state_partitions`` sets how many partitions state is kept in. A checkpoint keeps the
+    number it began with, so choose it for the expected volume; without it the session's
+    shuffle partitions count.
+    """
+    writer = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(availableNow=True)
     )
+    conf, setting = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(setting)
+    try:
+        # A query takes its settings when it starts.
+        conf.set(setting, before if state_partitions is None else str(state_partitions))
+        query = writer.start()
+    finally:
+        conf.set(setting, before)
     query.awaitTermination()
     return query
 

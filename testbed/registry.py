@@ -426,7 +426,8 @@ def contract_violations_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     out = scratch_path(spark, name)
-    write_available(stream, out, scratch_path(spark, f"{name}-checkpoint"))
+    cores = spark.sparkContext.defaultParallelism
+    write_available(stream, out, scratch_path(spark, f"{name}-checkpoint"), state_partitions=cores)
     return spark.read.schema(stream.schema).parquet(out)
 
 

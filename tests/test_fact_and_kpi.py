@@ -270,11 +270,12 @@ def test_daily_rows_are_not_shuffled_for_the_lag(frame):
     assert "__range_salt" in salted
 
 
-def test_partitions_follow_the_number_of_days(frame):
+def test_partitions_follow_the_number_of_days(frame, spark):
     v = versions(frame, *CHANGES, ("t", "1", "active", "2025-01-01", None))
     assert date_spine(v, AS_OF).count() == 38
-    assert [daily_partitions(v, AS_OF, rows_per_task=n) for n in (38, 37, 10, 1000)] == [1, 2, 4, 1]
-    assert daily_partitions(v, AS_OF, from_dt="2025-01-30", rows_per_task=1) == 4
+    cores = spark.sparkContext.defaultParallelism
+    assert [daily_partitions(v, AS_OF, rows_per_task=n) for n in (38, 37, 2, 1)] == [None, cores, max(19, cores), max(38, cores)]
+    assert daily_partitions(v, AS_OF, from_dt="2025-01-30", rows_per_task=4) is None
     p = plans(frame, ("1", "9.00", "2025-01-01", None))
     sized = fact_daily(v, p, AS_OF, for_kpi=True, partitions=3)
     assert rows(kpi_daily(sized)) == rows(kpi_daily(fact_daily(v, p, AS_OF, for_kpi=True)))

@@ -57,6 +57,15 @@ def test_restart_remembers_what_it_has_seen(spark, tmp_path):
     assert sorted(r.event_id for r in out.collect()) == ["e1", "e2", "e3"]
 
 
+def test_state_partitions_belong_to_the_query(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    deliver(tmp_path / "in", "a", [event(1, 0), event(1, 0)])
+    stream = drop_redelivered(event_stream(spark, str(tmp_path / "in")), "1 hour")
+    query = write_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"), state_partitions=3)
+    assert {s["numShufflePartitions"] for p in query.recentProgress for s in p["stateOperators"]} == {3}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_rows_beyond_the_watermark_are_dropped_and_counted(spark, tmp_path):
     source = tmp_path / "in"
     deliver(source, "a", [event(1, 0), event(2, 600)])
