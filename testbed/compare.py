@@ -27,7 +27,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(value: object) -> object:
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.6f}"
+        return "nan" if math.isnan(value) else repr(value)
     return str(value) if value is not None else None
 
 
