@@ -1,0 +1,86 @@
+"""SimHash fingerprints and components against brute force."""
+
+import random
+
+import pytest
+import xxhash
+
+from tenure.llm.common import components
+from tenure.llm.simhash import drop_near_copies, fingerprint, links, near_copies
+
+
+def slow_fingerprint(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    for c in "\t\n\x0b\x0c\r":
+        words = words.replace(c, " ")
+    words = [w for w in words.split(" ") if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("text", ["", " \n ", "One", "ONE two", "Ünï a b C d", "a b c d e f a b c a b c", "x y " * 40_000])
+def test_fingerprint(text):
+    assert fingerprint(text) == slow_fingerprint(text)
+
+
+def roots(nodes, close):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for i, a in enumerate(nodes):
+        for b in nodes[i + 1:]:
+            if close(a, b):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {n: find(n) for n in nodes}
+
+
+def test_components(spark, frame):
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(0, 200)] + [(rng.randrange(300, 500), rng.randrange(300, 500)) for _ in range(120)] + [(7, 7)]
+    got = {r.node: r.root for r in components(frame(edges, "u long, v long")).collect()}
+    pairs = {tuple(sorted(e)) for e in edges}
+    nodes = sorted({n for e in edges for n in e if e[0] != e[1]})
+    assert got == roots(nodes, lambda a, b: (a, b) in pairs)
+    assert components(frame([], "u long, v long")).count() == 0
+
+
+def test_links_of_crowded_and_loose_fingerprints(spark, frame):
+    rng = random.Random(5)
+    values = {0, (1 << 64) - 1}
+    for _ in range(12):
+        centre = rng.getrandbits(64)
+        values |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(0, 4))) for _ in range(60)}
+    values = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    got = {r.node: r.root for r in components(links(frame([(v,) for v in values], "fp long"))).collect()}
+    close = lambda a, b: ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 2
+    assert {v: got.get(v, v) for v in values} == roots(values, close)
+
+
+def test_near_copies(spark, frame):
+    rng = random.Random(9)
+    base = [" ".join(rng.choice("abcdefghijklm") * 3 for _ in range(300)) for _ in range(6)]
+    rows = [(i, base[i % 6] + (f" end{i}" if i > 5 else "")) for i in range(40)]
+    rows += [(100, None), (101, ""), (102, " "), (103, "one"), (None, "one"), (103, "one")]
+    docs = frame([(i, t, 1) for i, t in rows], "doc_id long, text string, component_id int")
+    got = [tuple(r) for r in near_copies(docs).collect()]
+    assert len(got) == len(rows)
+    fps = {i: slow_fingerprint(t or "") for i, t in rows if i is not None}
+    ids = sorted(fps)
+    expected = roots(ids, lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 2)
+    assert {(i, f, c) for i, f, c in got if i is not None} == {(i, f"{fps[i]:016x}", expected[i]) for i in ids}
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r[0] for r in kept.collect()) == sorted(set(expected.values()))
+
+
+def test_no_rows(spark, frame):
+    docs = frame([], "doc_id long, text string")
+    assert near_copies(docs).count() == 0 and drop_near_copies(docs).count() == 0
