@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import exact_dedup, simhash
+from tenure.llm import chat, exact_dedup, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,8 +15,9 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op2_simhash": simhash.op2_simhash,
+        "op3_chat": chat.op3_chat,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL}
+    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op3_chat": chat.OP3_SQL}
