@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import chat, exact_dedup, simhash
+from tenure.llm import chat, exact_dedup, neighbours, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op2_simhash": simhash.op2_simhash,
         "op3_chat": chat.op3_chat,
+        "op4_neighbours": neighbours.op4_neighbours,
     }
 
 

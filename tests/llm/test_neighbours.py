@@ -1,0 +1,77 @@
+"""Neighbours against brute force: recall, exact scores, ties, rows that take no part."""
+
+import numpy as np
+import pytest
+
+from tenure.llm import neighbours as nb
+
+SCHEMA = "vec_id long, embedding array<float>, rank int"
+
+
+def brute(rows, queries, k=10):
+    ids = np.array([r[0] for r in rows])
+    m = np.array([r[1] for r in rows], dtype=np.float32).astype(float)
+    out = {}
+    for q in queries:
+        at = int(np.flatnonzero(ids == q)[0])
+        d = np.sqrt(((m - m[at]) ** 2).sum(axis=1))
+        out[q] = [(int(ids[j]), d[j]) for j in np.lexsort((ids, d)) if ids[j] != q][:k]
+    return out
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+@pytest.mark.parametrize("clusters", [1, 30])
+def test_recall_and_scores(spark, frame, clusters, monkeypatch):
+    monkeypatch.setattr(nb, "CELL_ROWS", 50)
+    monkeypatch.setattr(nb, "CELL_QUERIES", 3)
+    rng = np.random.default_rng(clusters)
+    centres = rng.normal(size=(clusters, 48)) * 3
+    rows = [(i, [float(x) for x in centres[i % clusters] + rng.normal(size=48)], 0) for i in range(1500)]
+    vectors = frame(rows, SCHEMA)
+    got = found(nb.neighbours(vectors, vectors.where("vec_id % 100 = 0")))
+    want = brute(rows, [r[0] for r in rows if r[0] % 100 == 0])
+    assert got.keys() == want.keys() and all(len(v) == 10 for v in got.values())
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)
+    scores = {q: dict(brute(rows, [q], 1500)[q]) for q in want}
+    assert all(scores[q][i] == pytest.approx(s, abs=1e-12) for q in got for i, s in got[q])
+
+
+def test_copies_tie_to_smaller_ids(spark, frame):
+    rng = np.random.default_rng(0)
+    rows = [(i, [1.0, 2.0, 3.0] if i % 3 else [float(x) for x in rng.normal(size=3)], 0) for i in range(600)]
+    vectors = frame(rows, SCHEMA)
+    got = found(nb.neighbours(vectors, vectors.where("vec_id = 1")))
+    assert got == {1: [(i, 0.0) for i in (2, 4, 5, 7, 8, 10, 11, 13, 14, 16)]}
+
+
+def test_rows_that_take_no_part(spark, frame):
+    rows = [(0, [1.0, 0.0], 0), (1, [1.0, 1.0], 0), (2, None, 0), (3, [0.0, 0.0], 0), (4, [float("nan"), 1.0], 0), (5, [None, 1.0], 0),
+            (6, [float("inf"), 1.0], 0), (7, [], 0), (8, [1.0, 2.0, 3.0], 0), (None, [1.0, 1.0], 0), (0, [1.0, 0.0], 0)]
+    vectors = frame(rows, SCHEMA)
+    assert found(nb.neighbours(vectors, vectors)) == {0: [(1, 1.0)], 1: [(0, 1.0), (0, 1.0)]}
+    assert nb.neighbours(frame([], SCHEMA), frame([], SCHEMA)).count() == 0
+    assert nb.neighbours(vectors.where("vec_id = 1"), vectors.where("vec_id = 1")).count() == 0
+
+
+def test_scan_keeps_the_nearest():
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(3000, 64))
+    turn = nb.rotation(64)
+    assert np.allclose(turn @ turn.T, np.eye(64))
+    blocks = [(rows @ turn)[:, c:c + nb.BLOCK] for c in range(0, 64, nb.BLOCK)]
+    hits = scanned = 0
+    for q in rng.normal(size=(30, 64)):
+        live, score = nb.scan(rows, blocks, q, q @ turn, 10)
+        d = np.sqrt(((rows - q) ** 2).sum(axis=1))
+        assert np.array_equal(score, d[live])
+        hits += len(set(live) & set(np.argsort(d)[:10]))
+        scanned += len(live)
+    assert hits >= 290 and scanned < 30 * 1000
