@@ -63,12 +63,13 @@ def test_rows_that_take_no_part(spark, frame):
 
 def test_scan_keeps_the_nearest():
     rng = np.random.default_rng(4)
-    rows = rng.normal(size=(3000, 64))
+    mix = rng.normal(size=(8, 64))
+    rows = rng.normal(size=(3000, 8)) @ mix
     turn = nb.rotation(64)
     assert np.allclose(turn @ turn.T, np.eye(64))
     blocks = [(rows @ turn)[:, c:c + nb.BLOCK] for c in range(0, 64, nb.BLOCK)]
     hits = scanned = 0
-    for q in rng.normal(size=(30, 64)):
+    for q in rng.normal(size=(30, 8)) @ mix:
         live, score = nb.scan(rows, blocks, q, q @ turn, 10)
         d = np.sqrt(((rows - q) ** 2).sum(axis=1))
         assert np.array_equal(score, d[live])
