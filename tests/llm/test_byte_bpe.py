@@ -1,0 +1,62 @@
+"""Byte-level BPE against the library, the tree against one go, and the round trip."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tenure.llm.byte_bpe import codec, decode, encode, expected
+
+ODD = [" ", "\n", "\t", "\x1c", "\x85", " ", "　", "'s", "'LL", "é", "日本", "😀", "12", "!!", "-", "\x00", "th", "ing", "a", "<|endoftext|>"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec().ranks, special_tokens={})
+
+
+def packed(ids):
+    return np.array(ids, "<u4").tobytes()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    own = codec()
+    text = text.encode("utf-8", "ignore").decode()
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    ids = own.encode(text)
+    assert ids == packed(library.encode_ordinary(text)) and own.decode(ids) == text.encode()
+
+
+def test_long_matches_through_the_tree(library):
+    rng, own = random.Random(1), codec()
+    for letters in ("a", "ab", "etaoinshrdlu", "éüñ", "th"):
+        for n in (1, 23, 24, 25, 48, 49, 500, 20_000):
+            text = "".join(rng.choices(letters, k=n))
+            assert own.encode_bytes(text.encode()) == library.encode_ordinary(text)
+
+
+def test_joining_is_associative_and_right():
+    rng, own = random.Random(2), codec()
+    for _ in range(200):
+        parts = ["".join(rng.choices("therination", k=rng.randrange(0, 30))).encode() for _ in range(3)]
+        a, b, c = (own.encode_bytes(p) for p in parts)
+        assert own.join(own.join(a, b), c) == own.join(a, own.join(b, c)) == own.encode_bytes(b"".join(parts)) == own.leaf(b"".join(parts))
+
+
+def test_documents(spark, frame):
+    rng = random.Random(3)
+    texts = [None, "", " ", "".join(rng.choices(ODD, k=300)), "x" * 30_000, "the same", "the same"]
+    docs = frame([(i if i != 5 else None, t, b"") for i, t in enumerate(texts)], "doc_id long, text string, ids binary")
+    got = decode(encode(docs)).collect()
+    assert len(got) == len(texts)
+    for r, text in zip(sorted(got, key=lambda r: 5 if r.doc_id is None else r.doc_id), texts, strict=True):
+        import hashlib
+        assert (len(r.ids) // 4, hashlib.sha256(r.ids).hexdigest(), hashlib.sha256(r.bytes).hexdigest()) == expected(text or "")
+        assert bytes(r.bytes) == (text or "").encode()
+    assert decode(encode(docs.limit(0))).count() == 0
