@@ -33,7 +33,7 @@ LEAF = 24
 #: Matches and chunks a worker remembers at most, and the longest that it remembers (bytes or characters).
 REMEMBERED, LONGEST = 300_000, 64
 #: What the pattern's \s matches: the characters of Unicode's White_Space.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A chunk that no match of the pattern crosses: non-spaces with one blank before, or white space.
 CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 

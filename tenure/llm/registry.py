@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import byte_bpe, chat, exact_dedup, neighbours, simhash, url_rules
+from tenure.llm import byte_bpe, chat, exact_dedup, neighbours, packing, simhash, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
         "op3_chat": chat.op3_chat,
         "op4_neighbours": neighbours.op4_neighbours,
         "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+        "op8_packing": packing.op8_packing,
         "op10_url_rules": url_rules.op10_url_rules,
     }
 
