@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import byte_bpe, chat, exact_dedup, neighbours, packing, simhash, toxicity, url_rules
+from tenure.llm import byte_bpe, chat, exact_dedup, html_text, neighbours, packing, simhash, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op2_simhash": simhash.op2_simhash,
         "op3_chat": chat.op3_chat,
         "op4_neighbours": neighbours.op4_neighbours,
+        "op5_html_text": html_text.op5_html_text,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_byte_bpe": byte_bpe.op7_byte_bpe,
         "op8_packing": packing.op8_packing,
