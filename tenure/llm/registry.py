@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import byte_bpe, chat, exact_dedup, html_text, neighbours, packing, simhash, toxicity, url_rules
+from tenure.llm import byte_bpe, chat, exact_dedup, html_text, neighbours, packing, pii, simhash, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ def queries() -> dict[str, Query]:
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_byte_bpe": byte_bpe.op7_byte_bpe,
         "op8_packing": packing.op8_packing,
+        "op9_pii": pii.op9_pii,
         "op10_url_rules": url_rules.op10_url_rules,
     }
 
