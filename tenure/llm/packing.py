@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,9 +33,10 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 2048
 END = 0
 #: Words a worker remembers at most, and the longest that it remembers.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 1_000_000, 64
 #: Characters on which str.split or str.lower differs from the tokenizer's own.
 _OWN_WAY = re.compile("[\x1c-\x1fΣ]")
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordTokenizer:
@@ -50,9 +52,14 @@ class WordTokenizer:
         self.words: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
+        """A word not in memory. Letters and the signs after them are encoded apart, so those are not remembered together."""
+        letters = word.rstrip(_SIGNS)
+        if len(letters) < len(word) and letters.isalpha():
+            signs = word[len(letters):]
+            return (self.words.get(letters) or self._word(letters)) + (self.words.get(signs) or self._word(signs))
         packed = self._ids(word)
         if len(word) <= LONGEST:
             if len(self.words) >= REMEMBERED:
