@@ -306,7 +306,8 @@ def train(docs: DataFrame, labels: DataFrame, model: LanguageModel) -> Score:
         return Score({}, np.zeros(0), 30.0 if n1 else -30.0)
     counted = rows.mapInPandas(count, "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     share = (F.col("n0") + F.col("n1")) / (n0 + n1)
-    z = (F.col("n1") / n1 - F.col("n0") / n0) / F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
+    spread = F.greatest(share * (1 - share) * (1 / n0 + 1 / n1), F.lit(1e-12))  # a feature of all documents has none
+    z = (F.col("n1") / n1 - F.col("n0") / n0) / F.sqrt(spread)
     kept = counted.where(F.abs(z) >= LEAST_Z).orderBy(F.desc(F.abs(z)), "feature").limit(FEATURES).select("feature").collect()
     features = {r["feature"]: i for i, r in enumerate(kept)}
 
