@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenure.contracts import Contract
@@ -35,31 +35,34 @@ def contract_violations(tables: dict[str, DataFrame], contracts: dict[str, Contr
 
     Columns: ``table_name``, ``rule`` (``unique``, ``not_null`` or ``reference``),
     ``column_name``, ``value`` and ``n_rows``. References to tables not given are skipped.
+
+    Each table is read once: a row states its key, its references and its missing columns, which are
+    counted together. A table that others refer to is read once more for its keys.
     """
-    def report(df: DataFrame, table: str, rule: str, columns: Sequence[str]) -> DataFrame:
-        value = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
-        return df.select(
-            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-            F.lit("|".join(columns)).alias("column_name"), value.alias("value"), "n_rows",
+    def statement(rule: str, name: str, parent: str | None, parts: Sequence[Column]) -> Column:
+        return F.struct(
+            F.lit(rule).alias("rule"), F.lit(name).alias("column_name"), F.lit(parent).cast("string").alias("parent"),
+            F.array(*[p.cast("string") for p in parts]).alias("parts"),
         )
 
-    found = []
+    stated, parents = [], {}
     for name, df in tables.items():
         contract = contracts[name]
-        found.append(report(pk_duplicates(df, contract.key), name, "unique", contract.key))
-        required = [f.name for f in contract.schema if not f.nullable and f.name in df.columns]
-        absent = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
-        if absent:
-            nulls = (
-                df.select(F.explode(F.array_compact(F.array(*absent))).alias("column_name"))
-                .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_rows"))
-            )
-            found.append(nulls.select(
-                F.lit(name).alias("table_name"), F.lit("not_null").alias("rule"), "column_name",
-                F.lit(None).cast("string").alias("value"), "n_rows",
-            ))
+        said = [statement("unique", "|".join(contract.key), None, [F.col(c) for c in contract.key])]
         for column, parent, parent_key in contract.references:
             if parent in tables:
-                orphans = fk_orphans(df, column, tables[parent], parent_key)
-                found.append(report(orphans, name, "reference", [column]))
-    return reduce(DataFrame.unionByName, found)
+                said.append(F.when(F.col(column).isNotNull(), statement("reference", column, f"{parent}.{parent_key}", [F.col(column)])))
+                parents[f"{parent}.{parent_key}"] = tables[parent].select(F.col(parent_key).cast("string").alias("__key"))
+        required = [f.name for f in contract.schema if not f.nullable and f.name in df.columns]
+        said += [F.when(F.col(c).isNull(), statement("not_null", c, None, [F.lit(None)])) for c in required]
+        stated.append(
+            df.select(F.explode(F.array_compact(F.array(*said))).alias("s")).groupBy("s.rule", "s.column_name", "s.parent", "s.parts")
+            .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(name))
+            .filter((F.col("rule") != "unique") | (F.col("n_rows") > 1))
+        )
+    every = reduce(DataFrame.unionByName, stated)
+    if parents:
+        known = reduce(DataFrame.unionByName, [keys.distinct().withColumn("__of", F.lit(of)) for of, keys in parents.items()])
+        every = every.join(known, (F.col("parent") == F.col("__of")) & (F.element_at("parts", 1) == F.col("__key")), "left_anti")
+    value = F.when(F.col("rule") != "not_null", F.concat_ws("|", "parts"))
+    return every.select("table_name", "rule", "column_name", value.alias("value"), "n_rows")

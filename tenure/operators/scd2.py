@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tenure.contracts import LOAD_METADATA, SCD2_COLUMNS
 from tenure.functions.times import as_timestamp
+from tenure.operators.dedup import latest_by
 
 
 def tracked_columns(source: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -53,10 +54,10 @@ def scd2_changes(
     tracked = tracked_columns(source, keys) if tracked is None else list(tracked)
     compared = [*keys, *tracked]
     current = active_versions(target).select([F.col(c).alias(f"tgt_{c}") for c in compared])
-    same_key = [F.col(k) == F.col(f"tgt_{k}") for k in keys]
-    is_new = F.col(f"tgt_{keys[0]}").isNull()
+    current = current.withColumn("__known", F.lit(True))
     differs = _any_differs([(F.col(c), F.col(f"tgt_{c}")) for c in tracked])
-    return source.join(current, same_key, "left").filter(is_new | differs)
+    joined = source.join(current, _null_safe("", "tgt_", keys), "left")
+    return joined.filter(F.col("__known").isNull() | differs).drop("__known")
 
 
 def scd2_staged(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,39 +76,51 @@ def scd2_staged(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return changes.withColumn("MERGEKEY", F.explode(copies))
 
 
-def scd2_step(
+def _null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Keys are equal; null keys equal each other."""
+    same: Column = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}"))
+    return same
+
+
+def _decided(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     as_of: str | datetime,
-    tracked: Sequence[str] | None = None,
-    close_missing: bool = False,
+    tracked: Sequence[str] | None,
+    close_missing: bool,
+    closing: str | None,
+    with_history: bool,
 ) -> DataFrame:
-    """The rows this load touches or keeps open: next open versions plus newly closed ones.
-
-    One full outer join of open versions with the source decides for each key whether it is
-    kept, closed, replaced or inserted, and emits its zero to two result rows. History that
-    was closed earlier takes no part and is not read.
-
-    Keys that left the source stay open unless ``close_missing``.
-    """
     tracked = tracked_columns(source, keys) if tracked is None else list(tracked)
     stamp = as_timestamp(as_of)
     columns = target.columns
     types = {f.name: f.dataType for f in target.schema}
-
-    old = active_versions(target).select(
-        *[F.col(k).alias(f"__old_{k}") for k in keys], F.struct(*columns).alias("__old")
+    # Of source rows that share a key, the newest counts, so that no key gets two open versions.
+    newest = [c for c in ("last_updated",) if c in source.columns]
+    source = latest_by(source, keys, newest)
+
+    # Closed history passes through the same join: a marked row of the target never meets the source.
+    is_open = F.col("active_status").eqNullSafe("Y")
+    used = target if with_history else target.filter(is_open)
+    old = used.select(
+        *[F.col(k).alias(f"__old_{k}") for k in keys], is_open.alias("__open"), F.struct(*columns).alias("__old")
     )
     new = source.select(
-        *[F.col(k).alias(f"__new_{k}") for k in keys], F.struct(*source.columns).alias("__new")
+        *[F.col(k).alias(f"__new_{k}") for k in keys], F.lit(True).alias("__new_open"), F.struct(*source.columns).alias("__new")
     )
-    joined = old.join(new, [F.col(f"__old_{k}") == F.col(f"__new_{k}") for k in keys], "full_outer")
+    joined = old.join(new, _null_safe("__old_", "__new_", keys) & (F.col("__open") == F.col("__new_open")), "full_outer")
 
     has_old, has_new = F.col("__old").isNotNull(), F.col("__new").isNotNull()
+    current = has_old & F.col("__open")
     differs = _any_differs([(F.col(f"__old.{c}"), F.col(f"__new.{c}")) for c in tracked])
-    replaced = has_old & has_new & differs
-    closes = (replaced | (has_old & ~has_new)) if close_missing else replaced
+    withdrawn = F.lit(False) if closing is None else F.coalesce(F.col(f"__new.{closing}"), F.lit(False))
+    replaced = current & has_new & differs & ~withdrawn
+    closes = replaced | (current & has_new & withdrawn)
+    if close_missing:
+        closes = closes | (current & ~has_new)
 
     def version(name: str, overrides: dict[str, Column], available: Sequence[str]) -> Column:
         fields = []
@@ -125,11 +138,33 @@ def scd2_step(
     )
     results = F.array_compact(F.array(
         F.when(has_old, F.when(closes, closed).otherwise(kept)),
-        F.when(has_new & (~has_old | replaced), opened),
+        F.when(has_new & ~withdrawn & (~has_old | replaced), opened),
     ))
     return joined.select(F.explode(results).alias("__row")).select("__row.*")
 
 
+def scd2_step(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    as_of: str | datetime,
+    tracked: Sequence[str] | None = None,
+    close_missing: bool = False,
+    closing: str | None = None,
+) -> DataFrame:
+    """The rows this load touches or keeps open: next open versions plus newly closed ones.
+
+    One full outer join of open versions with the source decides for each key whether it is
+    kept, closed, replaced or inserted, and emits its zero to two result rows. History that
+    was closed earlier takes no part and is not read.
+
+    Keys are compared null-safe, so a row without a key is a key of its own and is not opened again
+    by each load. Of source rows that share a key the newest counts. Keys that left the source stay open unless
+    ``close_missing``. ``closing`` names a boolean source column: rows where it is true close their key.
+    """
+    return _decided(target, source, keys, as_of, tracked, close_missing, closing, with_history=False)
+
+
 def scd2_merge(
     target: DataFrame,
     source: DataFrame,
@@ -137,10 +172,10 @@ def scd2_merge(
     as_of: str | datetime,
     tracked: Sequence[str] | None = None,
     close_missing: bool = False,
+    closing: str | None = None,
 ) -> DataFrame:
-    """Next state of the whole dimension: earlier history plus the result of ``scd2_step``."""
-    history = target.filter(~F.col("active_status").eqNullSafe("Y"))
-    return history.unionByName(scd2_step(target, source, keys, as_of, tracked, close_missing))
+    """Next state of the whole dimension. The target is read once, so merges can be chained."""
+    return _decided(target, source, keys, as_of, tracked, close_missing, closing, with_history=True)
 
 
 def row_hash(df: DataFrame, columns: Sequence[str], name: str = "row_hash") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenure.functions.times import as_date
@@ -57,19 +57,26 @@ def clip_windows(
     from_dt: str | date | None = None,
     to_dt: str | date | None = None,
     keep_previous: bool = False,
+    key: str = "subscription_id",
+    order: str = "version_no",
 ) -> DataFrame:
     """Cut windows to ``[from_dt, to_dt]``.
 
-    With ``keep_previous`` every version also keeps its last day before ``from_dt``. That is
-    what a LAG needs to see at the left edge, even for a subscription that paused long ago,
-    and costs at most one row per version.
+    With ``keep_previous`` every key also keeps its last day before ``from_dt``, from the version
+    that comes last by ``order`` on that day. That is what a LAG needs to see at the left edge,
+    even for a subscription that paused long ago, and costs at most one row per key.
     """
     clipped = windows
     if from_dt is not None:
         start = as_date(from_dt)
         if keep_previous:
-            start = F.least(F.date_sub(start, 1), F.col("last_day"))
-        clipped = clipped.withColumn("first_day", F.greatest(F.col("first_day"), start))
+            before = F.least(F.date_sub(start, 1), F.col("last_day"))
+            earlier = F.when(F.col("first_day") < start, F.struct(before.alias("day"), F.col(order).alias("nth")))
+            last = F.max(earlier).over(Window.partitionBy(key))
+            is_last = F.coalesce((F.col("first_day") < start) & (F.col("__last.day") == before) & (F.col("__last.nth") == F.col(order)), F.lit(False))
+            clipped = clipped.withColumn("__last", last)
+            start = F.when(is_last, before).otherwise(start)
+        clipped = clipped.withColumn("first_day", F.greatest(F.col("first_day"), start)).drop("__last")
     if to_dt is not None:
         clipped = clipped.withColumn("last_day", F.least(F.col("last_day"), as_date(to_dt)))
     return clipped.filter(F.col("first_day") <= F.col("last_day"))

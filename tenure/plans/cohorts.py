@@ -146,17 +146,22 @@ def retention_cohorts(
 
 
 def retention_from_fact(customers: DataFrame, fact: DataFrame, as_of: str | date, grain: str = "month") -> DataFrame:
-    """Subscription retention by looking the period date up in the daily fact."""
+    """Subscription retention by looking the period date up in the daily fact.
+
+    Only days that are some cohort's period date are looked at: a few per calendar month, which bounds
+    what is broadcast. A fact by ``dt_month`` is read in those months only.
+    """
     matrix = cohort_period_matrix(customer_cohorts(customers, grain), as_of)
-    active_days = (
-        fact.filter(F.col("status_at_day") == ACTIVE)
-        .select("customer_id", F.col("dt").alias("period_date"), F.lit(1).alias("is_retained"))
-        .distinct()
-    )
+    dates = matrix.select(F.col("period_date").alias("dt")).distinct()
+    used = fact.filter(F.col("status_at_day") == ACTIVE)
+    if "dt_month" in fact.columns:
+        used = used.join(F.broadcast(dates.select(F.date_format("dt", "yyyy-MM").alias("dt_month")).distinct()), "dt_month", "left_semi")
+    active_days = used.join(F.broadcast(dates), "dt", "left_semi").select("customer_id", F.col("dt").alias("period_date")).distinct()
+    # The matrix has a customer once per period, and the days are distinct: a count of matches is a count of customers.
     cells = (
-        matrix.join(active_days, ["customer_id", "period_date"], "left")
+        matrix.join(active_days.withColumn("is_retained", F.lit(1)), ["customer_id", "period_date"], "left")
         .groupBy("cohort_month", "cohort_size", "period_name", "period_number", "period_date")
-        .agg(F.count_distinct(F.when(F.col("is_retained") == 1, F.col("customer_id"))).alias("retained_users"))
+        .agg(F.count("is_retained").alias("retained_users"))
     )
     return _with_rates(cells, "subscription")
 

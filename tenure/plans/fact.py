@@ -201,6 +201,32 @@ def priced_windows(
     )
 
 
+def priced_days(windows: DataFrame, plans: DataFrame, active_only: bool = False) -> DataFrame:
+    """One row per window and day with the plan of that day: plans are matched per window, not per day."""
+    return explode_days(priced_windows(windows, plans, active_only))
+
+
+def price_ranges(plans: DataFrame) -> DataFrame:
+    """Open plan versions whose ranges end, at the latest, the day before the next range of their plan begins."""
+    following = F.lead("effective_from").over(Window.partitionBy("plan_id").orderBy("effective_from"))
+    used = plans.filter(F.col("active_status") == "Y") if "active_status" in plans.columns else plans
+    return used.withColumn("effective_to", F.least(F.col("effective_to").cast("date"), F.date_sub(following, 1)))
+
+
+def one_at_a_time(versions: DataFrame, valid_from: str = "start_date", valid_to: str = "end_date") -> DataFrame:
+    """Subscription versions of which at most one holds at any time.
+
+    A version ends, at the latest, when the next one of its subscription begins. Of versions that begin together the one of
+    the latest business start counts, and a row of an earlier business start that arrives late changes nothing. For
+    business time, give open versions only: those that a load replaced say what was once believed.
+    """
+    order = Window.partitionBy("subscription_id").orderBy(valid_from, "sub_start_date")
+    latest = F.max("sub_start_date").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    used = versions.withColumn("__latest", latest).filter(F.col("sub_start_date") >= F.col("__latest")).drop("__latest")
+    following = F.lead(valid_from).over(order).cast(versions.schema[valid_to].dataType)
+    return used.withColumn(valid_to, F.least(F.col(valid_to), following))
+
+
 def _flag(status: str) -> Column:
     return F.coalesce((F.col("status") == status).cast("int"), F.lit(0))
 

@@ -135,6 +135,9 @@ def kpi_daily_changepoints(
 ) -> DataFrame:
     """The same KPIs as ``kpi_daily`` over half-open versions, without expanding days.
 
+    Versions of one subscription must not overlap (see ``one_at_a_time``; ``overlapping_ranges`` finds
+    offenders), since a running total can't tell which of two rows of a day comes first.
+
     Revenue only moves where a version or a plan price begins or ends. Versions are cut at
     plan price changes, each piece states what it adds on its first day and removes after
     its last, and a running sum over the days turns that into daily totals. Work follows
@@ -142,10 +145,10 @@ def kpi_daily_changepoints(
     """
     windows = subscription_windows(subscriptions, as_of, valid_from, valid_to, HALF_OPEN)
     pieces = priced_windows(windows, plans, active_plans_only, max_broadcast_bytes).select(
-        "subscription_id", "status", cents(F.col("monthly_price")).alias("price"),
+        "subscription_id", "version_no", "status", cents(F.col("monthly_price")).alias("price"),
         F.col("first_day").alias("starts"), F.col("last_day").alias("ends"),
     )
-    history = Window.partitionBy("subscription_id").orderBy("starts")
+    history = Window.partitionBy("subscription_id").orderBy("starts", "version_no")
     zero = F.lit(0).cast("long")
     moves = _movements(F.col("status"), F.col("price"), F.col("before"), F.col("price_before"), zero)
     moved = pieces.withColumns({

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -21,9 +21,6 @@ FIRST_WATERMARK = "1900-01-01"
 CONFIG_SCHEMA = "ext"
 CONFIG_TABLE = "copy_config"
 
-#: More specs than this is not a config table.
-MAX_SPECS = 10_000
-
 
 @dataclass(frozen=True)
 class ExtractSpec:
@@ -36,12 +33,10 @@ class ExtractSpec:
         return self.load_type == INCREMENTAL
 
 
-def extract_specs(config: DataFrame) -> list[ExtractSpec]:
-    """The rows of the config table. It is read by the driver, so its size is checked."""
-    rows = conform(config, COPY_CONFIG.schema).orderBy("source_name").limit(MAX_SPECS + 1).collect()
-    if len(rows) > MAX_SPECS:
-        raise ValueError(f"config table has more than {MAX_SPECS} rows")
-    return [ExtractSpec(r.source_name, r.load_type, r.source_query) for r in rows]
+def extract_specs(config: DataFrame) -> Iterator[ExtractSpec]:
+    """The rows of the config table, one after another; each becomes a lazy extract of its own."""
+    for r in conform(config, COPY_CONFIG.schema).orderBy("source_name").toLocalIterator():
+        yield ExtractSpec(r.source_name, r.load_type, r.source_query)
 
 
 def read_config(spark: SparkSession, schema: str = CONFIG_SCHEMA, table: str = CONFIG_TABLE) -> DataFrame:
@@ -88,14 +83,39 @@ def extract(
     return full_extract(spark, spec.source_query)
 
 
+Since = str | date | datetime
+
+
+def since_of(since: Since | dict[str, Since], source: str) -> Since:
+    """The watermark of a source: one for all, or one for each, which begins at FIRST_WATERMARK."""
+    return since.get(source, FIRST_WATERMARK) if isinstance(since, dict) else since
+
+
 def extract_all(
     spark: SparkSession,
     config: DataFrame,
     read_table: Callable[[str], DataFrame] | None = None,
-    since: str | date | datetime = FIRST_WATERMARK,
+    since: Since | dict[str, Since] = FIRST_WATERMARK,
+    run_query: Callable[[ExtractSpec], DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """One lazy extract per config row, by source name."""
-    return {s.source_name: extract(spark, s, read_table, since) for s in extract_specs(config)}
+    """One lazy extract per config row, by source name.
+
+    ``since`` is one watermark or one per source. ``run_query`` takes over both load types, for instance to let a
+    database run them: ``lambda spec: jdbc_query(spark, url, source_query(spec, "sales", since_of(since, spec.source_name)))``.
+    """
+    if run_query is not None:
+        return {s.source_name: run_query(s) for s in extract_specs(config)}
+    return {s.source_name: extract(spark, s, read_table, since_of(since, s.source_name)) for s in extract_specs(config)}
+
+
+def next_watermarks(
+    extracts: dict[str, DataFrame], since: Since | dict[str, Since] = FIRST_WATERMARK, column: str = WATERMARK_COLUMN
+) -> dict[str, Since]:
+    """The next watermark of each extract that has the column: the newest value seen, or the one it began with."""
+    return {
+        name: next_watermark(df, since_of(since, name), column).first()["next_watermark"]
+        for name, df in extracts.items() if column in df.columns
+    }
 
 
 def source_query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from tenure import contracts
 from tenure.contracts import CUSTOMERS, EVENTS, INVOICES, SUBSCRIPTIONS, conform
 from tenure.functions.countries import assigned_country_codes
-from tenure.functions.times import as_date
+from tenure.functions.times import as_date, as_timestamp
 from tenure.operators.checks import contract_violations, fk_orphans, pk_duplicates
 from tenure.operators.scd2 import (
     row_hash,
@@ -258,11 +259,13 @@ def scd2_staged_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_merge_customers_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers known before 1997, with one country spoilt, meet the full clean table."""
-    source = customers_silver_q(spark, sf).drop("last_updated", "ingestion_date", "source_file")
-    known = scd2_initial(source.filter(F.col("created_at") < F.lit("1997-01-01").cast("timestamp")), FIRST_LOAD_TS)
+    """The state after the first load, with one country spoilt, meets the state after both loads."""
+    loads = _bronze_customers(spark, sf)
+    metadata = ("last_updated", "ingestion_date", "source_file")
+    first = silver.clean_customers(loads.filter(F.col("last_updated") <= as_timestamp("2000-01-01")), assigned_country_codes(spark))
+    known = scd2_initial(first.drop(*metadata), FIRST_LOAD_TS)
     spoilt = conditional_update(known, F.col("country") == "IN", {"country": "test", "is_valid_country": False})
-    return dimensions.merge_customers(spoilt, source, LOAD_TS)
+    return dimensions.merge_customers(spoilt, customers_silver_q(spark, sf).drop(*metadata), LOAD_TS)
 
 
 def scd2_merge_plans_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -287,7 +290,11 @@ def scd2_close_missing_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def row_hash_q(spark: SparkSession, sf: str) -> DataFrame:
-    return row_hash(d.current_subscriptions(_orders(spark, sf), d.AS_OF), dimensions.SUBSCRIPTION_TRACKED)
+    """Orders grouped by three columns and by the hash of those columns: equal hashes must mean equal values."""
+    hashed = row_hash(d.subscriptions_raw(_orders(spark, sf)).select("plan_id", "status", "start_date"), ["plan_id", "status", "start_date"])
+    by_value = hashed.groupBy("plan_id", "status", "start_date", "row_hash").agg(F.count(F.lit(1)).alias("n_equal_values"))
+    by_hash = by_value.groupBy("row_hash").agg(F.sum("n_equal_values").alias("n_equal_hashes"), F.count(F.lit(1)).alias("n_values"))
+    return by_value.join(by_hash, "row_hash").drop("row_hash")
 
 
 # --- sinks ----------------------------------------------------------------------------
@@ -323,8 +330,8 @@ def date_spine_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def asof_plan_join_q(spark: SparkSession, sf: str) -> DataFrame:
-    daily = fact.date_spine(_versions(spark, sf), d.AS_OF).drop("version_no", "customer_id", "status_at_day")
-    return fact.attach_plan(daily, _plans(spark, sf))
+    windows = fact.subscription_windows(_versions(spark, sf), d.AS_OF).select("subscription_id", "plan_id", "first_day", "last_day")
+    return fact.priced_days(windows, _plans(spark, sf))
 
 
 def fact_daily_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -363,8 +370,12 @@ def kpi_daily_changepoints_q(spark: SparkSession, sf: str) -> DataFrame:
 # --- cohorts --------------------------------------------------------------------------
 
 
+def _signups(spark: SparkSession, sf: str) -> DataFrame:
+    return d.customer_dates(d.table(spark, sf, "customer"), _orders(spark, sf))
+
+
 def _cohorts(spark: SparkSession, sf: str, grain: str = "month") -> DataFrame:
-    return cohorts.customer_cohorts(d.customer_dates(_orders(spark, sf)), grain)
+    return cohorts.customer_cohorts(_signups(spark, sf), grain)
 
 
 def customer_cohorts_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -384,11 +395,11 @@ def cohort_period_matrix_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def retention_cohorts_q(spark: SparkSession, sf: str) -> DataFrame:
-    return cohorts.retention_cohorts(d.customer_dates(_orders(spark, sf)), _versions(spark, sf), d.AS_OF)
+    return cohorts.retention_cohorts(_signups(spark, sf), _versions(spark, sf), d.AS_OF)
 
 
 def retention_from_fact_q(spark: SparkSession, sf: str) -> DataFrame:
-    return cohorts.retention_from_fact(d.customer_dates(_orders(spark, sf)), _fact(spark, sf), d.AS_OF)
+    return cohorts.retention_from_fact(_signups(spark, sf), _fact(spark, sf), d.AS_OF)
 
 
 def retention_engagement_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,11 +412,17 @@ def retention_engagement_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fk_orphans_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Invoices whose subscription is not among the orders that were kept."""
-    kept = _orders(spark, sf).filter(F.col("o_orderstatus") != "O").select(
-        F.col("o_orderkey").cast("string").alias("subscription_id")
-    )
-    return fk_orphans(d.invoices_raw(d.table(spark, sf, "lineitem")), "subscription_id", kept, "subscription_id")
+    """The foreign keys of the given tables: how many values and rows each refers with, and how many of them find no parent."""
+    out = []
+    for child, column, parent, key in (
+        ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"),
+        ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("orders", "o_custkey", "customer", "c_custkey"),
+        ("customer", "c_nationkey", "nation", "n_nationkey"), ("events", "user_id", "customer", "c_custkey"),
+    ):
+        orphans = fk_orphans(d.table(spark, sf, child), column, d.table(spark, sf, parent), key)
+        out.append(orphans.agg(F.count(F.lit(1)).alias("n_values"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
+                   .select(F.lit(f"{child}.{column}").alias("reference"), "n_values", "n_rows"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def pk_duplicates_q(spark: SparkSession, sf: str) -> DataFrame:
