@@ -51,6 +51,7 @@ def _schema(columns: str, required: tuple[str, ...] = ()) -> T.StructType:
     return T.StructType([T.StructField(n, _TYPES[t], n not in required) for n, t in pairs])
 
 
+# Names and types of the tables as sources and marts have them.
 CUSTOMERS = Contract(
     _schema(
         "customer_id string, email_hash string, country string, created_at timestamp,"
@@ -140,6 +141,23 @@ COPY_CONFIG = Contract(
 )
 
 
+def widened(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in its contract, followed by the columns that the contract doesn't know, as they came.
+
+    Values that can't be cast become null and are named in ``__unusable`` (array of column names).
+    """
+    present = {f.name: f.dataType for f in df.schema}
+    extra = [c for c in df.columns if c not in schema.names]
+    lost = [
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+        for f in schema if f.name in present and present[f.name] != f.dataType
+    ]
+    unusable = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+    marked = df.withColumn("__unusable", unusable)
+    cast = conform(marked, T.StructType([*schema, *(T.StructField(c, present[c]) for c in extra), T.StructField("__unusable", T.ArrayType(T.StringType()))]), on_error="null")
+    return cast
+
+
 def conform(df: DataFrame, schema: T.StructType, on_error: str = "raise") -> DataFrame:
     """Project ``df`` onto ``schema``, casting each column.
 

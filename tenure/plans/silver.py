@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenure.functions.countries import is_country
@@ -13,6 +13,25 @@ from tenure.functions.times import parse_event_ts
 from tenure.operators.dedup import latest_by
 
 
+def customer_rule(country_codes: Iterable[str]) -> Column:
+    """The rule a customer breaks; null for none."""
+    return F.when(~F.coalesce(is_hashed_email(F.col("email_hash")), F.lit(False)), "raw_email").when(
+        ~F.coalesce(is_country(F.col("country"), country_codes), F.lit(False)), "country")
+
+
+def subscription_rule(end: str = "sub_end_date") -> Column:
+    return F.when(~F.coalesce(has_consistent_lifecycle(F.col("status"), F.col(end)), F.lit(False)), "lifecycle")
+
+
+def invoice_rule() -> Column:
+    plausible = is_plausible_invoice(F.col("amount"), F.col("currency"), F.col("paid"), F.col("failure_reason"))
+    return F.when(~F.coalesce(plausible, F.lit(False)), "quality")
+
+
+def event_rule() -> Column:
+    return F.when(F.col("event_ts").isNull(), "timestamp")
+
+
 def clean_customers(bronze: DataFrame, country_codes: Iterable[str]) -> DataFrame:
     """Newest row per customer, kept if the e-mail is hashed and the country is assigned."""
     return (

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenure.operators.scd2 import scd2_initial, scd2_step
+from tenure.sources.files import delete, exists, folders
 
 
 def _batch_path(root: str, batch_id: str) -> str:
@@ -62,9 +63,26 @@ def merge_dimension(
     tracked: Sequence[str] | None = None,
     close_missing: bool = False,
     fmt: str = "parquet",
+    closing: str | None = None,
 ) -> None:
     """Merge ``source`` into the dimension as a new batch."""
     if batch_id <= previous_batch:
         raise ValueError(f"batch {batch_id!r} must sort after {previous_batch!r}")
     target = read_dimension(spark, root, schema, previous_batch, fmt)
-    _write_batch(scd2_step(target, source, keys, as_of, tracked, close_missing), root, batch_id, fmt)
+    _write_batch(scd2_step(target, source, keys, as_of, tracked, close_missing, closing), root, batch_id, fmt)
+
+
+def retire_open_versions(spark: SparkSession, root: str, before_batch: str) -> list[str]:
+    """Delete the copies of open versions of batches before ``before_batch``, which later batches replace.
+
+    Closed history stays. Such a batch can no longer be read as a state of its own.
+    """
+    gone = []
+    for name in folders(spark, root):
+        batch = name.removeprefix("batch_id=")
+        if name.startswith("batch_id=") and batch < before_batch:
+            path = f"{root.rstrip('/')}/{name}/active_status=Y"
+            if exists(spark, path):
+                delete(spark, path)
+                gone.append(batch)
+    return gone

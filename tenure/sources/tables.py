@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenure.contracts import EVENTS
+from tenure.sources.files import delete
 
 
 def landing_path(root: str, source: str, batch_id: str) -> str:
@@ -72,12 +73,24 @@ def save_as_table(df: DataFrame, name: str, path: str, fmt: str = "parquet", mod
     df.write.format(fmt).mode(mode).option("path", path).saveAsTable(name)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
-    """Replace just the partitions that ``df`` has rows for."""
+def overwrite_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", every: Iterable[Sequence[str]] = ()
+) -> None:
+    """Replace the partitions that ``df`` has rows for.
+
+    ``every`` lists the partitions (values in order) that ``df`` stands for: of these, the ones without rows
+    are removed, since nothing is left in them.
+    """
     (
         df.hint("rebalance", *[F.col(c) for c in partition_by]).write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
     )
+    every = {tuple(map(str, values)) for values in every}
+    if every:
+        cells = df.select(*[F.col(c).cast("string") for c in partition_by]).distinct()
+        present = {tuple(r) for r in cells.filter(F.concat_ws("/", *partition_by).isin(["/".join(v) for v in every])).collect()}
+        for values in sorted(every - present):
+            delete(df.sparkSession, "/".join([path.rstrip("/"), *(f"{c}={v}" for c, v in zip(partition_by, values, strict=True))]))
 
 
 def with_month(df: DataFrame, day: str = "dt", name: str = "dt_month") -> DataFrame:

@@ -60,36 +60,56 @@ def undated(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_ts").isNull()).drop("arrival")
 
 
-def write_available(
-    stream: DataFrame, out: str, checkpoint: str, state_partitions: int | None = None
-) -> StreamingQuery:
-    """Process everything that has arrived into Parquet, then stop. Restarts go on from ``checkpoint``.
+def unreadable(spark: SparkSession, path: str) -> DataFrame:
+    """As a stream, the rows that have no place in ``drop_redelivered``: lines that are no JSON, and events without a
+    readable timestamp, with the reason."""
+    lines = spark.readStream.text(path)
+    parsed = F.from_json("value", T.StructType([T.StructField(f.name, f.dataType) for f in EVENTS.schema]))
+    event = lines.select("value", parsed.alias("event")).filter(F.trim("value") != "")
+    is_json = F.coalesce(F.try_parse_json("value").isNotNull(), F.lit(False))
+    reason = F.when(~is_json, "not_json").when(parse_event_ts(F.col("event.event_ts")).isNull(), "timestamp")
+    return event.select(F.col("event.event_id").alias("event_id"), reason.alias("reason"), "value").filter("reason is not null")
+
+
+def late_events(delivered: DataFrame, kept: DataFrame) -> DataFrame:
+    """Dated events that were delivered and are not among those kept: they came later than the watermark."""
+    dated = delivered.filter(F.col("event_ts").isNotNull())
+    return dated.join(kept.select("event_id").distinct(), "event_id", "left_anti")
+
+
+#: Progress reports a run keeps, so that ``late_rows`` adds up all of them.
+PROGRESS_KEPT = 100_000
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for a stream: its settings change nothing for queries of other sessions.
 
     ``state_partitions`` sets how many partitions state is kept in. A checkpoint keeps the
-    number it began with, so choose it for the expected volume; without it the session's
-    shuffle partitions count.
+    number it began with, so choose it for the expected volume.
     """
-    writer = (
+    own = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(name, spark.conf.get(name))
+    own.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(PROGRESS_KEPT))
+    if state_partitions is not None:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
+
+
+def write_available(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Process everything that has arrived into Parquet, then stop. Restarts go on from ``checkpoint``."""
+    query = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(availableNow=True).start()
     )
-    conf, setting = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(setting)
-    try:
-        # A query takes its settings when it starts.
-        conf.set(setting, before if state_partitions is None else str(state_partitions))
-        query = writer.start()
-    finally:
-        conf.set(setting, before)
     query.awaitTermination()
     return query
 
 
 def late_rows(query: StreamingQuery) -> int:
     """Rows the query dropped as later than its watermark."""
-    return sum(
-        state.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
+    reports = query.recentProgress
+    if len(reports) >= PROGRESS_KEPT:
+        raise RuntimeError("the run made more reports than are kept")
+    return sum(state.get("numRowsDroppedByWatermark", 0) for r in reports for state in r["stateOperators"])

@@ -36,7 +36,7 @@ from tenure.sources.tables import (
     write_landing,
     write_table,
 )
-from tenure.streaming.events import drop_redelivered, event_stream, write_available
+from tenure.streaming.events import drop_redelivered, event_stream, stream_session, write_available
 from testbed import domain as d
 
 LOAD_TS = "2001-08-01 06:00:00"
@@ -443,20 +443,21 @@ def contract_violations_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     out = scratch_path(spark, name)
-    cores = spark.sparkContext.defaultParallelism
-    write_available(stream, out, scratch_path(spark, f"{name}-checkpoint"), state_partitions=cores)
+    write_available(stream, out, scratch_path(spark, f"{name}-checkpoint"))
     return spark.read.schema(stream.schema).parquet(out)
 
 
 def events_stream_q(spark: SparkSession, sf: str) -> DataFrame:
-    stream = event_stream(spark, _land_events(spark, sf, "stream-landing"), EVENTS.schema).drop("arrival")
+    own = stream_session(spark, spark.sparkContext.defaultParallelism)
+    stream = event_stream(own, _land_events(spark, sf, "stream-landing"), EVENTS.schema).drop("arrival")
     return _streamed(spark, stream, "stream-out")
 
 
 def events_stream_dedup_q(spark: SparkSession, sf: str) -> DataFrame:
     """Purchases are delivered twice. The watermark spans the month of events: nothing is late."""
     path = _land_events(spark, sf, "dedup-landing", redeliver=True)
-    return _streamed(spark, drop_redelivered(event_stream(spark, path, EVENTS.schema), "40 days"), "dedup-out")
+    own = stream_session(spark, spark.sparkContext.defaultParallelism)
+    return _streamed(spark, drop_redelivered(event_stream(own, path, EVENTS.schema), "40 days"), "dedup-out")
 
 
 def _named(query: Query) -> Query:
