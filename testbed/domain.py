@@ -183,3 +183,43 @@ def user_dates(events: DataFrame) -> DataFrame:
     return events.groupBy(F.col("user_id").cast("string").alias("customer_id")).agg(
         F.min("ts").alias("created_at")
     )
+
+
+# --- two loads through the jobs --------------------------------------------------------
+
+FIRST_CUT, SECOND_CUT, JOB_AS_OF = "1999-09-30", "1999-12-31", "2000-02-29"
+FIRST_RUN, SECOND_RUN = "1999-10-01 06:00:00", "2000-01-01 06:00:00"
+
+
+def _source_subscriptions(orders: DataFrame, cut: str) -> DataFrame:
+    return current_subscriptions(orders, cut).withColumnsRenamed({"sub_start_date": "start_date", "sub_end_date": "end_date"}).withColumn(
+        "last_updated", F.col("start_date").cast("timestamp_ntz")
+    )
+
+
+def _source_plans(part: DataFrame, repriced: bool) -> DataFrame:
+    """All price lists; in the second load the lists of plan 1 are dearer by ten."""
+    lists = plan_versions(part).withColumn("last_updated", as_timestamp(FIRST_CUT))
+    if not repriced:
+        return lists
+    return lists.filter("plan_id = '1'").withColumns({
+        "monthly_price": (F.col("monthly_price") + 10).cast(MONEY), "last_updated": as_timestamp(SECOND_CUT),
+    })
+
+
+def first_load(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Everything as the sources showed it on the first day."""
+    orders = table(spark, sf, "orders")
+    customers = customers_raw(table(spark, sf, "customer"), orders).filter(F.col("last_updated") <= as_timestamp("2000-01-01"))
+    return {
+        "customers": customers, "plans": _source_plans(table(spark, sf, "part"), repriced=False),
+        "subscriptions": _source_subscriptions(orders, FIRST_CUT), "invoices": invoices_raw(table(spark, sf, "lineitem")),
+    }
+
+
+def second_load(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """What is newer: subscriptions with a later order, dearer price lists, moved customers."""
+    orders = table(spark, sf, "orders")
+    newer = _source_subscriptions(orders, SECOND_CUT).filter(F.col("start_date") > as_date(FIRST_CUT))
+    customers = customers_raw(table(spark, sf, "customer"), orders).filter(F.col("last_updated") > as_timestamp("2000-01-01"))
+    return {"customers": customers, "plans": _source_plans(table(spark, sf, "part"), repriced=True), "subscriptions": newer}

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenure import contracts
+from tenure import contracts, jobs
 from tenure.contracts import CUSTOMERS, EVENTS, INVOICES, SUBSCRIPTIONS, conform
 from tenure.functions.countries import assigned_country_codes
 from tenure.functions.times import as_date, as_timestamp
+from tenure.jobs import Layout
 from tenure.operators.checks import contract_violations, fk_orphans, pk_duplicates
 from tenure.operators.scd2 import (
     row_hash,
@@ -408,6 +409,85 @@ def retention_engagement_q(spark: SparkSession, sf: str) -> DataFrame:
     return cohorts.retention_engagement(d.user_dates(events), seen, EVENTS_AS_OF, "week")
 
 
+# --- the whole flow -------------------------------------------------------------------
+
+_LAKES: dict[tuple[str, str], Layout] = {}
+
+
+def _lake(spark: SparkSession, sf: str) -> tuple[Layout, str]:
+    """The layers after two loads of the mapped tables, made once per session and scale."""
+    made = (spark.sparkContext.applicationId, sf)
+    if made not in _LAKES:
+        layout = Layout(scratch_path(spark, "lake"))
+        previous = None
+        for batch, run, extracts in (("b1", d.FIRST_RUN, d.first_load(spark, sf)), ("b2", d.SECOND_RUN, d.second_load(spark, sf))):
+            jobs.land(extracts, layout, batch)
+            jobs.load_bronze(spark, layout, batch, run, list(extracts))
+            jobs.load_silver(spark, layout, batch, tables=list(extracts))
+            jobs.load_dimensions(spark, layout, batch, run, previous_batch=previous)
+            previous = batch
+        _LAKES[made] = layout
+    return _LAKES[made], "b2"
+
+
+BUSINESS = {"valid_from": "sub_start_date", "valid_to": "sub_end_date"}
+
+
+def job_fact_q(spark: SparkSession, sf: str) -> DataFrame:
+    layout, batch = _lake(spark, sf)
+    jobs.load_fact(spark, layout, batch, d.JOB_AS_OF)
+    return read_table(spark, layout.silver("fact_subscription_daily")).drop("dt_month")
+
+
+def _job_gold(spark: SparkSession, sf: str, name: str, validity: dict[str, str]) -> DataFrame:
+    layout, batch = _lake(spark, sf)
+    jobs.load_gold(spark, layout, batch, d.JOB_AS_OF, **validity)
+    # Copied, because the next mart of another kind of time takes its place.
+    out = scratch_path(spark, name)
+    write_table(read_table(spark, layout.gold(name)), out)
+    return read_table(spark, out)
+
+
+def job_kpi_q(spark: SparkSession, sf: str) -> DataFrame:
+    return _job_gold(spark, sf, "gold_kpi_daily", {})
+
+
+def job_kpi_business_q(spark: SparkSession, sf: str) -> DataFrame:
+    return _job_gold(spark, sf, "gold_kpi_daily", BUSINESS)
+
+
+def job_retention_q(spark: SparkSession, sf: str) -> DataFrame:
+    return _job_gold(spark, sf, "gold_retention_cohorts", BUSINESS)
+
+
+def silver_rejects_q(spark: SparkSession, sf: str) -> DataFrame:
+    """What silver keeps and what it rejects, by rule, after both loads."""
+    layout, _ = _lake(spark, sf)
+    counts = []
+    for name in ("customers", "plans", "subscriptions", "invoices"):
+        kept = jobs.current(spark, layout, name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), F.lit("kept").alias("rule"), "n_rows")
+        gone = jobs.rejected(spark, layout, name).groupBy("rule").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "rule", "n_rows")
+        counts += [kept, gone]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def event_rejects_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of which errors come without a time, clicks with one that can't be read, and purchases cut off in the middle of their line."""
+    layout = Layout(scratch_path(spark, "stream-lake"))
+    raw = d.raw_events(d.table(spark, sf, "events"), d.unique_event_id())
+    odd = raw.withColumn("event_ts", F.when(F.col("event_type") == "click", "soon").when(F.col("event_type") != "error", F.col("event_ts")))
+    line = F.to_json(F.struct(*raw.columns))
+    text = F.when(F.col("event_type") == "purchase", F.substring(line, 1, 40)).otherwise(line)
+    odd.select(text.alias("value")).write.text(f"{layout.landing}/event_stream")
+    jobs.load_event_stream(spark, layout, "40 days", spark.sparkContext.defaultParallelism)
+    counts = [
+        read_table(spark, layout.silver("event_stream")).select(F.lit("kept").alias("reason")),
+        read_table(spark, layout.silver("event_stream_unreadable")).select("reason"),
+        read_table(spark, layout.silver("event_stream_late")).select(F.lit("late").alias("reason")),
+    ]
+    return reduce(DataFrame.unionByName, counts).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # --- checks and streams ---------------------------------------------------------------
 
 
