@@ -27,11 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tenure.llm.common import cut, drop_cut, table, text_of
+from tenure.llm.common import cut, table, text_of
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 2048
 END = 0
+#: A class of sizes is done when a round places less than one in so many of its pieces.
+SETTLED = 200
 #: Words a worker remembers at most, and the longest that it remembers.
 REMEMBERED, LONGEST = 1_000_000, 64
 #: Characters on which str.split or str.lower differs from the tokenizer's own.
@@ -108,17 +110,18 @@ def _sorted(df: DataFrame, *order) -> DataFrame:
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-SWEPT = "piece boolean, id long, size long, free long, seq long, ofs long, left boolean, part int, rank long"
+SWEPT = "piece boolean, id long, size long, free long, seq long, ofs long, left boolean, part int, rank long, total boolean"
 
 
 def _sweep(batches: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFrame]:
     """One range, from large to small: each piece into the smallest gap that holds it.
 
-    Gives every piece (left: no gap found) and every gap (left: as large as any later range asks for).
+    Gives every piece (left: no gap found), every gap (left: as large as any later range asks for) and, marked as
+    total, a row with how many pieces (size) and gaps (free) are left and how many pieces found one (rank).
     rank orders the left pieces as swept, and the left gaps from the smallest.
     """
     gaps: list[tuple[int, int]] = []  # free, sequence; by size
-    part, low, n_left, rows = TaskContext.get().partitionId(), capacity, 0, []
+    part, low, n_left, n_placed, rows = TaskContext.get().partitionId(), capacity, 0, 0, []
     for batch in batches:
         for piece, uid, size in zip(batch["piece"], batch["id"], batch["size"], strict=True):
             low = size
@@ -127,34 +130,38 @@ def _sweep(batches: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFr
                 continue
             at = bisect_left(gaps, (size, -1))
             if at == len(gaps):
-                rows.append((True, uid, size, 0, 0, 0, True, part, n_left))
+                rows.append((True, uid, size, 0, 0, 0, True, part, n_left, False))
                 n_left += 1
                 continue
             free, seq = gaps.pop(at)
-            rows.append((True, uid, size, free - size, seq, capacity - free, False, part, 0))
+            rows.append((True, uid, size, free - size, seq, capacity - free, False, part, 0, False))
+            n_placed += 1
             insort(gaps, (free - size, seq))
         if len(rows) >= 50_000:
             yield _swept(rows)
             rows = []
     first = bisect_left(gaps, (low, -1))
     for i, (free, seq) in enumerate(gaps):
-        rows.append((False, seq, free, free, seq, 0, i >= first, part, i - first))
+        rows.append((False, seq, free, free, seq, 0, i >= first, part, i - first, False))
+    if n_left or n_placed or gaps:
+        rows.append((False, -1, n_left, len(gaps) - first, 0, 0, False, part, n_placed, True))
     yield _swept(rows)
 
 
 def _swept(rows: list) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[x.split()[0] for x in SWEPT.split(", ")]).astype(
-        {"piece": bool, "left": bool, "part": "int32"} | dict.fromkeys(("id", "size", "free", "seq", "ofs", "rank"), "int64")
+        {"piece": bool, "left": bool, "total": bool, "part": "int32"} | dict.fromkeys(("id", "size", "free", "seq", "ofs", "rank"), "int64")
     )
 
 
-def _segments(counts: list) -> list[tuple[int, int, int, int, int]]:
-    """Which left pieces take which left gaps: (pieces' range, first rank, gaps' range, first rank, how many)."""
+def _segments(totals: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Which left pieces take which left gaps: (pieces' range, first rank, gaps' range, first rank, how many).
+
+    totals: range, left pieces, left gaps. Pieces of a range take the smallest gaps of the ranges above it.
+    """
     found, stack = [], []  # the stack holds ranges above with what they have left: [range, next rank, how many]
-    n_pieces = {r["part"]: r["n"] for r in counts if r["piece"]}
-    n_gaps = {r["part"]: r["n"] for r in counts if not r["piece"]}
-    for part in sorted({*n_pieces, *n_gaps}):
-        taken, wanted = 0, n_pieces.get(part, 0)
+    for part, wanted, n_gaps in sorted(totals):
+        taken = 0
         while taken < wanted and stack:
             top = stack[-1]
             n = min(wanted - taken, top[2])
@@ -162,21 +169,31 @@ def _segments(counts: list) -> list[tuple[int, int, int, int, int]]:
             taken, top[1], top[2] = taken + n, top[1] + n, top[2] - n
             if not top[2]:
                 stack.pop()
-        if n := n_gaps.get(part, 0):
-            stack.append([part, 0, n])
+        if n_gaps:
+            stack.append([part, 0, n_gaps])
     return found
 
 
-def _matched(swept: DataFrame, segments: list, capacity: int) -> DataFrame:
-    """Left pieces with the left gaps that their ranks give them: id, size, free (what stays), seq, ofs."""
+def _crossed(swept: DataFrame, segments: list, capacity: int) -> DataFrame:
+    """Left pieces with the left gaps that their ranks give them: id, free (what stays), seq, ofs."""
     spark = swept.sparkSession
-    table_ = spark.createDataFrame([(i, *s) for i, s in enumerate(segments)], "seg int, p int, p0 long, g int, g0 long, n long")
+    table_ = F.broadcast(spark.createDataFrame([(i, *s) for i, s in enumerate(segments)], "seg int, p int, p0 long, g int, g0 long, n long"))  # two per range
     rows = swept.where("left")
-    taking = rows.where("piece").join(F.broadcast(table_), (F.col("part") == F.col("p")) & (F.col("rank") >= F.col("p0")) & (F.col("rank") < F.col("p0") + F.col("n")))
-    giving = rows.where("not piece").join(F.broadcast(table_), (F.col("part") == F.col("g")) & (F.col("rank") >= F.col("g0")) & (F.col("rank") < F.col("g0") + F.col("n")))
+    taking = rows.where("piece").join(table_, (F.col("part") == F.col("p")) & (F.col("rank") >= F.col("p0")) & (F.col("rank") < F.col("p0") + F.col("n")))
+    giving = rows.where("not piece").join(table_, (F.col("part") == F.col("g")) & (F.col("rank") >= F.col("g0")) & (F.col("rank") < F.col("g0") + F.col("n")))
     taking = taking.select("seg", (F.col("rank") - F.col("p0")).alias("nth"), "id", "size")
     giving = giving.select("seg", (F.col("rank") - F.col("g0")).alias("nth"), F.col("seq"), F.col("free").alias("gap"))
-    return taking.join(giving, ["seg", "nth"]).select("id", "size", (F.col("gap") - F.col("size")).alias("free"), "seq", (capacity - F.col("gap")).alias("ofs"))
+    return taking.join(giving, ["seg", "nth"]).select("id", (F.col("gap") - F.col("size")).alias("free"), "seq", (capacity - F.col("gap")).alias("ofs"))
+
+
+def _used(swept: DataFrame, segments: list) -> DataFrame:
+    """The swept rows with __used: how many of the range's left pieces, or left gaps, the segments take, which are the first by rank."""
+    used: dict[tuple[int, bool], int] = {}
+    for p, p0, g, g0, n in segments:
+        used[p, True], used[g, False] = p0 + n, g0 + n
+    table_ = swept.sparkSession.createDataFrame([(p, piece, n) for (p, piece), n in used.items()], "u_part int, u_piece boolean, u_n long")
+    joined = swept.join(F.broadcast(table_), (F.col("part") == F.col("u_part")) & (F.col("piece") == F.col("u_piece")), "left")
+    return joined.withColumn("__used", F.coalesce("u_n", F.lit(0)))
 
 
 def _fill(batches: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFrame]:
@@ -211,38 +228,41 @@ def place(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     items = cut(items.where(F.col("size") > small // 2).unionByName(bundled), "items")
     half = items.where(F.col("size") > capacity // 2)
     placed = [half.select("id", F.col("id").alias("seq"), F.lit(0).cast("long").alias("ofs"))]
-    gaps = cut(half.where(F.col("size") < capacity).select(F.col("id").alias("seq"), (capacity - F.col("size")).alias("free")), "gaps")
-    for high, low in ((capacity // 2, capacity // 3), (capacity // 3, capacity // 4), (capacity // 4, capacity // 8), (capacity // 8, 0)):
+    gaps = half.where(F.col("size") < capacity).select(F.col("id").alias("seq"), (capacity - F.col("size")).alias("free"))
+    for high, low in ((capacity // 2, capacity // 3), (capacity // 3, capacity // 6), (capacity // 6, 0)):
         pending = items.where((F.col("size") <= high) & (F.col("size") > low))
+        small_gaps, large_gaps = gaps.where(F.col("free") <= low), gaps.where(F.col("free") > low)
         while True:
             events = pending.select(F.lit(True).alias("piece"), "id", "size").unionByName(
-                gaps.where(F.col("free") > low).select(F.lit(False).alias("piece"), F.col("seq").alias("id"), F.col("free").alias("size"))
+                large_gaps.select(F.lit(False).alias("piece"), F.col("seq").alias("id"), F.col("free").alias("size"))
             )
             order = (F.desc("size"), F.asc("piece"), F.asc("id"))
             swept = cut(_sorted(events, *order).mapInPandas(lambda b: _sweep(b, capacity), SWEPT), "swept")
-            counts = swept.groupBy("part", "piece", "left").agg(F.count(F.lit(1)).alias("n")).collect()  # a few rows per range
-            segments = _segments([r for r in counts if r["left"]])
-            taken = sum(r["n"] for r in counts if r["piece"] and not r["left"])
-            left = sum(r["n"] for r in counts if r["piece"] and r["left"]) - sum(s[4] for s in segments)
-            placed.append(swept.where("piece and not left").select("id", "seq", "ofs"))
-            after = gaps.where(F.col("free") <= low)
-            still = swept.where("piece and left").select("id", "size")
-            open_ = swept.where("not piece").select("seq", "free")
+            totals = swept.where("total").select("part", "size", "free", "rank").collect()  # a row per range
+            rows = swept.where("not total")
+            segments = _segments([(r["part"], r["size"], r["free"]) for r in totals])
+            n_placed = sum(r["rank"] for r in totals) + sum(s[4] for s in segments)
+            left = sum(r["size"] for r in totals) - sum(s[4] for s in segments)
+            placed.append(rows.where("piece and not left").select("id", "seq", "ofs"))
+            pending = rows.where("piece and left").select("id", "size")
+            open_ = rows.where("not piece").select("seq", "free")
             if segments:
-                crossed = cut(_matched(swept, segments, capacity), "matched")
+                crossed = cut(_crossed(rows, segments, capacity), "crossed")
                 placed.append(crossed.select("id", "seq", "ofs"))
-                still = still.join(crossed.select("id"), "id", "left_anti")
-                open_ = open_.join(crossed.select("seq"), "seq", "left_anti").unionByName(crossed.select("seq", "free"))
-            before, gaps = gaps, cut(after.unionByName(open_.where("free > 0")), "gaps")
-            drop_cut(before)
-            pending = still
-            if not left or not (taken or segments):
+                marked = _used(rows, segments)
+                pending = marked.where("piece and left and rank >= __used").select("id", "size")
+                open_ = marked.where("not piece and (not left or rank >= __used)").select("seq", "free").unionByName(crossed.select("seq", "free"))
+            small_gaps = small_gaps.unionByName(open_.where((F.col("free") <= low) & (F.col("free") > 0)))
+            large_gaps = open_.where(F.col("free") > low)
+            # A round that places next to nothing leaves the rest to new sequences.
+            if not left or n_placed * SETTLED < left:
                 break
+        gaps = small_gaps.unionByName(large_gaps)
         if left:
             opened = _new_sequences(pending, capacity)
             placed.append(opened.select("id", "seq", "ofs"))
-            before, gaps = gaps, cut(gaps.unionByName(opened.where("free > 0").select("seq", "free")), "gaps")
-            drop_cut(before)
+            gaps = gaps.unionByName(opened.where("free > 0").select("seq", "free"))
+        gaps = cut(gaps, "gaps")
     whole = placed[0]
     for p in placed[1:]:
         whole = whole.unionByName(p)

@@ -63,8 +63,7 @@ def test_rounds_across_ranges(spark, frame):
 
 
 def test_segments_take_the_smallest_gaps_above():
-    counts = [dict(part=0, piece=False, n=3), dict(part=1, piece=True, n=2), dict(part=1, piece=False, n=1), dict(part=3, piece=True, n=5)]
-    assert _segments(counts) == [(1, 0, 0, 0, 2), (3, 0, 1, 0, 1), (3, 1, 0, 2, 1)]
+    assert _segments([(0, 0, 3), (1, 2, 1), (3, 5, 0)]) == [(1, 0, 0, 0, 2), (3, 0, 1, 0, 1), (3, 1, 0, 2, 1)]
 
 
 def test_ids_are_the_librarys():
