@@ -29,6 +29,8 @@ MAX_BITS = 2
 SEED = 42
 #: Fingerprints a variant may hold for its pairs to be listed; beyond, the exact way by neighbours.
 LISTED = 8
+#: Fingerprints whose variants one task lists: 64 rows each, which bounds its memory.
+FPS_PER_TASK = 20_000
 _BLOCK = 65_536
 
 
@@ -114,10 +116,15 @@ def links(fps: DataFrame) -> DataFrame:
     return pairs.unionByName(hung).distinct()
 
 
+def _spread(fps: DataFrame) -> DataFrame:
+    """The few bytes of the fingerprints over so many tasks that their variants fit."""
+    return fps.repartition(max(1, -(-fps.count() // FPS_PER_TASK)))
+
+
 def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     found = cut(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = cut(found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = components(links(distinct.select("fp")))
+    roots = components(links(_spread(distinct.select("fp"))))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return found.join(rooted.join(lowest, "root").select("fp", "component_id"), "fp")
