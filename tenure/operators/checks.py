@@ -63,6 +63,9 @@ def contract_violations(tables: dict[str, DataFrame], contracts: dict[str, Contr
     every = reduce(DataFrame.unionByName, stated)
     if parents:
         known = reduce(DataFrame.unionByName, [keys.distinct().withColumn("__of", F.lit(of)) for of, keys in parents.items()])
-        every = every.join(known, (F.col("parent") == F.col("__of")) & (F.element_at("parts", 1) == F.col("__key")), "left_anti")
+        # A left join and not an anti join, which would be planned once per table.
+        found = known.withColumn("__found", F.lit(True))
+        every = every.join(found, (F.col("parent") == F.col("__of")) & (F.element_at("parts", 1) == F.col("__key")), "left")
+        every = every.filter(F.col("__found").isNull())
     value = F.when(F.col("rule") != "not_null", F.concat_ws("|", "parts"))
     return every.select("table_name", "rule", "column_name", value.alias("value"), "n_rows")

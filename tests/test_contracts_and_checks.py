@@ -73,3 +73,16 @@ def test_contract_violations_names_table_rule_and_value(frame):
         ("parent", "not_null", "p", None, 1),
         ("parent", "unique", "p", "a", 2),
     ]
+
+
+def test_checks_read_each_table_once_and_parents_once_more(spark, tmp_path):
+    from tenure.contracts import CUSTOMERS, INVOICES, SUBSCRIPTIONS
+    from tests.conftest import plan_text
+
+    contracts = {"customers": CUSTOMERS, "subscriptions": SUBSCRIPTIONS, "invoices": INVOICES}
+    tables = {}
+    for name, c in contracts.items():
+        spark.createDataFrame([], c.schema).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    plan = plan_text(contract_violations(tables, contracts))
+    assert plan.count("FileScan") == 5  # three tables, and two of them as parents

@@ -14,7 +14,7 @@ from tenure.operators.scd2 import (
 from tenure.operators.updates import conditional_update
 from tenure.plans.dimensions import PLAN_TRACKED, merge_plans
 from tenure.sources.dimension_store import create_dimension, merge_dimension, read_dimension
-from tests.conftest import day, money, rows, ts
+from tests.conftest import day, money, plan_text, rows, ts
 
 SCHEMA = "id string, a string, b string, last_updated timestamp"
 T0, T1, T2, T3 = (f"2025-01-0{i} 00:00:00" for i in (1, 2, 3, 4))
@@ -164,5 +164,33 @@ def test_dimension_store_equals_merging_in_memory(frame, spark, tmp_path):
         merge_dimension(spark, src("D"), root, dim.schema, "b3", "b3", ["id"], T3)
 
 
+def test_null_keys_and_repeated_keys(frame):
+    target = scd2_initial(source(frame, ("k", "x", "1"), (None, "x", "1")), T0)
+    for at in (T1, T2, T3):  # the same load again and again opens nothing
+        target = scd2_merge(target, source(frame, ("k", "x", "1"), (None, "x", "1")), ["id"], at)
+    assert state(target) == [("k", "x", "1", "2025-01-01", None, "Y"), (None, "x", "1", "2025-01-01", None, "Y")]
+    twice = frame([("k", "old", "1", ts("2025-01-01")), ("k", "new", "1", ts("2025-01-02"))], SCHEMA)
+    opened = [v for v in state(scd2_merge(target, twice, ["id"], T3)) if v[5] == "Y" and v[0] == "k"]
+    assert opened == [("k", "new", "1", "2025-01-04", None, "Y")]
+    assert scd2_changes(source(frame, (None, "x", "1")), target, ["id"]).count() == 0
+
+
+def test_withdrawn_keys_close(frame):
+    target = scd2_initial(source(frame, ("k", "x", "1"), ("m", "x", "1")), T0)
+    now = source(frame, ("k", "y", "1"), ("m", "x", "1"), ("n", "x", "1")).selectExpr("*", "id <> 'm' AS gone")
+    assert state(scd2_merge(target, now, ["id"], T1, ["a", "b"], closing="gone")) == [
+        ("k", "x", "1", "2025-01-01", "2025-01-02", "N"), ("m", "x", "1", "2025-01-01", None, "Y"),
+    ]
+
+
+def test_chained_merges_read_the_target_once(frame, spark, tmp_path):
+    source(frame, ("k", "x", "1")).write.parquet(str(tmp_path / "s"))
+    now = spark.read.parquet(str(tmp_path / "s"))
+    dim = scd2_initial(now, T0)
+    for n, at in enumerate((T1, T2, T3), 2):
+        dim = scd2_merge(dim, now, ["id"], at)
+        assert plan_text(dim).count("FileScan") == n
+
+
 def test_stamp_is_the_given_time(frame):
     assert scd2_initial(source(frame, ("k", "A", "1")), T0).first().start_date == datetime(2025, 1, 1)

@@ -12,8 +12,10 @@ from tenure.sources.extract import (
     incremental_extract,
     jdbc_options,
     next_watermark,
+    next_watermarks,
     read_config,
     read_config_csv,
+    since_of,
     source_query,
 )
 from tenure.sources.scratch import scratch_path
@@ -144,11 +146,11 @@ def test_config_from_csv_and_catalog(frame, spark, tmp_path):
     )
     config = read_config_csv(spark, str(tmp_path / "config.csv"))
     expected = [ExtractSpec("invoices", "incremental", None), ExtractSpec("plans", "full", "SELECT a, b FROM plans")]
-    assert extract_specs(config) == expected
+    assert list(extract_specs(config)) == expected
     spark.sql("CREATE DATABASE IF NOT EXISTS tenure_ext")
     try:
         save_as_table(config, "tenure_ext.copy_config", str(tmp_path / "config"))
-        assert extract_specs(read_config(spark, "tenure_ext")) == expected
+        assert list(extract_specs(read_config(spark, "tenure_ext"))) == expected
     finally:
         spark.sql("DROP DATABASE IF EXISTS tenure_ext CASCADE")
 
@@ -163,3 +165,19 @@ def test_source_queries_for_a_server():
         source_query(incremental, "dbo", "yesterday' or '1'='1")
     with pytest.raises(ValueError, match="source_query"):
         source_query(ExtractSpec("plans", "full"), "dbo")
+
+
+def test_watermarks_by_source_and_many_specs(spark, frame):
+    many = 10_050
+    config = spark.range(many).selectExpr("concat('t', id) AS source_name", "'full' AS load_type", "'SELECT 1' AS source_query")
+    assert sum(1 for _ in extract_specs(config)) == many
+    tables = {n: frame([(1, ts("2025-01-01")), (2, ts("2025-02-01"))], "id int, last_updated timestamp") for n in ("a", "b")}
+    spec = frame([("a", "incremental", None), ("b", "incremental", None)], "source_name string, load_type string, source_query string")
+    since = {"a": "2025-01-15"}
+    got = extract_all(spark, spec, tables.__getitem__, since)
+    assert {n: df.count() for n, df in got.items()} == {"a": 1, "b": 2}
+    assert {n: str(w)[:10] for n, w in next_watermarks(got, since).items()} == {"a": "2025-02-01", "b": "2025-02-01"}
+    again = extract_all(spark, spec, tables.__getitem__, next_watermarks(got, since))
+    assert {n: df.count() for n, df in again.items()} == {"a": 0, "b": 0}
+    asked = extract_all(spark, spec, run_query=lambda s: frame([(source_query(s, "sales", since_of(since, s.source_name)),)], "q string"))
+    assert "2025-01-15" in asked["a"].first().q and "1900-01-01" in asked["b"].first().q

@@ -3,7 +3,7 @@ import random
 from datetime import datetime, timedelta
 
 from tenure.contracts import EVENTS
-from tenure.streaming.events import drop_redelivered, event_stream, late_rows, undated, write_available
+from tenure.streaming.events import drop_redelivered, event_stream, late_rows, stream_session, undated, write_available
 from tests.conftest import rows
 
 START = datetime(2025, 1, 1)
@@ -60,8 +60,8 @@ def test_restart_remembers_what_it_has_seen(spark, tmp_path):
 def test_state_partitions_belong_to_the_query(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     deliver(tmp_path / "in", "a", [event(1, 0), event(1, 0)])
-    stream = drop_redelivered(event_stream(spark, str(tmp_path / "in")), "1 hour")
-    query = write_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"), state_partitions=3)
+    stream = drop_redelivered(event_stream(stream_session(spark, 3), str(tmp_path / "in")), "1 hour")
+    query = write_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert {s["numShufflePartitions"] for p in query.recentProgress for s in p["stateOperators"]} == {3}
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
