@@ -32,6 +32,20 @@ HEADLINE = [
 ]
 
 
+#: Settings beside those of a plain session; printed with the result.
+def settings(cpus: str) -> dict[str, str]:
+    return {
+        "spark.driver.memory": "12g",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": cpus,
+        # One small file is one task and one megabyte one partition by default; both would
+        # leave most cores idle at this scale.
+        "spark.sql.files.maxPartitionBytes": "4m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -40,14 +54,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("tenure-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "12g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", cpus)
-        # One small file is one task and one megabyte one partition by default; both would
-        # leave most cores idle at this scale.
-        .config("spark.sql.files.maxPartitionBytes", "4m")
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config(map=settings(cpus))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -69,6 +76,7 @@ def main() -> None:
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
+        "settings": settings(cpus),
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
     spark.stop()

@@ -41,17 +41,18 @@ def left_range_join(
     overlap: Column,
     spread_by: list[str],
     is_small: bool,
-    salts: int = 16,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left join ``facts`` to ``versions`` on ``key`` and the range condition ``overlap``.
 
     ``is_small`` is the outcome of ``fits_broadcast``. A small side is broadcast, so the
     facts never move. Otherwise both sides are shuffled on (key, salt): each version is
-    repeated once per salt and the facts of a popular key spread over ``salts`` tasks by a
-    hash of ``spread_by``. Both ways give the same rows.
+    repeated once per salt and the facts of a popular key spread over ``salts`` tasks, by default as many
+    as the cluster has cores, by a hash of ``spread_by``. Both ways give the same rows.
 
     ``versions`` must not share column names with ``facts`` except for ``key``.
     """
+    salts = salts or max(2, facts.sparkSession.sparkContext.defaultParallelism)
     right = versions.withColumnRenamed(key, "__range_key")
     matches = (F.col(key) == F.col("__range_key")) & overlap
     if is_small:

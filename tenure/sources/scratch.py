@@ -16,7 +16,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="tenure-")
     return f"{root.rstrip('/')}/tenure/{name}-{uuid.uuid4().hex}"
