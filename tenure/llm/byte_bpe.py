@@ -15,17 +15,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenure.llm.common import table, text_of
+from tenure.llm.common import computed, table, text_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes below which a string is encoded in one go.
@@ -143,22 +142,20 @@ def encode(docs: DataFrame, path: str = RANKS, id_col: str = "doc_id", text_col:
 
     Empty texts have no ids. Null and repeated doc_ids pass. Extra columns are not read.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work():
         own = codec(path)
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [own.encode(t) for t in batch["text"]]})
+        return lambda texts: {"ids": pa.array([own.encode(t) for t in texts], pa.binary())}
 
-    return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(run, "doc_id long, ids binary")
+    return computed(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")), "text", work, "ids binary")
 
 
 def decode(encoded: DataFrame, path: str = RANKS) -> DataFrame:
     """doc_id, ids and bytes (binary) of encoded documents."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work():
         own = codec(path)
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": batch["ids"], "bytes": [own.decode(bytes(x)) for x in batch["ids"]]})
+        return lambda ids: {"bytes": pa.array([own.decode(x) for x in ids], pa.binary())}
 
-    return encoded.mapInPandas(run, "doc_id long, ids binary, bytes binary")
+    return computed(encoded.select("doc_id", "ids", F.col("ids").alias("__ids")), "__ids", work, "bytes binary")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

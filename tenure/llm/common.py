@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,25 @@ def drop_cut(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def computed(df: DataFrame, source: str, work: Callable[[], Callable[[list], dict[str, pa.Array]]], fields: str) -> DataFrame:
+    """``df`` without the column ``source``, and with columns computed from it: names and types in ``fields``.
+
+    ``work`` is called once a task and gives a function from a list of values to the new columns. All other columns pass as
+    Arrow arrays, so that nulls and large integers stay what they are.
+    """
+    kept = df.drop(source)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = work()
+        for batch in batches:
+            at = batch.schema.get_field_index(source)
+            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if i != at} | compute(batch.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    own = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema)
+    return df.mapInArrow(run, own + fields)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (u, v: long): one row (node, root) per node, root the smallest node.
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -141,24 +141,23 @@ def _joined(keep_id: int | None, n_rows: int, n_first: int, value: list) -> None
         value[0], value[2] = keep_id, n_first
 
 
-def _frame(rows: list) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[f.name for f in ENTRY])
-    return out.astype({"bucket": "int32", "n_rows": "int64", "n_first": "int64"}).astype({"keep_id": "Int64"})
+_ARROW = pa.schema([("bucket", pa.int32()), ("digest", pa.binary()), ("keep_id", pa.int64()), ("n_rows", pa.int64()), ("n_first", pa.int64())])
 
 
-def _ids(column: pd.Series) -> list:
-    return [None if x is None or x != x else int(x) for x in column]
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else ([],) * len(_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
 
-def _combine(batches: Iterator[pd.DataFrame], n_buckets: int) -> Iterator[pd.DataFrame]:
+def _combine(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
     """One row per digest of a task's own rows."""
-    def rows() -> pd.DataFrame:
-        return _frame([(int.from_bytes(d[:4], "big") % n_buckets, d, *v) for d, v in held.items()])
+    def rows() -> pa.RecordBatch:
+        return _batch([(int.from_bytes(d[:4], "big") % n_buckets, d, *v) for d, v in held.items()])
 
     held: dict[bytes, list] = {}
     for batch in batches:
-        for doc_id, digest in zip(_ids(batch["doc_id"].astype(object)), batch["digest"], strict=True):
-            value = held.setdefault(bytes(digest), [doc_id, 0, 0])
+        for doc_id, digest in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            value = held.setdefault(digest, [doc_id, 0, 0])
             _joined(doc_id, 1, 1, value)
         if len(held) >= COMBINE_ROWS:
             yield rows()
@@ -166,30 +165,29 @@ def _combine(batches: Iterator[pd.DataFrame], n_buckets: int) -> Iterator[pd.Dat
     yield rows()
 
 
-def _index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries of each bucket, by probing and filling its cuckoo index; rows come sorted by bucket."""
     bucket, index, done = None, CuckooIndex(), []
     for batch in batches:
-        columns = (batch["bucket"], batch["digest"], _ids(batch["keep_id"].astype(object)), batch["n_rows"], batch["n_first"])
-        for b, digest, keep_id, n_rows, n_first in zip(*columns, strict=True):
+        for b, digest, keep_id, n_rows, n_first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if b != bucket:
                 done += [(bucket, d, *v) for d, v in index]
                 bucket, index = b, CuckooIndex()
                 if len(done) >= 10_000:
-                    yield _frame(done)
+                    yield _batch(done)
                     done = []
-            entry = index.find(digest := bytes(digest))
+            entry = index.find(digest)
             if entry is None:
                 index.insert(digest, [keep_id, n_rows, n_first])
             else:
                 _joined(keep_id, n_rows, n_first, entry[1])
-    yield _frame(done + [(bucket, d, *v) for d, v in index])
+    yield _batch(done + [(bucket, d, *v) for d, v in index])
 
 
 def build_index(found: DataFrame, n_buckets: int = BUCKETS) -> DataFrame:
     """Entries of the index over ``digests()``: bucket, digest, keep_id, n_rows, n_first (rows with keep_id)."""
-    combined = found.mapInPandas(lambda batches: _combine(batches, n_buckets), ENTRY)
-    return combined.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_index, ENTRY)
+    combined = found.select("doc_id", "digest").mapInArrow(lambda batches: _combine(batches, n_buckets), ENTRY)
+    return combined.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_index, ENTRY)
 
 
 def update_index(index: DataFrame, added: DataFrame, removed: DataFrame, n_buckets: int = BUCKETS) -> DataFrame:
@@ -208,13 +206,13 @@ def update_index(index: DataFrame, added: DataFrame, removed: DataFrame, n_bucke
         .withColumn("bucket", F.expr(f"cast(cast(conv(hex(substring(digest, 1, 4)), 16, 10) as bigint) % {n_buckets} as int)"))
     )
 
-    def apply(key: tuple, stored: pd.DataFrame, change: pd.DataFrame) -> pd.DataFrame:
-        live = CuckooIndex()
-        for digest, keep_id, n_rows, n_first in zip(stored["digest"], _ids(stored["keep_id"].astype(object)), stored["n_rows"], stored["n_first"], strict=True):
-            live.insert(bytes(digest), [keep_id, n_rows, n_first])
-        columns = (change["digest"], _ids(change["add_id"].astype(object)), change["n_add"], _ids(change["gone_id"].astype(object)), change["n_gone"])
-        for digest, add_id, n_add, gone_id, n_gone in zip(*columns, strict=True):
-            digest = bytes(digest)
+    def apply(stored: pa.Table, change: pa.Table) -> pa.Table:
+        live, bucket = CuckooIndex(), None
+        for r in stored.to_pylist():
+            bucket = r["bucket"]
+            live.insert(r["digest"], [r["keep_id"], r["n_rows"], r["n_first"]])
+        for r in change.to_pylist():
+            bucket, digest, add_id, n_add, gone_id, n_gone = (r[c] for c in ("bucket", "digest", "add_id", "n_add", "gone_id", "n_gone"))
             entry = live.find(digest)
             if n_add:
                 if entry is None:
@@ -226,9 +224,9 @@ def update_index(index: DataFrame, added: DataFrame, removed: DataFrame, n_bucke
                     live.delete(digest)
                 elif entry[1][0] is not None and gone_id is not None and gone_id <= entry[1][0]:
                     entry[1][0] = None
-        return _frame([(key[0], d, *v) for d, v in live])
+        return pa.Table.from_batches([_batch([(bucket, d, *v) for d, v in live])])
 
-    return index.groupBy("bucket").cogroup(changes.groupBy("bucket")).applyInPandas(apply, ENTRY)
+    return index.groupBy("bucket").cogroup(changes.groupBy("bucket")).applyInArrow(apply, ENTRY)
 
 
 def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,16 +11,15 @@ from __future__ import annotations
 import html
 import random
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenure.llm.common import table
+from tenure.llm.common import computed, table
 
 #: Labelled pages that the chain is trained on, and passes over them.
 TRAIN_PAGES, EPOCHS = 300, 12
@@ -364,16 +363,14 @@ def extract(pages: DataFrame, chain: Chain | None = None, id_col: str = "page_id
     """
     chain = chain or trained()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = batch.drop(columns="__html")
-            out["text"] = [main_text(x, chain) for x in batch["__html"]]
-            out["n_chars"] = out["text"].str.len().astype("int64")
-            yield out
+    def work():
+        def texts_of(found: list) -> dict[str, pa.Array]:
+            texts = [main_text(x, chain) for x in found]
+            return {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
+        return texts_of
 
     own = pages.select(F.col(id_col).cast("long").alias("page_id"), *keep, F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("__html"))
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.select(*keep).schema)
-    return own.mapInPandas(run, f"page_id long, {kept}text string, n_chars long")
+    return computed(own, "__html", work, "text string, n_chars long")
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,16 +92,17 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str = VOCABULARY, id
         own, uid = tokenizer(path), TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"], strict=True):
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = own.encode(text) + end
-                doc_id = None if doc_id is None or doc_id != doc_id else int(doc_id)
+                doc_id = None if doc_id is None else int(doc_id)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     rows.append((uid, doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
                     uid += 1
             yield pd.DataFrame(rows, columns=["uid", "doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(
+    # As text, a null among the ids leaves the others whole.
+    return docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(
         run, "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
     )
 

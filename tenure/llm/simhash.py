@@ -14,15 +14,13 @@ linking each to the smallest of its key gives the same components.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenure.llm.common import components, cut, table, text_of
+from tenure.llm.common import components, computed, cut, table, text_of
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -54,15 +52,13 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp (the fingerprint as a signed long) and text_key (a hash of the text); null text counts as empty."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps, "text_key": batch["text_key"]})
-
     text = text_of(text_col)
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key")
-    ).mapInPandas(run, "doc_id long, fp long, text_key long")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+
+    def work():
+        return lambda texts: {"fp": pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))}
+
+    return computed(own, "text", work, "fp long")
 
 
 def variants(fps: DataFrame) -> DataFrame:

@@ -16,10 +16,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenure.llm.common import cut, table, text_of
+from tenure.llm.common import computed, cut, table, text_of
 
 #: Letters of the model; every other letter is one more symbol, and what is no letter is the boundary, 0.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿßœ"
@@ -333,32 +334,29 @@ def score(docs: DataFrame, model: LanguageModel, fitted: Score, columns: tuple[s
 
     Null text counts as empty; texts without known words score the bias. Repeated rows each get a row. Only the text counts.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work():
         reader = Reader(model, fitted.features)
-        for batch in batches:
-            text = batch["__text"]
-            out = batch.drop(columns="__text")
-            out["score"] = [fitted.of(sorted(reader.ids(t))) for t in text]
-            out["predicted"] = (out["score"] >= THRESHOLD).astype("int32")
-            if restored:
-                out["restored"] = [reader.restore(t) for t in text]
-            yield out
 
-    own = docs.select(*columns, text_of().alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return own.mapInPandas(run, f"{fields}, score double, predicted int" + ", restored string" * restored)
+        def judged(texts: list) -> dict[str, pa.Array]:
+            scores = [fitted.of(sorted(reader.ids(t))) for t in texts]
+            out = {"score": pa.array(scores, pa.float64()), "predicted": pa.array([int(x >= THRESHOLD) for x in scores], pa.int32())}
+            return out | ({"restored": pa.array([reader.restore(t) for t in texts], pa.string())} if restored else {})
+        return judged
+
+    return computed(docs.select(*columns, text_of().alias("__text")), "__text", work, "score double, predicted int" + ", restored string" * restored)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, whole rows, whose text is not predicted toxic."""
     model, fitted = fit(docs, labels)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model, fitted.features)
         for batch in batches:
-            yield batch[[fitted.of(sorted(reader.ids(t or ""))) < THRESHOLD for t in batch["text"]]]
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.filter(pa.array([fitted.of(sorted(reader.ids(t or ""))) < THRESHOLD for t in texts], pa.bool_()))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

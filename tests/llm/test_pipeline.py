@@ -60,3 +60,20 @@ def test_no_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert p.run(spark, str(tmp_path)).count() == 0
+
+
+def test_large_ids_beside_null_ids(spark, frame):
+    """Ids beyond what a double holds stay whole where others are null."""
+    from tenure.llm import byte_bpe, exact_dedup, html_text, packing, simhash, toxicity
+
+    big = 2**53 + 1
+    docs = frame([(big, "a b c", "x"), (None, "a b d", "x"), (big + 2, "q", "x")], "doc_id long, text string, fp string")
+    ids = lambda df, c="doc_id": sorted((r[c] for r in df.collect()), key=str)
+    want = sorted([big, None, big + 2], key=str)
+    model = toxicity.LanguageModel([])
+    fitted = toxicity.Score({}, [], -5.0)
+    pages = docs.selectExpr("doc_id AS page_id", "text AS html", "fp AS url")
+    for df in (exact_dedup.mark_copies(docs), exact_dedup.drop_copies(docs), simhash.near_copies(docs), byte_bpe.decode(byte_bpe.encode(docs)),
+               toxicity.score(docs, model, fitted), packing.pack(docs)):
+        assert ids(df) == want
+    assert ids(html_text.extract(pages), "page_id") == want
