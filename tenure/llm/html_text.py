@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tenure.llm.common import computed, table
 
 #: Labelled pages that the chain is trained on, and passes over them.
-TRAIN_PAGES, EPOCHS = 300, 12
+TRAIN_PAGES, EPOCHS = 500, 12
 #: Tags deeper than this are read, but not remembered as ancestors, as in browsers.
 MAX_DEPTH = 512
 
@@ -35,7 +35,8 @@ SELF_CLOSING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd
 SCOPES = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTR = re.compile(r"(?:^|\s)(class|id|role)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 _NAME = re.compile(r"[a-z]+")
 _WORDS = re.compile(r"[^\W_]+")
@@ -116,9 +117,10 @@ def blocks(page: str) -> list[Block]:
                     if stack[i][0] in SCOPES.get(tag, ()) or (ended == "p" and stack[i][0] not in INLINE):
                         break
         names = tuple(
-            n for name, value in _ATTR.findall(m.group(3)) if name.lower() in ("class", "id", "role")
-            for n in _NAME.findall(value.lower())
+            n for _, value in _ATTR.findall(m.group(3)) for n in _NAME.findall(value.lower())
         ) if m.group(3) else ()
+        if m.group(3) and _HIDDEN.search(m.group(3)):
+            names += ("hidden",)
         if len(stack) < MAX_DEPTH and (not m.group(3).rstrip().endswith("/") or tag in ("p", "div", "span", "a")):
             stack.append((tag, names, not inline))
     if at < len(page):
@@ -228,14 +230,19 @@ def train(pages: list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS,
 
 # --- labelled pages ---------------------------------------------------------------------
 
-_MENU = (("nav", ""), ("div", "menu"), ("ul", "nav navbar"), ("div", "breadcrumb"), ("header", ""), ("div", "header top"), ("div", "skip links"), ("div", "navigation"))
-_SIDE = (("aside", ""), ("div", "sidebar widget"), ("div", "related posts"), ("section", "related"), ("div", "recommended"), ("div", "newsletter signup"), ("div", "share social"), ("div", "tags"))
-_NOTICE = (("div", "cookie notice"), ("div", "consent banner"), ("div", "gdpr popup"), ("div", "alert subscribe modal"), ("dialog", "cookie"), ("section", "notice"))
-_ADVERT = (("div", "ad"), ("div", "ads banner"), ("div", "advert sponsored"), ("ins", "adsbygoogle"), ("section", "promo"), ("div", "advertisement"), ("aside", "ad"))
-_COMMENTS = (("section", "comments"), ("div", "comment list"), ("div", "disqus thread"), ("ol", "commentlist"), ("div", "replies comment"), ("div", "user reviews comments"))
-_FOOT = (("footer", ""), ("div", "footer bottom"), ("div", "copyright"), ("div", "site footer legal"))
-_FORM = (("form", ""), ("form", "search"), ("form", "login"), ("form", "contact"))
-_MAIN = (("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "post body entry"), ("div", "article text"), ("section", "story"), ("div", "main"))
+def _kinds(text: str) -> tuple[tuple[str, str], ...]:
+    """Elements as ``tag`` or ``tag.class.class``."""
+    return tuple((x.split(".")[0], " ".join(x.split(".")[1:])) for x in text.split())
+
+
+_MENU = _kinds("nav div.menu ul.nav.navbar div.breadcrumb header div.header.top div.skip.links div.navigation div.topbar div.masthead ul.submenu div.main-nav div.toolbar div.pagination")
+_SIDE = _kinds("aside div.sidebar.widget div.related.posts section.related div.recommended div.newsletter.signup div.share.social div.tags div.teaser div.trending div.more-links div.rail div.author-box")
+_NOTICE = _kinds("div.cookie.notice div.consent.banner div.gdpr.popup div.alert.subscribe.modal dialog.cookie section.notice div.privacy-note div.paywall div.overlay div.warning.message div.hidden")
+_ADVERT = _kinds("div.ad div.ads.banner div.advert.sponsored ins.adsbygoogle section.promo div.advertisement aside.ad div.adslot div.adbox div.promotion div.sponsor")
+_COMMENTS = _kinds("section.comments div.comment.list div.disqus.thread ol.commentlist div.replies.comment div.user.reviews.comments div.discussion div.respond section.reader-comments div.responses")
+_FOOT = _kinds("footer div.footer.bottom div.copyright div.site.footer.legal div.colophon div.imprint")
+_FORM = _kinds("form form.search form.login form.contact div.form")
+_MAIN = _kinds("article article.post main div.content div.post.body.entry div.article.text section.story div.main div section")
 _SYLLABLES = "an be co do el fa go hi in ka lo me no or pa qu ra sa to un vi wa ye zu ér öl ñu ça ss th".split()
 
 
@@ -254,6 +261,8 @@ def labelled_page(rng: random.Random) -> tuple[str, list[str]]:
 
     def wrap(kind: tuple[str, str], inner: str) -> str:
         tag, names = kind
+        if names == "hidden":
+            return f"<{tag} {rng.choice(('hidden', 'aria-hidden="true"', 'style="display: none"'))}>{inner}</{tag}>"
         key = rng.choice(("class", "id")) if " " not in names else "class"
         return f"<{tag}{f' {key}="{names}"' if names else ''}>{inner}</{tag}>"
 
@@ -306,13 +315,15 @@ def labelled_page(rng: random.Random) -> tuple[str, list[str]]:
             inside.append("<table><tr>" + "".join(keep("td", _words(rng, 1, 4)) for _ in range(rng.randrange(1, 4))) + "</tr></table>")
         elif kind < 0.88:
             inside.append("<blockquote>" + keep("p", _sentences(rng, 1, 2)) + "</blockquote>")
-        elif kind < 0.91:
+        elif kind < 0.9:
+            inside.append("<figure>" + keep("figcaption", _words(rng, 2, 9)) + "</figure>")
+        elif kind < 0.92:
             inside.append("<pre>" + html.escape(code := _words(rng, 2, 9), quote=False) + "</pre>")
             truth.append(code)
         elif kind < 0.94:
             inside.append(keep("p", _words(rng, 1, 3) + rng.choice((".", ""))))
         else:
-            inside.append(away(rng.choice((*_ADVERT, *_SIDE, *_FORM))))
+            inside.append(away(rng.choice((*_ADVERT, *_SIDE, *_FORM, *_COMMENTS, *_NOTICE))))
     inner = "".join(inside)
     if rng.random() < 0.3:
         inner = f'<div class="{rng.choice(("wrapper", "inner", "col", "text"))}">{inner}</div>'

@@ -24,8 +24,6 @@ MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.9
 #: Tokens of a rule, at least: one token alone, such as an end of all hosts, is too wide a reason.
 MIN_TOKENS = 2
-#: Mined rules that are kept, by confidence, support and tokens: bounds what is broadcast. More fail the job.
-MAX_RULES = 50_000
 BLOCK = "verdict=block"
 
 
@@ -145,8 +143,6 @@ def judge(pages: DataFrame, rules: Iterable[Rule] = RULES, id_col: str = "page_i
     if judged.isEmpty():
         return split.select("page_id", "host", "path", "rule", F.lit("allow").alias("verdict"), F.lit(None).cast("string").alias("mined_rule"))
     mined = mine(judged)
-    if mined.count() > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: raise min_support")
     own = F.xxhash64("tokens")
     sets = split.where("given is null").groupBy("tokens").agg(F.lit(0).alias("n")).select(own.alias("set_id"), "tokens")
     fired = match(sets, mined)

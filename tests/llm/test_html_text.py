@@ -62,6 +62,15 @@ def test_main_text_of_ordinary_layouts():
     assert h.main_text(page, h.trained()) == "A title here\nFirst paragraph of some words, which says things.\nSecond & last paragraph, with more of them."
 
 
+@pytest.mark.parametrize("inner", [
+    '<section class="reader-comments"><p>Great read, thank you very much for it.</p></section>', '<div hidden><p>This text is not shown to any reader.</p></div>',
+    '<div class="adslot sponsored"><p>Buy these shoes now, they are cheap.</p></div>', '<form><p>Your name and your address here, please.</p></form>',
+    '<div class="newsletter signup"><p>Get our letter every week in your mail.</p></div>', '<aside><h3>More</h3><ul><li><a href=/a>Another story</a></ul></aside>'])
+def test_what_stands_inside_an_article_but_is_not_of_it(inner):
+    page = f"<body><article><h1>A title</h1><p>One paragraph of words, with a stop.</p>{inner}<p>The last paragraph of words, with a stop.</p></article></body>"
+    assert h.main_text(page, h.trained()) == "A title\nOne paragraph of words, with a stop.\nThe last paragraph of words, with a stop."
+
+
 def test_pages_table(spark, frame):
     deep = "<div>" * 30_000 + "<p>deep</p>"
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (None, "u", "<article><p>Some words in a paragraph.</p></article>", "x"), (3, "u", deep, "x"), (3, "u", deep, "x"),
