@@ -236,9 +236,9 @@ def _kinds(text: str) -> tuple[tuple[str, str], ...]:
 
 
 _MENU = _kinds("nav div.menu ul.nav.navbar div.breadcrumb header div.header.top div.skip.links div.navigation div.topbar div.masthead ul.submenu div.main-nav div.toolbar div.pagination")
-_SIDE = _kinds("aside div.sidebar.widget div.related.posts section.related div.recommended div.newsletter.signup div.share.social div.tags div.teaser div.trending div.more-links div.rail div.author-box")
-_NOTICE = _kinds("div.cookie.notice div.consent.banner div.gdpr.popup div.alert.subscribe.modal dialog.cookie section.notice div.privacy-note div.paywall div.overlay div.warning.message div.hidden")
-_ADVERT = _kinds("div.ad div.ads.banner div.advert.sponsored ins.adsbygoogle section.promo div.advertisement aside.ad div.adslot div.adbox div.promotion div.sponsor")
+_SIDE = _kinds("aside div.sidebar.widget div.related.posts section.related div.recommended div.newsletter.signup div.share.social div.tags div.teaser div.trending div.more-links div.rail div.author-box div.hidden")
+_NOTICE = _kinds("div.cookie.notice div.consent.banner div.gdpr.popup div.alert.subscribe.modal dialog.cookie section.notice div.privacy-note div.paywall div.overlay div.warning.message div.hidden section.hidden p.hidden")
+_ADVERT = _kinds("div.ad div.ads.banner div.advert.sponsored ins.adsbygoogle section.promo div.advertisement aside.ad div.adslot div.adbox div.promotion div.sponsor div.hidden")
 _COMMENTS = _kinds("section.comments div.comment.list div.disqus.thread ol.commentlist div.replies.comment div.user.reviews.comments div.discussion div.respond section.reader-comments div.responses")
 _FOOT = _kinds("footer div.footer.bottom div.copyright div.site.footer.legal div.colophon div.imprint")
 _FORM = _kinds("form form.search form.login form.contact div.form")
