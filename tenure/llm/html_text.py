@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tenure.llm.common import computed, table
 
 #: Labelled pages that the chain is trained on, and passes over them.
-TRAIN_PAGES, EPOCHS = 500, 12
+TRAIN_PAGES, EPOCHS = 700, 15
 #: Tags deeper than this are read, but not remembered as ancestors, as in browsers.
 MAX_DEPTH = 512
 
@@ -237,7 +237,7 @@ def _kinds(text: str) -> tuple[tuple[str, str], ...]:
 
 _MENU = _kinds("nav div.menu ul.nav.navbar div.breadcrumb header div.header.top div.skip.links div.navigation div.topbar div.masthead ul.submenu div.main-nav div.toolbar div.pagination")
 _SIDE = _kinds("aside div.sidebar.widget div.related.posts section.related div.recommended div.newsletter.signup div.share.social div.tags div.teaser div.trending div.more-links div.rail div.author-box div.hidden")
-_NOTICE = _kinds("div.cookie.notice div.consent.banner div.gdpr.popup div.alert.subscribe.modal dialog.cookie section.notice div.privacy-note div.paywall div.overlay div.warning.message div.hidden section.hidden p.hidden")
+_NOTICE = _kinds("div.cookie.notice div.consent.banner div.gdpr.popup div.alert.subscribe.modal dialog.cookie section.notice div.privacy-note div.paywall div.overlay div.warning.message div.hidden section.hidden")
 _ADVERT = _kinds("div.ad div.ads.banner div.advert.sponsored ins.adsbygoogle section.promo div.advertisement aside.ad div.adslot div.adbox div.promotion div.sponsor div.hidden")
 _COMMENTS = _kinds("section.comments div.comment.list div.disqus.thread ol.commentlist div.replies.comment div.user.reviews.comments div.discussion div.respond section.reader-comments div.responses")
 _FOOT = _kinds("footer div.footer.bottom div.copyright div.site.footer.legal div.colophon div.imprint")
@@ -305,22 +305,22 @@ def labelled_page(rng: random.Random) -> tuple[str, list[str]]:
         inside.append(keep("h1", _words(rng, 1, 9).capitalize() + rng.choice(("", "."))))
     for _ in range(rng.randrange(0, 9)):
         kind = rng.random()
-        if kind < 0.68:
+        if kind < 0.6:
             inside.append(keep("p", _sentences(rng, 1, 5)))
-        elif kind < 0.74:
+        elif kind < 0.66:
             inside.append(keep("h2", _words(rng, 1, 6).capitalize()))
-        elif kind < 0.8:
+        elif kind < 0.71:
             inside.append("<ul>" + "".join(keep("li", _words(rng, 1, 9)) for _ in range(rng.randrange(1, 5))) + "</ul>")
-        elif kind < 0.84:
+        elif kind < 0.74:
             inside.append("<table><tr>" + "".join(keep("td", _words(rng, 1, 4)) for _ in range(rng.randrange(1, 4))) + "</tr></table>")
-        elif kind < 0.88:
+        elif kind < 0.77:
             inside.append("<blockquote>" + keep("p", _sentences(rng, 1, 2)) + "</blockquote>")
-        elif kind < 0.9:
+        elif kind < 0.79:
             inside.append("<figure>" + keep("figcaption", _words(rng, 2, 9)) + "</figure>")
-        elif kind < 0.92:
+        elif kind < 0.81:
             inside.append("<pre>" + html.escape(code := _words(rng, 2, 9), quote=False) + "</pre>")
             truth.append(code)
-        elif kind < 0.94:
+        elif kind < 0.84:
             inside.append(keep("p", _words(rng, 1, 3) + rng.choice((".", ""))))
         else:
             inside.append(away(rng.choice((*_ADVERT, *_SIDE, *_FORM, *_COMMENTS, *_NOTICE))))
