@@ -51,6 +51,16 @@ def drop_cut(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows that a Python task turns into Python values at a time: texts may be long.
+SLICE = 500
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def computed(df: DataFrame, source: str, work: Callable[[], Callable[[list], dict[str, pa.Array]]], fields: str) -> DataFrame:
     """``df`` without the column ``source``, and with columns computed from it: names and types in ``fields``.
 
@@ -61,7 +71,7 @@ def computed(df: DataFrame, source: str, work: Callable[[], Callable[[list], dic
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = work()
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.get_field_index(source)
             columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if i != at} | compute(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))

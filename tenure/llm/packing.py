@@ -22,12 +22,13 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tenure.llm.common import cut, table, text_of
+from tenure.llm.common import cut, slices, table, text_of
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 2048
@@ -35,7 +36,7 @@ END = 0
 #: A class of sizes is done when a round places less than one in so many of its pieces.
 SETTLED = 200
 #: Words a worker remembers at most, and the longest that it remembers.
-REMEMBERED, LONGEST = 1_000_000, 64
+REMEMBERED, LONGEST = 500_000, 64
 #: Characters on which str.split or str.lower differs from the tokenizer's own.
 _OWN_WAY = re.compile("[\x1c-\x1fΣ]")
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -88,21 +89,22 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str = VOCABULARY, id
     """
     end = np.array([END], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ("uid", "doc_id", "piece", "start", "length", "ids_crc32")
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, uid = tokenizer(path), TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = own.encode(text) + end
-                doc_id = None if doc_id is None else int(doc_id)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     rows.append((uid, doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
                     uid += 1
-            yield pd.DataFrame(rows, columns=["uid", "doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=list(names))
 
-    # As text, a null among the ids leaves the others whole.
-    return docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
         run, "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
     )
 

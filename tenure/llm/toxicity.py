@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenure.llm.common import computed, cut, table, text_of
+from tenure.llm.common import computed, cut, slices, table, text_of
 
 #: Letters of the model; every other letter is one more symbol, and what is no letter is the boundary, 0.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿßœ"
@@ -352,7 +352,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model, fitted.features)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([fitted.of(sorted(reader.ids(t or ""))) < THRESHOLD for t in texts], pa.bool_()))
 
