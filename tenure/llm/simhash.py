@@ -123,7 +123,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataF
     roots = components(links(_spread(distinct.select("fp"))))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return found.join(rooted.join(lowest, "root").select("fp", "component_id"), "fp")
+    return found.join(rooted.join(lowest, "root").select("fp", "root", "component_id"), "fp")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -141,26 +141,27 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, whole rows, one of each component: that of the smallest id.
 
-    Of rows that repeat that id in a component, one stays. Extra columns pass unchanged.
+    Of rows that repeat that id in a component, one stays, also where the id is null because the component has no
+    other. Components are told apart by their root fingerprint, so an id on unrelated texts, or none, keeps a row of each.
+    Extra columns pass unchanged.
     """
     marked = cut(_classes(docs, id_col, text_col, SHINGLE), "near")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     key = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"))
-    gone = marked.where(~first).select(F.struct("doc_id", "text_key").alias("__gone")).distinct()
+    pair = F.struct("doc_id", "text_key")
+    gone = marked.where(~first).select(pair.alias("__gone")).distinct()
     kept = docs.join(gone, key.eqNullSafe(F.col("__gone")), "left_anti")
     # Ids that stand on several rows of their component: one of those rows stays.
-    again = (
-        marked.where(first).groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("n"), F.min("text_key").alias("low"))
-        .where("n > 1")
-    )
+    again = marked.where(first).groupBy("root", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("text_key").alias("low")).where("n > 1")
     again = cut(again, "again")
     if again.isEmpty():
         return kept
-    ids = again.select(F.struct("doc_id").alias("__again"))
-    own = F.struct(F.col(id_col).cast("long").alias("doc_id"))
-    single = kept.join(ids, own.eqNullSafe(F.col("__again")), "left_anti")
-    low = again.select(F.struct("doc_id", F.col("low").alias("text_key")).alias("__low"))
-    rest = kept.join(low, key.eqNullSafe(F.col("__low")), "left_semi").dropDuplicates([id_col])
+    # Equal texts have one fingerprint, so an id and a text stand in one component only.
+    repeated = marked.where(first).join(again.select("root", "low"), "root").select(pair.alias("__again"), "doc_id", "text_key", "low")
+    repeated = cut(repeated.distinct(), "repeated")
+    single = kept.join(repeated.select("__again"), key.eqNullSafe(F.col("__again")), "left_anti")
+    low = repeated.where("text_key = low").select(F.col("__again").alias("__low"))
+    rest = kept.join(low, key.eqNullSafe(F.col("__low")), "left_semi").withColumn("__key", key).dropDuplicates(["__key"]).drop("__key")
     return single.unionByName(rest)
 
 

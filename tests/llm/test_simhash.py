@@ -81,6 +81,18 @@ def test_near_copies(spark, frame):
     assert sorted(r[0] for r in kept.collect()) == sorted(set(expected.values()))
 
 
+def test_components_without_ids_and_ids_on_unrelated_texts(spark, frame):
+    rng = random.Random(21)
+    text = lambda: " ".join(rng.choice("abcdefghijklm") * 3 + str(rng.randrange(99)) for _ in range(60))
+    unrelated, near = [text() for _ in range(8)], text() + " x" * 240
+    rows = [(None, t) for t in unrelated[:4]] + [(7, unrelated[4]), (7, unrelated[5]), (7, unrelated[6]), (8, unrelated[7])]
+    copies = [(None, unrelated[0]), (7, unrelated[4]), (7, unrelated[4]), (9, unrelated[7]), (None, unrelated[7])]
+    linked = [(5, near), (5, near + " x"), (5, near + " x"), (6, near)]
+    kept = [(r.doc_id, r.text) for r in drop_near_copies(frame(rows + copies + linked, "doc_id long, text string")).collect()]
+    assert sorted((k for k in kept if k[0] != 5), key=str) == sorted(rows, key=str)
+    assert len([k for k in kept if k[0] == 5]) == 1
+
+
 def test_no_rows(spark, frame):
     docs = frame([], "doc_id long, text string")
     assert near_copies(docs).count() == 0 and drop_near_copies(docs).count() == 0
