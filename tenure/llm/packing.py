@@ -3,8 +3,9 @@
 Documents are tokenised and cut into pieces of at most one sequence. Then, from large pieces to small:
 pieces and the gaps of open sequences are sorted together into ranges of size; each range is swept
 once, from large to small, and each piece takes its successor, the smallest gap that holds it. Where pieces of one range find
-no gap left, they are ranked and take, rank by rank, the smallest left gaps of the ranges above. Gaps shrink, and the
-sweep is repeated until nothing fits; what is left opens new sequences. The driver sees two counts per range.
+no gap left, they are ranked and take, rank by rank, the smallest left gaps of the ranges above, each gap as many successive
+pieces as surely fit. Gaps shrink, and the sweep is repeated until it places nothing; what is left opens new sequences. The driver
+sees two counts and two sizes per range.
 
 Very small pieces are first bundled into small bundles, which are then packed as pieces.
 """
@@ -16,7 +17,7 @@ import unicodedata
 import zlib
 from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -24,7 +25,7 @@ import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -33,8 +34,6 @@ from tenure.llm.common import cut, slices, table, text_of
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 2048
 END = 0
-#: A class of sizes is done when a round places less than one in so many of its pieces.
-SETTLED = 200
 #: Words a worker remembers at most, and the longest that it remembers.
 REMEMBERED, LONGEST = 500_000, 64
 #: Characters on which str.split or str.lower differs from the tokenizer's own.
@@ -120,11 +119,12 @@ def _sweep(batches: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFr
     """One range, from large to small: each piece into the smallest gap that holds it.
 
     Gives every piece (left: no gap found), every gap (left: as large as any later range asks for) and, marked as
-    total, a row with how many pieces (size) and gaps (free) are left and how many pieces found one (rank).
+    total, a row with how many pieces (size) and gaps (free) are left, how many pieces found one (rank), the largest left
+    piece (seq) and the smallest left gap (ofs).
     rank orders the left pieces as swept, and the left gaps from the smallest.
     """
     gaps: list[tuple[int, int]] = []  # free, sequence; by size
-    part, low, n_left, n_placed, rows = TaskContext.get().partitionId(), capacity, 0, 0, []
+    part, low, n_left, n_placed, largest, rows = TaskContext.get().partitionId(), capacity, 0, 0, 0, []
     for batch in batches:
         for piece, uid, size in zip(batch["piece"], batch["id"], batch["size"], strict=True):
             low = size
@@ -134,7 +134,7 @@ def _sweep(batches: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFr
             at = bisect_left(gaps, (size, -1))
             if at == len(gaps):
                 rows.append((True, uid, size, 0, 0, 0, True, part, n_left, False))
-                n_left += 1
+                n_left, largest = n_left + 1, max(largest, size)
                 continue
             free, seq = gaps.pop(at)
             rows.append((True, uid, size, free - size, seq, capacity - free, False, part, 0, False))
@@ -147,7 +147,7 @@ def _sweep(batches: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFr
     for i, (free, seq) in enumerate(gaps):
         rows.append((False, seq, free, free, seq, 0, i >= first, part, i - first, False))
     if n_left or n_placed or gaps:
-        rows.append((False, -1, n_left, len(gaps) - first, 0, 0, False, part, n_placed, True))
+        rows.append((False, -1, n_left, len(gaps) - first, largest, gaps[first][0] if first < len(gaps) else 0, False, part, n_placed, True))
     yield _swept(rows)
 
 
@@ -157,19 +157,22 @@ def _swept(rows: list) -> pd.DataFrame:
     )
 
 
-def _segments(totals: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """Which left pieces take which left gaps: (pieces' range, first rank, gaps' range, first rank, how many).
+def _segments(totals: list[tuple[int, int, int]], each: Callable[[int, int], int] | None = None) -> list[tuple[int, int, int, int, int]]:
+    """Which left pieces take which left gaps: (pieces' range, first rank, gaps' range, first rank, how many pieces).
 
-    totals: range, left pieces, left gaps. Pieces of a range take the smallest gaps of the ranges above it.
+    totals: range, left pieces, left gaps. Pieces of a range take the smallest gaps of the ranges above it, so many
+    successive ones a gap as ``each`` says of the two ranges (else one).
     """
     found, stack = [], []  # the stack holds ranges above with what they have left: [range, next rank, how many]
     for part, wanted, n_gaps in sorted(totals):
         taken = 0
         while taken < wanted and stack:
             top = stack[-1]
-            n = min(wanted - taken, top[2])
+            k = each(part, top[0]) if each else 1
+            n = min(wanted - taken, k * top[2])
             found.append((part, taken, top[0], top[1], n))
-            taken, top[1], top[2] = taken + n, top[1] + n, top[2] - n
+            n_used = -(-n // k)
+            taken, top[1], top[2] = taken + n, top[1] + n_used, top[2] - n_used
             if not top[2]:
                 stack.pop()
         if n_gaps:
@@ -177,23 +180,30 @@ def _segments(totals: list[tuple[int, int, int]]) -> list[tuple[int, int, int, i
     return found
 
 
-def _crossed(swept: DataFrame, segments: list, capacity: int) -> DataFrame:
-    """Left pieces with the left gaps that their ranks give them: id, free (what stays), seq, ofs."""
+def _crossed(swept: DataFrame, segments: list, each: Callable[[int, int], int], capacity: int) -> DataFrame:
+    """Left pieces with the left gaps that their ranks give them: id, seq, ofs, and free, what stays, at a gap's last piece (else -1)."""
     spark = swept.sparkSession
-    table_ = F.broadcast(spark.createDataFrame([(i, *s) for i, s in enumerate(segments)], "seg int, p int, p0 long, g int, g0 long, n long"))  # two per range
+    rows_ = [(i, *s, each(s[0], s[2])) for i, s in enumerate(segments)]
+    table_ = F.broadcast(spark.createDataFrame(rows_, "seg int, p int, p0 long, g int, g0 long, n long, k long"))  # two per range
     rows = swept.where("left")
     taking = rows.where("piece").join(table_, (F.col("part") == F.col("p")) & (F.col("rank") >= F.col("p0")) & (F.col("rank") < F.col("p0") + F.col("n")))
-    giving = rows.where("not piece").join(table_, (F.col("part") == F.col("g")) & (F.col("rank") >= F.col("g0")) & (F.col("rank") < F.col("g0") + F.col("n")))
-    taking = taking.select("seg", (F.col("rank") - F.col("p0")).alias("nth"), "id", "size")
+    giving = rows.where("not piece").join(table_, (F.col("part") == F.col("g")) & (F.col("rank") >= F.col("g0")) & (F.expr("(rank - g0) * k < n")))
+    taking = taking.select("seg", F.expr("(rank - p0) div k").alias("nth"), "id", "size")
     giving = giving.select("seg", (F.col("rank") - F.col("g0")).alias("nth"), F.col("seq"), F.col("free").alias("gap"))
-    return taking.join(giving, ["seg", "nth"]).select("id", (F.col("gap") - F.col("size")).alias("free"), "seq", (capacity - F.col("gap")).alias("ofs"))
+    before = Window.partitionBy("seg", "nth").orderBy(F.desc("size"), "id").rowsBetween(Window.unboundedPreceding, 0)  # a gap's few pieces
+    last = F.lead("id").over(Window.partitionBy("seg", "nth").orderBy(F.desc("size"), "id")).isNull()
+    taking = taking.withColumns({"upto": F.sum("size").over(before), "last": last})
+    left = F.col("gap") - F.col("upto")
+    return taking.join(giving, ["seg", "nth"]).select(
+        "id", F.when(F.col("last"), left).otherwise(-1).alias("free"), "seq", (capacity - left - F.col("size")).alias("ofs")
+    )
 
 
-def _used(swept: DataFrame, segments: list) -> DataFrame:
+def _used(swept: DataFrame, segments: list, each: Callable[[int, int], int]) -> DataFrame:
     """The swept rows with __used: how many of the range's left pieces, or left gaps, the segments take, which are the first by rank."""
     used: dict[tuple[int, bool], int] = {}
     for p, p0, g, g0, n in segments:
-        used[p, True], used[g, False] = p0 + n, g0 + n
+        used[p, True], used[g, False] = p0 + n, g0 - (-n // each(p, g))
     table_ = swept.sparkSession.createDataFrame([(p, piece, n) for (p, piece), n in used.items()], "u_part int, u_piece boolean, u_n long")
     joined = swept.join(F.broadcast(table_), (F.col("part") == F.col("u_part")) & (F.col("piece") == F.col("u_piece")), "left")
     return joined.withColumn("__used", F.coalesce("u_n", F.lit(0)))
@@ -241,24 +251,25 @@ def place(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             )
             order = (F.desc("size"), F.asc("piece"), F.asc("id"))
             swept = cut(_sorted(events, *order).mapInPandas(lambda b: _sweep(b, capacity), SWEPT), "swept")
-            totals = swept.where("total").select("part", "size", "free", "rank").collect()  # a row per range
+            totals = swept.where("total").select("part", "size", "free", "rank", "seq", "ofs").collect()  # a row per range
             rows = swept.where("not total")
-            segments = _segments([(r["part"], r["size"], r["free"]) for r in totals])
+            largest, least = {r["part"]: r["seq"] for r in totals}, {r["part"]: r["ofs"] for r in totals}
+            each = lambda p, g, m=largest, f=least: f[g] // m[p]
+            segments = _segments([(r["part"], r["size"], r["free"]) for r in totals], each)
             n_placed = sum(r["rank"] for r in totals) + sum(s[4] for s in segments)
             left = sum(r["size"] for r in totals) - sum(s[4] for s in segments)
             placed.append(rows.where("piece and not left").select("id", "seq", "ofs"))
             pending = rows.where("piece and left").select("id", "size")
             open_ = rows.where("not piece").select("seq", "free")
             if segments:
-                crossed = cut(_crossed(rows, segments, capacity), "crossed")
+                crossed = cut(_crossed(rows, segments, each, capacity), "crossed")
                 placed.append(crossed.select("id", "seq", "ofs"))
-                marked = _used(rows, segments)
+                marked = _used(rows, segments, each)
                 pending = marked.where("piece and left and rank >= __used").select("id", "size")
-                open_ = marked.where("not piece and (not left or rank >= __used)").select("seq", "free").unionByName(crossed.select("seq", "free"))
+                open_ = marked.where("not piece and (not left or rank >= __used)").select("seq", "free").unionByName(crossed.where("free >= 0").select("seq", "free"))
             small_gaps = small_gaps.unionByName(open_.where((F.col("free") <= low) & (F.col("free") > 0)))
             large_gaps = open_.where(F.col("free") > low)
-            # A round that places next to nothing leaves the rest to new sequences.
-            if not left or n_placed * SETTLED < left:
+            if not left or not n_placed:
                 break
         gaps = small_gaps.unionByName(large_gaps)
         if left:

@@ -62,6 +62,30 @@ def test_rounds_across_ranges(spark, frame):
     assert check(got, sizes, 512) <= 1.02 * best_fit(sizes.values(), 512) + 12
 
 
+def test_rounds_go_on_while_gaps_hold_pieces(spark, frame):
+    """Few gaps in a range of their own, and so many small pieces that a round of one piece a gap is next to nothing."""
+    rng = random.Random(6)
+    sizes = {i: rng.randrange(1040, 1140) if i < 100 else rng.randrange(33, 48) for i in range(30_000)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        got = [tuple(r) for r in place(frame(list(sizes.items()), "id long, size long"), 2048).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    check(got, sizes, 2048)
+    used = {}
+    for i, seq, _ in got:
+        used[seq] = used.get(seq, 0) + sizes[i]
+    first = {seq for i, seq, _ in got if i < 100}
+    assert max(2048 - used[seq] for seq in first) < 48
+
+
+def test_segments_of_several_pieces_a_gap():
+    assert _segments([(0, 0, 3), (1, 7, 0), (2, 4, 0)], lambda p, g: 3) == [(1, 0, 0, 0, 7)]
+    assert _segments([(0, 0, 3), (1, 5, 0), (2, 9, 0)], lambda p, g: 3) == [(1, 0, 0, 0, 5), (2, 0, 0, 2, 3)]
+
+
 def test_segments_take_the_smallest_gaps_above():
     assert _segments([(0, 0, 3), (1, 2, 1), (3, 5, 0)]) == [(1, 0, 0, 0, 2), (3, 0, 1, 0, 1), (3, 1, 0, 2, 1)]
 
