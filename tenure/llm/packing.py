@@ -45,12 +45,14 @@ class WordTokenizer:
     """The vocabulary's ids of a text as little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space, lower-cases, and never joins across white space, so words are encoded
-    once and remembered. Texts where lower-casing or white space is special go to the tokenizer whole.
+    once and remembered. Texts where lower-casing or white space is special go to the tokenizer whole. With ``added``, so do
+    texts that hold an added token (such as <|endoftext|>), which has its own id as the library sets it; else it is text like other.
     """
 
-    def __init__(self, path: str = VOCABULARY):
+    def __init__(self, path: str = VOCABULARY, added: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.added = tuple(t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()) if added else ()
         self.words: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
@@ -72,13 +74,15 @@ class WordTokenizer:
     def encode(self, text: str) -> bytes:
         if _OWN_WAY.search(text) or not unicodedata.is_normalized("NFC", text):
             return self._ids(text)
-        known = self.words.get
-        return b"".join([known(w) or self._word(w) for w in text.lower().split()])
+        known, lower = self.words.get, text.lower()
+        if any(t in lower for t in self.added):
+            return self._ids(text)
+        return b"".join([known(w) or self._word(w) for w in lower.split()])
 
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str = VOCABULARY) -> WordTokenizer:
-    return WordTokenizer(path)
+    return WordTokenizer(path, added=True)
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

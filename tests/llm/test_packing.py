@@ -100,6 +100,14 @@ def test_ids_are_the_librarys():
         assert own.encode(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_ids_of_added_tokens_are_the_librarys(spark, frame):
+    library = Tokenizer.from_file(VOCABULARY)
+    texts = ["hello <|endoftext|> world", "<|startoftext|>a b<|endoftext|>", "<|ENDOFTEXT|> x", "a<|endoftext|>b  É", "plain words"]
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in pack(frame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    ids = [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(ids)}
+
+
 def test_documents(spark, frame):
     rng = random.Random(4)
     texts = [None, "", " ", "word " * 9000, "x", "x"] + [" ".join(rng.choices(["the", "ending", "Of", "12"], k=rng.randrange(1, 900))) for _ in range(60)]
