@@ -1,9 +1,9 @@
 """Toxicity by noisy-channel deobfuscation.
 
 A written word is read as a noisy copy of a clean one: letters swapped for digits and signs, set apart
-by blanks or dots, or repeated. Its lattice holds, at each character, what it may stand for; Viterbi finds
+by white space or separators, or repeated. Its lattice holds, at each character, what it may stand for; Viterbi finds
 the reading that is likeliest under the channel and a character trigram model counted over all documents. A
-word with one reading stands for itself. The restored text is scored by logistic regression on its words
+word with one reading stands for itself, and so does one without letters, as numbers have none. The restored text is scored by logistic regression on its words
 and their beginnings, learned from labelled rows.
 """
 
@@ -44,8 +44,10 @@ THRESHOLD = 0.3
 WEIGHT = 3.0
 REMEMBERED, LONGEST = 200_000, 64
 
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
-_ODD = re.compile(r"[^\W\d_].*[0-9@$!|+€]|[0-9@$!|+€].*[^\W\d_]|[^\W\d_][.\-_*~'][^\W\d_](?:[.\-_*~']|$)|([^\W\d_])\1\1")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S)+(?!\S)")
+#: What gives a word more than one reading: letters with signs for letters, with separators between them, or with an equal one next to them.
+_ODD = re.compile(r"[^\W\d_].*[0-9@$!|+€]|[0-9@$!|+€].*[^\W\d_]|[^\W\d_][.\-_*~']+[^\W\d_]|([^\W\d_])\1")
+_BLANKS = re.compile(r"\s+")
 _ENDS = re.compile(r"^[^\w@$|+€]+|[^\w@$]+$|(?<=[^\W\d_])([@$])\1\1+$")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -167,19 +169,27 @@ class Reader:
         if known is None:
             core = _ENDS.sub("", raw)
             at = raw.find(core) if core else 0
-            known = raw[:at] + viterbi(core, self.model) + raw[at + len(core):]
-            if len(raw) <= LONGEST:
-                if len(self._words) >= REMEMBERED:
-                    self._words.clear()
-                self._words[raw] = known
+            known = self._remember(raw, raw[:at] + viterbi(core, self.model) + raw[at + len(core):])
         return known
 
     def spaced(self, lower: str) -> list[tuple[int, int, str]]:
-        """Runs of single characters set apart by blanks: where, and as read."""
+        """Runs of single characters set apart by white space: where, and as read."""
         return [(m.start(), m.end(), self.word_run(m.group(0))) for m in _SPACED.finditer(lower)]
 
     def word_run(self, raw: str) -> str:
-        return viterbi(raw, self.model)
+        """A run, its stretches of white space read as one blank each; as written where the reading joins nothing."""
+        even = _BLANKS.sub(" ", raw)
+        known = self._words.get(even)
+        if known is None:
+            known = self._remember(even, viterbi(even, self.model))
+        return raw if known == even else known
+
+    def _remember(self, raw: str, read: str) -> str:
+        if len(raw) <= LONGEST:
+            if len(self._words) >= REMEMBERED:
+                self._words.clear()
+            self._words[raw] = read
+        return read
 
     def restore(self, text: str) -> str:
         """The lower-cased text with each word as restored; white space stays."""

@@ -48,6 +48,13 @@ def test_restored(model, raw, clean):
     assert x.Reader(model).restore(raw) == clean
 
 
+@pytest.mark.parametrize("raw, clean", [
+    ("iidiioott", "idiot"), ("stuupid", "stupid"), ("sstupid", "stupid"), ("id-iot", "idiot"), ("st.up.id", "stupid"), ("tr_ash", "trash"), ("lo--ser", "loser"),
+    ("s  t  u  p  i  d", "stupid"), ("m\to\tr\to\tn", "moron"), ("the s\nc\nu\nm", "the scum"), ("letter  butter", "letter  butter"), ("the  1", "the  1")])
+def test_restored_wherever_there_is_another_reading(model, raw, clean):
+    assert x.Reader(model).restore(raw) == clean
+
+
 def test_viterbi_is_the_best_of_all_readings(model):
     def total(pairs):
         a, b, score = 0, 0, 0.0
