@@ -68,19 +68,27 @@ def given(rules: Iterable[Rule]) -> tuple[Column, Column]:
 
 
 def tokens(host: Column, path: Column, url: Column) -> Column:
-    """Distinct tokens of a url: domain and its ends, first labels, directories, ending, kind of query. Numbers count as one token."""
+    """Distinct tokens of a url: domain and its ends, every host label, every path segment, ending, every parameter's name.
+
+    Only the last segment has an ending, which is cut from it. Numbers in segments count as one token.
+    """
     labels = F.split(host, r"\.")
-    words = F.filter(F.split(F.substring_index(path, ".", 1), "/"), lambda x: x != "")
+    words = F.filter(F.split(F.regexp_replace(path, r"\.[^./]*\z", ""), "/"), lambda x: x != "")
     shaped = F.transform(words, lambda x: F.concat(F.lit("path="), F.regexp_replace(x, "[0-9]+", "0")))
     name = F.transform(F.split(labels[0], "-"), lambda x: F.concat(F.lit("name="), x))
+    # The first label has a token of its own; the last two are a site only together, so that no name counts under every top.
+    inner = F.transform(F.filter(labels, lambda x, i: (i > 0) & (i < F.size(labels) - 2)), lambda x: F.concat(F.lit("label="), x))
+    query = F.regexp_extract(url, r"(?s)\A[^?#]*\?([^#]*)", 1)
+    asked = F.transform(F.split(query, "&"), lambda x: F.concat(F.lit("query="), F.substring_index(x, "=", 1)))
+    none = F.array().cast("array<string>")
     return F.array_distinct(F.filter(F.concat(
         F.array(
             F.when(host != "", F.concat(F.lit("top="), F.element_at(labels, -1))),
             F.when(F.size(labels) > 1, F.concat(F.lit("site="), F.substring_index(host, ".", -3))),
+            F.when(F.size(labels) > 2, F.concat(F.lit("site="), F.substring_index(host, ".", -2))),
             F.when(F.size(labels) > 2, F.concat(F.lit("first="), labels[0])),
-            F.when(F.contains(path, F.lit(".")), F.concat(F.lit("ending="), F.substring_index(path, ".", -1))),
-            F.when(F.contains(url, F.lit("?")), F.concat(F.lit("query="), F.regexp_extract(url, r"\?([^=&#]*)", 1))),
-        ), F.slice(shaped, 1, 3), F.when(F.size(F.split(labels[0], "-")) > 1, name).otherwise(F.array().cast("array<string>")),
+            F.when(F.rlike(path, F.lit(r"\.[^./]*\z")), F.concat(F.lit("ending="), F.regexp_extract(path, r"\.([^./]*)\z", 1))),
+        ), shaped, inner, F.when(F.rlike(url, F.lit(r"\A[^?#]*\?")), asked).otherwise(none), F.when(F.size(F.split(labels[0], "-")) > 1, name).otherwise(none),
     ), lambda x: x.isNotNull()))
 
 

@@ -80,3 +80,21 @@ def test_mined_rules_judge_other_urls(spark, frame):
     rows += [(200, "http://shop.spam-farm.example.net/en/1", ""), (201, "http://quiet.example.org/de/3", "")]
     got = {r.page_id: r for r in u.judge(frame(rows, PAGES)).collect()}
     assert got[200].verdict == "block" and got[200].mined_rule and got[201].verdict == "allow" and got[201].mined_rule is None
+
+
+def test_tokens_of_the_whole_url(spark, frame):
+    url = "https://a-b.x.y.example.org/v1.2/w/deep/er/ads/page.tar.gz?one=1&two=2#?no=1"
+    host, path = u.parts(F.col("url"))
+    got = frame([(url,), ("https://example.org/v1.2/ads/x",), (None,)], "url string").select(u.tokens(host, path, F.coalesce("url", F.lit(""))).alias("t")).collect()
+    assert set(got[0].t) == {
+        "top=org", "site=y.example.org", "first=a-b", "name=a", "name=b", "label=x", "label=y", "site=example.org", "path=v0.0", "path=w", "path=deep", "path=er",
+        "path=ads", "path=page.tar", "ending=gz", "query=one", "query=two"}
+    assert set(got[1].t) == {"top=org", "site=example.org", "path=v0.0", "path=ads", "path=x"} and got[2].t == []
+
+
+@pytest.mark.parametrize("tail", ["a/b/c/d/spam/x", "v1.2/spam/x", "x?id=1&spam=2"])
+def test_a_combination_anywhere_in_the_url_is_mined(spark, frame, tail):
+    rows = [(i, f"https://s{i}.net/{'es' if i % 2 else 'xx'}/{tail if i % 2 else 'ok'}") for i in range(40)]
+    rows += [(100 + i, f"https://www.example.com/en/{tail.replace('spam', 'fine')}") for i in range(40)] + [(200, f"https://t.org/{tail}")]
+    got = {r.page_id: (r.verdict, r.mined_rule) for r in u.judge(frame(rows, "page_id long, url string")).collect()}
+    assert got[200][0] == "block" and "spam" in got[200][1]
