@@ -27,17 +27,22 @@ TRAIN_PAGES, EPOCHS = 700, 15
 MAX_DEPTH = 512
 
 #: Names of HTML. Tags whose content is no text, tags without content, tags that break a block.
-RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "title", "svg", "math", "object", "canvas", "select", "option", "button", "xmp")
+RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "title", "xmp")
+#: Its choices are no text, if its end tag, which HTML demands, stands in the page.
+CHOICE = "select"
+#: Drawings and formulas stand in a line of text, and so do their elements, up to a tag that ends them as in browsers.
+FOREIGN = ("svg", "math")
+ENDS_FOREIGN = frozenset("address article aside blockquote body center dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr li main menu nav ol p pre section table ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
 #: Tags that a new block of the same kind ends, and those that end an open paragraph.
-SELF_CLOSING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
-SCOPES = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
+SELF_CLOSING = {"p": ("p",), "option": ("option",), "optgroup": ("option", "optgroup"), "button": ("button",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+SCOPES = {"option": ("select", "datalist"), "optgroup": ("select", "datalist"), "li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
+_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in (*RAW, CHOICE)}
 _NAME = re.compile(r"[a-z]+")
 _WORDS = re.compile(r"[^\W_]+")
 _SPACE = re.compile(r"\s+")
@@ -92,12 +97,16 @@ def blocks(page: str) -> list[Block]:
             if tag not in VOID:
                 close(tag)
             continue
+        foreign = next((i for i, x in enumerate(stack) if x[0] in FOREIGN), None)
+        if foreign is not None and m.group(3).rstrip().endswith("/") and tag not in ENDS_FOREIGN:
+            continue  # the element is empty
         if tag in _END:
             end = _END[tag].search(page, at)
-            at = end.end() if end else len(page)
-            if tag not in INLINE and tag not in ("script", "style", "svg", "math"):
-                flush()
-            continue
+            if end or tag != CHOICE:
+                at = end.end() if end else len(page)
+                if tag not in ("script", "style") and foreign is None:
+                    flush()
+                continue
         if tag == "br":
             text.append(" ")
             breaks += 1
@@ -106,7 +115,10 @@ def blocks(page: str) -> list[Block]:
             if tag == "hr":
                 flush()
             continue
-        inline = tag in INLINE
+        if foreign is not None and tag in ENDS_FOREIGN:
+            del stack[foreign:]
+            foreign = None
+        inline = tag in INLINE or tag in FOREIGN or foreign is not None
         if not inline:
             flush()
             for ended in SELF_CLOSING.get(tag, ("p",)):
@@ -280,6 +292,11 @@ def labelled_page(rng: random.Random) -> tuple[str, list[str]]:
             inner = f"<span>{_words(rng, 1, 5)}</span> <a href='/y'>{_words(rng, 1, 3)}</a>"
         return wrap(kind, inner)
 
+    def control(own: random.Random) -> str:
+        if own.random() < 0.7:
+            return f"<button>{_words(own, 1, 3).capitalize()}</button>"
+        return "<datalist>" + "".join(f"<option>{_words(own, 1, 3)}" for _ in range(own.randrange(1, 5))) + "</datalist>"
+
     def keep(tag: str, text: str) -> str:
         truth.append(text)
         shown = html.escape(text, quote=False)
@@ -324,6 +341,9 @@ def labelled_page(rng: random.Random) -> tuple[str, list[str]]:
             inside.append(keep("p", _words(rng, 1, 3) + rng.choice((".", ""))))
         else:
             inside.append(away(rng.choice((*_ADVERT, *_SIDE, *_FORM, *_COMMENTS, *_NOTICE))))
+    own = random.Random("".join(inside))  # the layout's own draws go on as they were
+    for _ in range(own.choice((0, 0, 0, 0, 0, 1, 2))):
+        inside.insert(own.randrange(len(inside) + 1), control(own))
     inner = "".join(inside)
     if rng.random() < 0.3:
         inner = f'<div class="{rng.choice(("wrapper", "inner", "col", "text"))}">{inner}</div>'

@@ -54,6 +54,21 @@ def test_blocks(page, texts):
     assert [b.text for b in h.blocks(page)] == texts
 
 
+@pytest.mark.parametrize("page, texts", [
+    ("<p>a <svg width=1/> b</p><p>c</p>", ["a b", "c"]), ("<p>a <math/> b</p>c", ["a b", "c"]), ("<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</p>c", ["a x=2 b", "c"]),
+    ("<p>a<svg><path d=1 /><title>t</title><g>b</g></svg>c</p>d", ["abc", "d"]), ("<p>a<svg><path d=1><p>b<div>c</div>", ["a", "b", "c"]),
+    ("<datalist><option>a<option value=b>b</datalist><p>c", ["a", "b", "c"]), ("<button>a<p>b</p>", ["a", "b"]), ("<div><object>a</div>b", ["a", "b"]), ("<canvas>a<p>b", ["a", "b"]),
+    ("<select><option>a<p>b", ["a", "b"]), ("<svg/><article><p>a</p></article>", ["a"]), ("<svg><title/></svg><p>a", ["a"])])
+def test_nothing_else_is_dropped(page, texts):
+    assert [b.text for b in h.blocks(page)] == texts
+
+
+@pytest.mark.parametrize("inner", ["<svg width=1/>", "<p><math/></p>", "<object>", "<canvas>", "<button>Share</button>", "<datalist><option>One<option>Two</datalist>"])
+def test_an_article_goes_on_after_empty_and_unclosed_tags(inner):
+    page = f"<body><article><h1>A title</h1><p>One paragraph of words, with a stop.</p>{inner}<p>The last paragraph of words, with a stop.</p></article></body>"
+    assert h.main_text(page, h.trained()) == "A title\nOne paragraph of words, with a stop.\nThe last paragraph of words, with a stop."
+
+
 def test_main_text_of_ordinary_layouts():
     body = "<article><h1>A title here</h1><p>First paragraph of some words, which says things.</p><p>Second &amp; last paragraph, with more of them.</p></article>"
     page = f"""<html><head><title>t</title></head><body><nav><ul><li><a href=/>Home</a></ul></nav><div class="cookie notice">We use cookies.</div>{body}
