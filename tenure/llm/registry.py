@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import byte_bpe, chat, exact_dedup, html_text, neighbours, packing, pii, simhash, toxicity, url_rules
+from tenure.llm import byte_bpe, chat, exact_dedup, html_text, merkle, negatives, neighbours, packing, pii, simhash, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +23,13 @@ def queries() -> dict[str, Query]:
         "op8_packing": packing.op8_packing,
         "op9_pii": pii.op9_pii,
         "op10_url_rules": url_rules.op10_url_rules,
+        "op11_merkle": merkle.op11_merkle,
+        "op12_hard_negatives": negatives.op12_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op3_chat": chat.OP3_SQL}
+    return {
+        "op1_exact_dedup": exact_dedup.OP1_SQL, "op3_chat": chat.OP3_SQL,
+        "op11_merkle": merkle.OP11_SQL, "op12_hard_negatives": negatives.OP12_SQL,
+    }

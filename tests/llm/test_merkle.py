@@ -1,0 +1,126 @@
+"""Merkle manifest against trees built by hand in Python."""
+
+import hashlib
+import zlib
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tenure.llm import merkle
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def H(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def slow_leaf(row, text):
+    doc_id, _, lang, source, n_chars = row
+    parts = []
+    for value in (doc_id, source, lang, n_chars, text):
+        parts.append("-" if value is None else f"{len(str(value).encode())}:{value}")
+    return H("".join(parts))
+
+
+def climb(nodes):
+    """Levels of a tree, from its nodes to its root."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([H("".join(last[i:i + 3])) for i in range(0, len(last), 3)])
+    return levels
+
+
+def path(levels, at):
+    out = []
+    for level in levels[:-1]:
+        low = at - at % 3
+        out.append(("".join(level[low:at]), "".join(level[at + 1:low + 3])))
+        at //= 3
+    return out
+
+
+def slow_manifest(rows, tamper):
+    by_source = {}
+    for r in rows:
+        by_source.setdefault(r[3], []).append(r)
+    order = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    leaves = {s: sorted(((r[0] is not None, r[0] or 0, slow_leaf(r, r[1]), slow_leaf(r, tamper(r))) for r in by_source[s]), key=lambda x: x[:3]) for s in order}
+    trees = {s: climb([x[2] for x in leaves[s]]) for s in order}
+    upper = climb([trees[s][-1][0] for s in order])
+    root, out = upper[-1][0], []
+    for j, s in enumerate(order):
+        for i, (known, doc_id, leaf, held) in enumerate(leaves[s]):
+            siblings, node = path(trees[s], i) + path(upper, j), held
+            for left, right in siblings:
+                node = H(left + node + right)
+            out.append((doc_id if known else None, leaf, trees[s][-1][0], root, H("".join(a + b for a, b in siblings)), node, node == root))
+    return out
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified").collect()), key=repr)
+
+
+def without_breaks(row):
+    if row[1] is not None and row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0:
+        return row[1].replace("\n", "")
+    return row[1]
+
+
+def tampered():
+    odd = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return F.when(odd, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+
+
+def rows_of(sizes):
+    rows, at = [], 0
+    for s, n in sizes.items():
+        for _ in range(n):
+            at += 7
+            rows.append((at % 9973, f"text\n{at}" if at % 5 else f"téxt {at}", "en" if at % 3 else None, s, at if at % 4 else None))
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 1}, {"a": 2}, {"a": 3, "b": 1}, {None: 4, "": 5, "a": 27, "é": 28, "z": 10}, {f"s{i}": 1 + i % 3 for i in range(40)}, {"a": 2200, "b": 730, "c": 729, "d": 1},
+])
+def test_against_trees_built_by_hand(spark, frame, sizes, monkeypatch):
+    monkeypatch.setattr(merkle, "RANGE_ROWS", 300)
+    rows = rows_of(sizes)
+    assert got(merkle.manifest(frame(rows, SCHEMA), tampered())) == sorted(slow_manifest(rows, without_breaks), key=repr)
+
+
+def test_rounds_of_small_blocks(spark, frame, monkeypatch):
+    """Blocks of nine nodes: four rounds in the largest source, two over the sources."""
+    monkeypatch.setattr(merkle, "LEVELS", 2)
+    monkeypatch.setattr(merkle, "RANGE_ROWS", 40)
+    rows = rows_of({"hot": 800, **{f"s{i:02}": 1 + i % 12 for i in range(30)}})
+    assert got(merkle.manifest(frame(rows, SCHEMA), tampered())) == sorted(slow_manifest(rows, without_breaks), key=repr)
+
+
+def test_nulls_repeats_and_extra_columns(spark, frame):
+    rows = [(None, None, None, None, None), (None, "", None, None, None), (1, "a\nb", "en", "x", 3), (1, "a\nb", "en", "x", 3), (1, "other", "en", "x", 5), (2, "a\n" * 200_000, "en", "x", 1)]
+    docs = frame(rows, SCHEMA)
+    for name in ("tree", "node", "place", "row", "range", "held", "leaf", "n", "block", "root"):
+        docs = docs.withColumn(name, F.lit(1))
+    assert got(merkle.manifest(docs, tampered())) == sorted(slow_manifest(rows, without_breaks), key=repr)
+    assert got(merkle.manifest(frame([], SCHEMA))) == []
+    untouched = got(merkle.manifest(docs))
+    assert all(r[-1] for r in untouched) and len({r[3] for r in untouched}) == 1
+
+
+def test_length_prefixes_keep_rows_apart(spark, frame):
+    rows = [(1, "b", "a", "s", 1), (1, "", "ab", "s", 1), (11, "b", "a", "s", None), (1, None, "a", "s", None), (1, "-", "a", "s", None)]
+    assert len({r[1] for r in got(merkle.manifest(frame(rows, SCHEMA)))}) == len(rows)
+
+
+def test_query_and_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM read_parquet('/root/testdata/sf0.001/documents.parquet')")
+    want = con.execute(f"SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, verified FROM ({merkle.OP11_SQL})").fetchall()
+    found = got(merkle.op11_merkle(spark, "/root/testdata/sf0.001"))
+    assert found == sorted(want, key=repr)
+    assert {r[-1] for r in found} == {True, False}

@@ -1,0 +1,78 @@
+"""Hard negatives against brute force; bounds that never leave out a row that counts."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tenure.llm import negatives as hn
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def brute(rows, is_anchor=lambda i: i % 50 == 0):
+    rows = [(i, [math.floor(256 * x) for x in v], label) for i, v, label in rows
+            if i is not None and label is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a in {r[0]: min((x[2], x[1]) for x in rows if x[0] == r[0]) for r in rows if is_anchor(r[0])}.items():
+        anchor, (label, q) = a
+        scored = [(-sum(x * y for x, y in zip(q, r[1])), r[0], r[2]) for r in rows]
+        for s, p, _ in sorted(x for x in scored if x[2] == label and x[1] != anchor)[:5]:
+            fits = sorted(x for x in scored if x[2] != label and 50 * -s <= 100 * -x[0] <= 95 * -s)[:3]
+            out += [(anchor, p, k + 1, n, -s, -t) for k, (t, n, _) in enumerate(fits)]
+    return sorted(out)
+
+
+def got(df):
+    return sorted(tuple(r) for r in df.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect())
+
+
+def mine(vectors):
+    return hn.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+@pytest.mark.parametrize("spread", [0.2, 1.0, 20.0])
+def test_against_brute_force(spark, frame, spread, monkeypatch):
+    monkeypatch.setattr(hn, "CELL_ROWS", 120)
+    monkeypatch.setattr(hn, "CELL_ANCHORS", 3)
+    rng = np.random.default_rng(int(10 * spread))
+    centres = rng.normal(size=(6, 12))
+    rows = [(i, [float(x) for x in (centres[i % 6] + spread * rng.normal(size=12)) * rng.uniform(0.2, 3)], int(rng.integers(3) if i % 3 else 7)) for i in range(700)]
+    want = brute(rows)
+    assert want and got(mine(frame(rows, SCHEMA))) == want
+
+
+def test_bounds_hold_and_leave_rows_out():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(5, 16))
+    q = np.floor(256 * np.concatenate([centres[i % 5] + 0.05 * rng.normal(size=(400, 16)) for i in range(5)] + [centres, -centres, 2 * centres]))
+    norms, angles = hn.norms_and_angles(q, hn.references(q))
+    scored = 0
+    for a in range(0, len(q), 13):
+        low, high = hn.bounds(norms[a], angles[a], norms, np.ascontiguousarray(angles.T))
+        exact = q @ q[a]
+        assert (low <= exact).all() and (exact <= high).all()
+        scored += ((high >= 0.5 * norms[a] ** 2) & (low <= 0.95 * norms[a] ** 2)).mean() / len(range(0, len(q), 13))
+    assert scored < 0.6  # bounds that rule nothing out would score all
+
+
+def test_ties_go_to_smaller_ids(spark, frame):
+    rows = [(i, [1.0, 0.0], 1) for i in range(0, 60)] + [(i, [0.75, 0.1], 2) for i in range(100, 110)] + [(i, [0.9, 0.4], 3) for i in range(90, 95)]
+    assert got(mine(frame(rows, SCHEMA))) == brute(rows)
+
+
+def test_rows_that_take_no_part(spark, frame):
+    rows = [(0, [1.0, 0.0], 0), (0, [1.0, 0.0], 0), (1, [1.0, 1.0], 0), (2, None, 0), (3, [0.0, 0.0], 0), (4, [float("nan"), 1.0], 0), (5, [None, 1.0], 1),
+            (6, [float("inf"), 1.0], 1), (7, [], 0), (8, [1.0, 2.0, 3.0], 0), (None, [1.0, 1.0], 0), (9, [0.7, 0.0], 1), (9, [0.7, 0.0], 1), (10, [0.6, 0.2], None), (50, [-1.0, 0.0], 4)]
+    vectors = frame(rows, SCHEMA).withColumn("q", F.lit(1)).withColumn("score", F.lit(2)).withColumn("i", F.lit(3))
+    assert got(mine(vectors)) == brute([r for r in rows if r[0] != 8])
+    assert got(mine(frame([], SCHEMA))) == []
+    assert got(mine(frame([(1, [1.0], 1)], SCHEMA))) == []
+    assert got(mine(frame([(0, [0.0], 1), (1, [0.0], 1), (2, [0.0], 2)], SCHEMA))) == [(0, 1, 1, 2, 0, 0)]
+
+
+def test_large_components_stay_exact(spark, frame):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=4) * (10.0 ** rng.integers(0, 6))], i % 2) for i in range(150)]
+    assert got(mine(frame(rows, SCHEMA))) == brute(rows)
