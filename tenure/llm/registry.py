@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import byte_bpe, chat, exact_dedup, html_text, merkle, negatives, neighbours, packing, pii, simhash, toxicity, url_rules
+from tenure.llm import byte_bpe, chat, exact_dedup, html_text, merkle, minhash, negatives, neighbours, packing, pii, simhash, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op10_url_rules": url_rules.op10_url_rules,
         "op11_merkle": merkle.op11_merkle,
         "op12_hard_negatives": negatives.op12_hard_negatives,
+        "op13_minhash": minhash.op13_minhash,
     }
 
 
