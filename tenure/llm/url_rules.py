@@ -4,6 +4,10 @@ Given rules judge the urls they fit. From these judged urls FP-growth mines whic
 url tokens go with a block; rules pruned by confidence and support judge the urls that no given rule fits. Rules
 are matched by an inverted index from token to rule: a rule fires when all its tokens are met.
 
+Spark's own FPGrowth lists every frequent combination, 2^k of k tokens that urls share. So the patterns are grown here
+by rounds of joins and groupings, over tokens of the same urls merged into one item, and only along combinations
+that can still give a rule; the rules are those that a full listing gives after pruning.
+
 Urls are reduced to their token set before they are matched, so a host with a third of all urls
 counts once per distinct set.
 """
@@ -13,9 +17,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tenure.llm.common import cut, table
 
@@ -24,7 +28,8 @@ MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.9
 #: Tokens of a rule, at least: one token alone, such as an end of all hosts, is too wide a reason.
 MIN_TOKENS = 2
-BLOCK = "verdict=block"
+#: Token sets of more than this part of the open urls are matched apart from others.
+HOT = 1_000
 
 
 class Rule(NamedTuple):
@@ -92,46 +97,126 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
     ), lambda x: x.isNotNull()))
 
 
-def mine(judged: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules of judged token sets (tokens, verdict): rule_tokens, confidence, support, n_tokens.
+def _occurrences(judged: DataFrame, need: float) -> tuple[DataFrame, DataFrame]:
+    """The frequent items (item, tokens, n, b), and the distinct token sets as sorted lists of them (items, n, b).
 
-    A rule is a token combination that at least ``min_support`` of the judged urls hold, of which at least
-    ``min_confidence`` are blocked. A rule is dropped if some subset of its tokens is a rule of no less confidence.
+    Tokens of the same urls are one item: whatever holds of one of them holds of all. Items are numbered from the rarest on. Each
+    is in ``need`` blocked urls at least, so there are at most (tokens of all blocked urls) / need of them.
     """
-    transactions = judged.select(F.when(F.col("verdict") == "block", F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(transactions)
-    found = model.associationRules.where(F.array_contains("consequent", BLOCK)).select(
-        F.array_sort("antecedent").alias("rule_tokens"), "confidence", "support", F.size("antecedent").alias("n_tokens")
-    )
-    found = cut(found.where(F.col("n_tokens") >= MIN_TOKENS).withColumn("rule_id", F.xxhash64("rule_tokens")), "rules")
-    smaller = index(found).select("token", F.col("rule_tokens").alias("part"), F.col("n_tokens").alias("n_part"), F.col("confidence").alias("c_part"))
-    dominated = (
-        found.select("rule_id", "n_tokens", "confidence", "rule_tokens", F.explode("rule_tokens").alias("token")).join(smaller, "token")
-        .where("n_part < n_tokens and c_part >= confidence").where(holds(F.col("rule_tokens"), F.col("part"))).select("rule_id").distinct()
+    blocked = F.sum((F.col("verdict") == "block").cast("long"))
+    sets = judged.groupBy("tokens").agg(F.count(F.lit(1)).alias("n"), blocked.alias("b")).withColumn("set_id", F.monotonically_increasing_id())
+    sets = cut(sets, "sets")
+    each = sets.select("set_id", "n", "b", F.explode("tokens").alias("token"))
+    where = (F.sum(F.xxhash64("set_id", F.lit(i)).cast("decimal(38,0)")).alias(f"w{i}") for i in (1, 2))
+    frequent = each.groupBy("token").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), *where).where(F.col("b") >= need)
+    merged = frequent.groupBy("n", "b", "w1", "w2").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    items = cut(merged.select(F.row_number().over(Window.orderBy("n", "tokens")).alias("item"), "tokens", "n", "b"), "items")
+    numbered = each.join(items.select("item", F.explode("tokens").alias("token")), "token")
+    listed = numbered.groupBy("set_id").agg(F.array_sort(F.collect_set("item")).alias("items"), F.first("n").alias("n"), F.first("b").alias("b"))
+    return items, cut(listed.select("items", "n", "b"), "item-sets")
+
+
+def _grown(judged: DataFrame, min_support: float, min_confidence: float) -> tuple[DataFrame, DataFrame]:
+    """Items, and rules over them (items, n, b) with two items at least that no rule of a part of them dominates.
+
+    FP-growth by rounds: a row is a found combination with what its url holds besides, among the items after it. A combination is
+    grown only if each item makes it rarer (a generator), since without that item it is a rule of the same urls,
+    and if some of its urls are allowed, since no rule is surer than one without.
+    """
+    total = judged.count()
+    need = max(1.0, min_support * total - 1e-9)
+    items, base = _occurrences(judged, need)
+    sure = F.col("b") >= min_confidence * F.col("n") - 1e-9
+    last = items.select(F.array("item").alias("items"), "n", "b")
+    rest = F.filter("items", lambda x: x > F.col("item"))
+    frontier = base.select(F.explode("items").alias("item"), "items", "n", "b").select(F.array("item").alias("found"), rest.alias("rest"), "n", "b")
+    rules, size = None, 1
+    while True:
+        size += 1
+        grown = frontier.where(F.size("rest") > 0).select("found", "rest", "n", "b", F.posexplode("rest").alias("at", "item")).select(
+            F.array_append("found", F.col("item")).alias("items"), F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"), "n", "b"
+        )
+        counted = cut(grown.groupBy("items").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).where(F.col("b") >= need), "combinations")
+        if counted.isEmpty():
+            break
+        # Each part without one item must have been grown, and be in more urls.
+        parts = counted.select("items", "n", F.explode(F.transform("items", lambda x: F.array_remove("items", x))).alias("part"))
+        whole = parts.join(last.select(F.col("items").alias("part"), F.col("n").alias("n_part")), "part").where("n_part > n")
+        generators = cut(counted.join(whole.groupBy("items").count().where(F.col("count") == size).select("items"), "items", "left_semi"), "generators")
+        found = (counted if size == 2 else generators).where(sure)
+        rules = found if rules is None else rules.unionByName(found)
+        last = generators.where("b < n")
+        frontier = cut(grown.join(last.select("items"), "items", "left_semi").withColumnRenamed("items", "found"), "frontier")
+    if rules is None:
+        return items, base.limit(0)
+    rules = cut(rules, "rules")
+    small = rules.select(F.col("items").alias("part"), F.col("n").alias("n_part"), F.col("b").alias("b_part"), F.get("items", F.lit(0)).alias("item"))
+    dominated = rules.select("items", "n", "b", F.explode("items").alias("item")).join(small, "item").where(
+        (F.size("part") < F.size("items")) & (F.size(F.array_except("part", "items")) == 0)
+        & (F.col("b_part").cast("decimal(38,0)") * F.col("n") >= F.col("b").cast("decimal(38,0)") * F.col("n_part"))
     )
-    return found.join(dominated, "rule_id", "left_anti")
+    return items, rules.join(dominated.select("items").distinct(), "items", "left_anti")
+
 
+def mine_groups(judged: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules of judged token sets (tokens, verdict), those over tokens of the same urls together: rule_id, groups, confidence, support, n_tokens.
 
-def holds(tokens: Column, part: Column) -> Column:
-    return F.size(F.array_except(part, tokens)) == 0
+    A row stands for all rules of n_tokens tokens with at least one of each group.
+    """
+    total = max(1, judged.count())
+    items, rules = _grown(judged, min_support, min_confidence)
+    alone = items.where((F.size("tokens") >= MIN_TOKENS) & (F.col("b") >= min_confidence * F.col("n") - 1e-9)).select(F.array("item").alias("items"), "n", "b")
+    each = rules.unionByName(alone).select("items", "n", "b", F.explode("items").alias("item")).join(items.select("item", "tokens"), "item")
+    whole = each.groupBy("items", "n", "b").agg(F.array_sort(F.collect_list("tokens")).alias("groups"))
+    return cut(whole.select(
+        F.monotonically_increasing_id().alias("rule_id"), "groups", (F.col("b") / F.col("n")).alias("confidence"), (F.col("b") / total).alias("support"),
+        F.greatest(F.size("groups"), F.lit(MIN_TOKENS)).alias("n_tokens"),
+    ), "rules")
+
+
+def mine(judged: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules of judged token sets (tokens, verdict), each by itself: rule_tokens, confidence, support, n_tokens.
+
+    A rule is a token combination that is in blocked urls as often as at least ``min_support`` of the judged urls, of whose urls at least
+    ``min_confidence`` are blocked. A rule is dropped if some subset of its tokens is a rule of no less confidence.
+    """
+    found = mine_groups(judged, min_support, min_confidence)
+    pair = lambda x, i: F.transform(F.slice(F.get("groups", F.lit(0)), i + 2, F.size(F.get("groups", F.lit(0)))), lambda y: F.array(x, y))
+    pairs = F.flatten(F.transform(F.get("groups", F.lit(0)), pair))
+    of_each = lambda done, group: F.flatten(F.transform(done, lambda d: F.transform(group, lambda t: F.array_append(d, t))))
+    product = F.aggregate("groups", F.array(F.array().cast("array<string>")), of_each)
+    every = F.when(F.size("groups") == 1, pairs).otherwise(product)
+    return found.select(F.explode(every).alias("rule_tokens"), "confidence", "support", "n_tokens").withColumn("rule_tokens", F.array_sort("rule_tokens"))
 
 
 def index(rules: DataFrame) -> DataFrame:
-    """The inverted index: each rule under the one of its tokens that the fewest rules have."""
-    each = rules.select("rule_id", F.explode("rule_tokens").alias("token"))
+    """The inverted index: each rule under the tokens of one of its groups, of that which the fewest rules have."""
+    each = rules.select("rule_id", F.posexplode("groups").alias("at", "group")).select("rule_id", "at", F.explode("group").alias("token"))
     spread = each.groupBy("token").agg(F.count(F.lit(1)).alias("n_rules"))
-    rarest = each.join(spread, "token").groupBy("rule_id").agg(F.min_by("token", F.struct("n_rules", "token")).alias("token"))
-    return rules.join(rarest, "rule_id")
+    rarest = each.join(spread, "token").groupBy("rule_id", "at").agg(F.sum("n_rules").alias("n_rules")).groupBy("rule_id").agg(
+        F.min_by("at", F.struct("n_rules", "at")).alias("at")
+    )
+    return rules.join(rarest, "rule_id").withColumn("token", F.explode(F.get("groups", F.col("at"))))
 
 
-def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """set_id and mined_rule: the surest rule whose tokens a set holds, for sets (set_id, tokens) that have one."""
-    met = sets.select("set_id", "tokens", F.explode("tokens").alias("token")).join(index(rules), "token").where(
-        holds(F.col("tokens"), F.col("rule_tokens"))
-    )
-    return met.groupBy("set_id").agg(
-        F.max_by(F.array_join("rule_tokens", " & "), F.struct("confidence", F.negative("n_tokens"), F.array_join("rule_tokens", " & "))).alias("mined_rule")
+def match_groups(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """set_id and mined_rule: the surest rule whose tokens a set holds, for sets (set_id, tokens) that have one.
+
+    Of equally sure rules that of the fewest tokens, then of the largest name. Of a group, the largest tokens held are named.
+    """
+    held = F.transform("groups", lambda g: F.array_intersect(g, F.col("tokens")))
+    met = sets.select("set_id", "tokens", F.explode("tokens").alias("token")).join(index(rules), "token").withColumn("held", held)
+    met = met.where(F.forall("held", lambda g: F.size(g) > 0) & (F.size(F.flatten("held")) >= F.col("n_tokens")))
+    chosen = F.when(F.size("held") < F.col("n_tokens"), F.slice(F.reverse(F.array_sort(F.flatten("held"))), F.lit(1), F.col("n_tokens"))).otherwise(
+        F.transform("held", lambda g: F.array_max(g))
     )
+    name = F.array_join(F.array_sort(chosen), " & ")
+    return met.groupBy("set_id").agg(F.max_by(name, F.struct("confidence", F.negative("n_tokens"), name)).alias("mined_rule"))
+
+
+def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """``match_groups`` for rules (rule_id, rule_tokens, confidence, n_tokens) that are given one by one."""
+    return match_groups(sets, rules.withColumn("groups", F.transform("rule_tokens", lambda t: F.array(t))))
 
 
 def judge(pages: DataFrame, rules: Iterable[Rule] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -147,19 +232,26 @@ def judge(pages: DataFrame, rules: Iterable[Rule] = RULES, id_col: str = "page_i
     name, verdict = given(rules)
     split = split.withColumn("rule", name).withColumn("given", verdict)
     split = cut(split.withColumn("tokens", F.array_sort(tokens(F.col("host"), F.col("path"), F.col("url")))).drop("url"), "urls")
-    judged = split.where("given is not null").select("tokens", F.col("given").alias("verdict"))
-    if judged.isEmpty():
-        return split.select("page_id", "host", "path", "rule", F.lit("allow").alias("verdict"), F.lit(None).cast("string").alias("mined_rule"))
-    mined = mine(judged)
-    own = F.xxhash64("tokens")
-    sets = split.where("given is null").groupBy("tokens").agg(F.lit(0).alias("n")).select(own.alias("set_id"), "tokens")
-    fired = match(sets, mined)
-    open_ = F.when(F.col("given").isNull(), own)
-    out = split.join(fired, open_ == F.col("set_id"), "left")
-    return out.select(
+    judged = split.where("given is not null")
+    named = lambda df: df.select(
         "page_id", "host", "path", "rule",
         F.coalesce("given", F.when(F.col("mined_rule").isNotNull(), "block"), F.lit("allow")).alias("verdict"), "mined_rule",
     )
+    none = F.lit(None).cast("string")
+    if judged.isEmpty():
+        return named(split.withColumn("mined_rule", none))
+    mined = mine_groups(judged.select("tokens", F.col("given").alias("verdict")))
+    open_ = split.where("given is null")
+    sets = cut(open_.groupBy("tokens").agg(F.count(F.lit(1)).alias("n_urls")).withColumn("set_id", F.monotonically_increasing_id()), "token-sets")
+    fired = cut(match_groups(sets, mined).join(sets, "set_id").select("tokens", "n_urls", "mined_rule"), "fired")
+    # At most HOT sets have a HOT-th of the open urls or more: these are sent to every task, so that none gets all urls of one.
+    many = max(1, open_.count() // HOT)
+    often = F.broadcast(fired.where(F.col("n_urls") > many).select("tokens", "mined_rule"))
+    seldom = fired.where(F.col("n_urls") <= many).select("tokens", F.col("mined_rule").alias("seldom_rule"))
+    met = open_.join(often, "tokens", "left")
+    hot = met.where("mined_rule is not null")
+    rest = met.where("mined_rule is null").drop("mined_rule").join(seldom, "tokens", "left").withColumnRenamed("seldom_rule", "mined_rule")
+    return named(judged.withColumn("mined_rule", none)).unionByName(named(hot)).unionByName(named(rest))
 
 
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,3 +98,54 @@ def test_a_combination_anywhere_in_the_url_is_mined(spark, frame, tail):
     rows += [(100 + i, f"https://www.example.com/en/{tail.replace('spam', 'fine')}") for i in range(40)] + [(200, f"https://t.org/{tail}")]
     got = {r.page_id: (r.verdict, r.mined_rule) for r in u.judge(frame(rows, "page_id long, url string")).collect()}
     assert got[200][0] == "block" and "spam" in got[200][1]
+
+
+def counted(sets, tokens, min_support, min_confidence, longest):
+    """Rules by counting every combination."""
+    want = {}
+    for n in range(u.MIN_TOKENS, longest + 1):
+        for combo in itertools.combinations(tokens, n):
+            held = [v for t, v in sets if set(combo) <= set(t)]
+            blocked = held.count("block")
+            if blocked >= max(1, min_support * len(sets)) and blocked / len(held) >= min_confidence:
+                want[combo] = (round(blocked / len(held), 9), round(blocked / len(sets), 9))
+    return {c: v for c, v in want.items() if not any(set(d) < set(c) and w[0] >= v[0] for d, w in want.items())}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_tokens_that_go_together_give_the_rules_of_counting(spark, frame, seed):
+    """Tokens of the same urls (a, b, c), tokens that imply others (d, e, f, from deep to wide), and loose ones."""
+    rng, sets = random.Random(seed), []
+    for _ in range(200):
+        t = {x for x in "xyz" if rng.random() < 0.4}
+        if rng.random() < 0.5:
+            t |= set("abc")
+        t |= set("def"[rng.randrange(4):])
+        bad = ("a" in t and rng.random() < 0.9) or ("f" in t and "x" in t and rng.random() < 0.85) or rng.random() < 0.1
+        sets.append((sorted(t), "block" if bad else "allow"))
+    got = {tuple(r.rule_tokens): (round(r.confidence, 9), round(r.support, 9)) for r in u.mine(frame(sets, "tokens array<string>, verdict string"), 0.03, 0.75).collect()}
+    want = counted(sets, "abcdefxyz", 0.03, 0.75, 9)
+    assert got == want and len(want) > 3
+
+
+def test_deep_urls_give_no_powers_of_two(spark, frame):
+    """Families of 1,000 urls with 20 segments in common, and with 1 to 20 of them in common, blocked, allowed and mixed."""
+    deep = [f"d{i}" for i in range(20)]
+    letters = "abcdefghijklmnopqrst"
+    rows = []
+    for i in range(1000):
+        rows.append(f"https://s.net/{'es' if i % 2 else 'xx'}/{'/'.join('p' + x for x in letters)}/{i}")
+        rows.append(f"https://{'www.' if i % 3 else ''}example.com/en/{'/'.join(x + 'q' for x in letters[:1 + i % 20])}/{i}")
+        rows.append(f"https://t.net/fr/{'/'.join(x + 'r' for x in letters[:1 + i % 20])}?k{i % 5}=1&j{i % 7}=2")
+    frame_ = frame([(i, x) for i, x in enumerate(rows)] + [(9000, "https://t.org/pa/pb/1"), (9001, "https://t.org/" + "/".join(deep))], "page_id long, url string")
+    got = {r.page_id: r for r in u.judge(frame_).where("page_id >= 9000 or rule is null").collect()}
+    assert got[9001].verdict == "allow"
+    assert len(got) == 2 + 500
+
+
+def test_a_hot_token_set_is_judged_like_any_other(spark, frame, monkeypatch):
+    monkeypatch.setattr(u, "HOT", 10)
+    rows = [(i, f"http://shop.spam-farm.example.net/es/{i}") for i in range(60)] + [(100 + i, f"http://good.org.com/de/{i}") for i in range(60)]
+    rows += [(1000 + i, f"http://shop.spam-farm.example.net/en/{i}") for i in range(200)] + [(2000 + i, f"http://shop.spam-farm.example.net/{'abcdefgh'[i]}/1") for i in range(8)]
+    got = u.judge(frame(rows, "page_id long, url string")).where("page_id >= 1000").collect()
+    assert len(got) == 208 and all(r.verdict == "block" and r.mined_rule for r in got)
