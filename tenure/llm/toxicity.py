@@ -13,6 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -46,9 +47,12 @@ REMEMBERED, LONGEST = 200_000, 64
 
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S)+(?!\S)")
 #: What gives a word more than one reading: letters with signs for letters, with separators between them, or with an equal one next to them.
-_ODD = re.compile(r"[^\W\d_].*[0-9@$!|+€]|[0-9@$!|+€].*[^\W\d_]|[^\W\d_][.\-_*~']+[^\W\d_]|([^\W\d_])\1")
+_LETTER, _SIGN = re.compile(r"[^\W\d_]"), re.compile(r"[0-9@$!|+€]")
+_APART, _TWICE = re.compile(r"[^\W\d_][.\-_*~']++[^\W\d_]"), re.compile(r"([^\W\d_])\1")
+#: Where a lattice has more than one way: a sign, separators, a letter several times in a row.
+_FORKS = re.compile(r"[0-9@$!|+€]|[ .\-_*~']++|([^\W\d_])\1++")
 _BLANKS = re.compile(r"\s+")
-_ENDS = re.compile(r"^[^\w@$|+€]+|[^\w@$]+$|(?<=[^\W\d_])([@$])\1\1+$")
+_LEAD, _TAIL = re.compile(r"[^\w@$|+€]*+"), re.compile(r"[^\w@$]*+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -94,6 +98,14 @@ class LanguageModel:
         p3 = (n3 + 20 * p2) / (n3.sum(axis=2, keepdims=True) + 20)
         self.log = np.log(p3).astype(np.float32)
 
+    @cached_property
+    def flat(self) -> list[float]:
+        """The same as a list, which is read faster one by one; made anew in each process."""
+        return self.log.ravel().tolist()
+
+    def __getstate__(self) -> dict:
+        return {"log": self.log}
+
 
 # --- the channel ------------------------------------------------------------------------
 
@@ -117,33 +129,101 @@ def readings(raw: str) -> list[list[tuple[str | None, float]]]:
     return out
 
 
+def has_readings(raw: str) -> bool:
+    """May a word be read in more than one way?"""
+    return bool(_LETTER.search(raw) and (_SIGN.search(raw) or _APART.search(raw) or _TWICE.search(raw)))
+
+
+def core(raw: str) -> tuple[int, int]:
+    """Where in a word its signs may stand for letters: without what opens and closes it, and without three or more equal @ or $ at its end."""
+    start = _LEAD.match(raw).end()
+    end = max(start, len(raw) - _TAIL.match(raw[::-1]).end())
+    if end == len(raw) and raw and raw[-1] in "@$":
+        before = len(raw.rstrip(raw[-1]))
+        if len(raw) - before >= 3 and before and _LETTER.match(raw[before - 1]):
+            end = before
+    return start, end
+
+
+def _code(c: str) -> int:
+    return CODE.get(c, OTHER) if c.isalpha() else 0
+
+
 def viterbi(raw: str, model: LanguageModel) -> str:
-    """The likeliest clean reading of a lower-case string; ties keep more of what is written."""
-    log = model.log
-    code = lambda c: (CODE.get(c, OTHER) if c.isalpha() else 0)
-    # A state is the last two symbols; its value the log probability and the way there, as a chain.
+    """The likeliest clean reading of a lower-case string; ties keep more of what is written.
+
+    The same lattice as ``readings``, in time linear in the string. Separators in a row are kept, kept once or dropped
+    together, and of a letter n times in a row n, two, one or (after the same letter and a separator) none are kept: whatever lies between
+    scores no better. Where one state is left, characters with one reading pass as they are.
+    """
+    log = model.flat
+    # A state is the last two symbols; its value the log probability and the way there, as a chain of pieces.
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for options in readings(raw):
+
+    def fork(options: list[tuple[str, int, int, float]]) -> None:
+        """Options: what is written, its symbol, how many times, the channel's log probability."""
+        nonlocal states
         after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, way) in states.items():
-            for c, channel in options:
-                if c is None:
-                    key, value = (a, b), (score + channel, way)
-                else:
-                    s = code(c)
-                    # boundaries in a row count once, as between words of the model
-                    step = 0.0 if s == 0 and b == 0 else float(log[a, b, s])
-                    key, value = (b, s), (score + channel + step, (way, c))
+            for text, s, n, channel in options:
+                value = score + channel
+                key = (a, b)
+                if n:
+                    if s or b:  # boundaries in a row count once, as between words of the model
+                        value += log[(a * N + b) * N + s]
+                    key = (b, s)
+                    if n > 1:
+                        key = (s, s)
+                        if s:
+                            value += log[(b * N + s) * N + s] + (n - 2) * log[(s * N + s) * N + s]
                 known = after.get(key)
-                if known is None or value[0] > known[0]:
-                    after[key] = value
+                if known is None or value > known[0]:
+                    after[key] = (value, (way, text) if n else way)
         states = after
-    best = max(states.items(), key=lambda x: x[1][0] + (float(log[x[0][0], x[0][1], 0]) if x[0][1] else 0.0))[1][1]
-    chars = []
+
+    def plain(text: str) -> None:
+        nonlocal states
+        at = 0
+        while len(states) > 1 and at < len(text):
+            fork([(text[at], _code(text[at]), 1, 0.0)])
+            at += 1
+        if at < len(text):
+            ((a, b), (score, way)), = states.items()
+            a, b = (b, _code(text[-1])) if len(text) - at == 1 else (_code(text[-2]), _code(text[-1]))
+            states = {(a, b): (score, (way, text[at:]))}
+
+    def letters(c: str, n: int, at: int) -> None:
+        droppable = at > 1 and raw[at - 1] in SEPARATORS and raw[at - 2] == c
+        s = _code(c)
+        kept = [n, *(k for k in (2, 1) if k < n), *([0] if droppable else [])]
+        fork([(c * k, s, k, (n - k) * AGAIN) for k in kept])
+
+    def between(start: int, end: int) -> None:
+        if start < end and start > 1 and raw[start - 1] in SEPARATORS and raw[start] == raw[start - 2] and raw[start].isalpha():
+            letters(raw[start], 1, start)
+            start += 1
+        plain(raw[start:end])
+
+    done = 0
+    for m in _FORKS.finditer(raw):
+        c, n = m.group(0)[0], len(m.group(0))
+        if m.group(1) and not c.isalpha():
+            continue
+        between(done, m.start())
+        if m.group(1):
+            letters(c, n, m.start())
+        elif c in SIGNS:
+            fork([(c, 0, 1, MEANT), *((x, _code(x), 1, SWAP) for x in SIGNS[c])])
+        else:
+            fork([(m.group(0), 0, n, 0.0), *([(c, 0, 1, (n - 1) * APART)] if n > 1 else []), ("", 0, 0, n * APART)])
+        done = m.end()
+    between(done, len(raw))
+    best = max(states.items(), key=lambda x: x[1][0] + (log[(x[0][0] * N + x[0][1]) * N] if x[0][1] else 0.0))[1][1]
+    pieces = []
     while best:
-        best, c = best
-        chars.append(c)
-    return "".join(reversed(chars))
+        best, text = best
+        pieces.append(text)
+    return "".join(reversed(pieces))
 
 
 class Reader:
@@ -163,13 +243,12 @@ class Reader:
 
     def word(self, raw: str) -> str:
         """One word, without blanks, as restored."""
-        if not _ODD.search(raw):
+        if not has_readings(raw):
             return raw
         known = self._words.get(raw)
         if known is None:
-            core = _ENDS.sub("", raw)
-            at = raw.find(core) if core else 0
-            known = self._remember(raw, raw[:at] + viterbi(core, self.model) + raw[at + len(core):])
+            start, end = core(raw)
+            known = self._remember(raw, raw[:start] + viterbi(raw[start:end], self.model) + raw[end:])
         return known
 
     def spaced(self, lower: str) -> list[tuple[int, int, str]]:

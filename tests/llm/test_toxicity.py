@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -108,3 +109,53 @@ def test_held_out_accuracy(spark):
     got = x.op6_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
     hit = sum(r.predicted and r.toxic for r in got)
     assert hit >= 0.85 * sum(r.toxic for r in got) and hit >= 0.9 * sum(r.predicted for r in got)
+
+
+def test_long_words_take_linear_time(model):
+    """A million characters of each kind that once took quadratic time."""
+    rng = random.Random(4)
+    reader = x.Reader(model)
+    for text in ("abc" * 350_000, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)), "a" + "." * 1_000_000 + "b", "日本語" * 350_000, "a" * 1_000_000, "!" * 1_000_000 + "a", "a.-" * 2 + "-_" * 500_000):
+        started = time.process_time()
+        reader.restore(text)
+        assert time.process_time() - started < 3, text[:10]
+
+
+def test_every_character_counts_in_long_runs(model):
+    """The short cuts for runs find what the lattice character by character finds."""
+    rng = random.Random(5)
+
+    def slow(raw):
+        states = {(0, 0): 0.0}
+        for options in x.readings(raw):
+            after = {}
+            for (a, b), score in states.items():
+                for c, channel in options:
+                    s = None if c is None else x._code(c)
+                    key = (a, b) if s is None else (b, s)
+                    step = 0.0 if s is None or (s == 0 and b == 0) else float(model.log[a, b, s])
+                    after[key] = max(after.get(key, -1e9), score + channel + step)
+            states = after
+        return max(v + (float(model.log[a, b, 0]) if b else 0.0) for (a, b), v in states.items())
+
+    def score_of(raw, read):
+        """The best score of those readings of raw that give ``read``."""
+        states = {(0, 0, 0): 0.0}
+        for options in x.readings(raw):
+            after = {}
+            for (n, a, b), score in states.items():
+                for c, channel in options:
+                    if c is None:
+                        key, value = (n, a, b), score + channel
+                    elif n < len(read) and read[n] == c:
+                        s = x._code(c)
+                        key, value = (n + 1, b, s), score + channel + (0.0 if s == 0 and b == 0 else float(model.log[a, b, s]))
+                    else:
+                        continue
+                    after[key] = max(after.get(key, -1e9), value)
+            states = after
+        return max(v + (float(model.log[a, b, 0]) if b else 0.0) for (n, a, b), v in states.items() if n == len(read))
+
+    for _ in range(300):
+        raw = "".join(rng.choice("aaaeeissttd10$..-- ,") * rng.choice((1, 1, 1, 2, 3, 5)) for _ in range(rng.randrange(1, 9)))
+        assert score_of(raw, x.viterbi(raw, model)) == pytest.approx(slow(raw), abs=1e-3), raw
