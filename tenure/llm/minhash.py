@@ -3,12 +3,13 @@
 A document's set are the 64-bit hashes of its distinct word shingles. Of each of 128 minima only the two lowest bits of its mix are
 kept, packed into four longs; how many of them agree, corrected for those that agree by chance, estimates the similarity by
 bit counts. Candidates share a band of five whole minima. A candidate is confirmed on the full sets, so links are exact;
-of pairs at the similarity asked for, one in a million shares no band or is estimated too low.
+of pairs at just the similarity asked for, three in a million share no band or are estimated too low.
 
-Documents of equal sets are one class. Within a band's bucket no pairs are listed at first: all members meet the bucket's smallest
-class, twice over with components in between. Only members of buckets that still hold several components
-then meet each other, small buckets by a join, large ones in cells of bounded size, and only pairs of different components whose
-estimate is high enough leave them. Two classes already in one component need no test, since components are what is asked for.
+Documents of equal sets are one class. Within a band's bucket no pairs are listed: first all members meet the bucket's smallest
+class, and what is linked becomes a component. Members of buckets that still hold several components then meet each other
+in cells of bounded size: a cell gets each member's text once, estimates all pairs of different components by bit counts, confirms those
+that are estimated high enough on the spot, each in the first band that both share, and gives only links that join
+components. Two classes already in one component need no test, since components are what is asked for.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,11 +32,13 @@ MINIMA, BANDS, BAND = 128, 25, 5
 BITS = 2
 LONGS = MINIMA * BITS // 64
 #: The estimate's standard deviation at similarity 0.85 is 0.037; candidates estimated so far below it go untested.
-MARGIN = 0.2
+MARGIN = 0.17
 SEED = 42
-STAR_ROUNDS = 2
-#: Buckets of so many members at most are joined with themselves; larger ones are cut into blocks of CELL_ROWS.
-SMALL, CELL_ROWS = 64, 1_024
+STAR_ROUNDS = 1
+#: Members of a block of a bucket, and bytes of their texts, at most (but for a single longer text). A cell holds two blocks.
+CELL_ROWS, CELL_BYTES = 1_024, 32 * 1024 * 1024
+#: Sets up to this size are compared as Python sets, which is faster, larger ones as sorted arrays.
+SMALL_SET = 2_000
 #: Texts that are compared with one other in a task.
 COMPARED = 512
 _BLOCK = 8_192
@@ -163,39 +165,6 @@ def _stars(state: DataFrame, similarity: int) -> DataFrame:
     return met.select(F.col("o_c").alias("center"), F.col("c").alias("other")).distinct()
 
 
-def _listed(state: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of different components in small buckets."""
-    few = state.where(F.col("size") <= SMALL)
-    met = few.join(_renamed(few, "o_"), "key").where("o_c < c and root <> o_root").where(may_link(_side(""), _side("o_"), similarity))
-    return met.select(F.col("o_c").alias("center"), F.col("c").alias("other")).distinct()
-
-
-def _celled(state: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of different components in large buckets: blocks of members meet each other two by two."""
-    least = least_matches(similarity)
-
-    def meet(cell: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(cell["i"].iloc[0]), int(cell["j"].iloc[0])
-        left, right = cell[cell["block"] == i], cell[cell["block"] == j]
-        bits = right[[f"s{x}" for x in range(LONGS)]].to_numpy().view(np.uint64)
-        classes, roots, sizes = (right[c].to_numpy() for c in ("c", "root", "n_shingles"))
-        found = []
-        for c, root, n, *own in left[["c", "root", "n_shingles", *(f"s{x}" for x in range(LONGS))]].itertuples(index=False):
-            x = bits ^ np.array(own, np.int64).view(np.uint64)
-            same = MINIMA - np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_LOW)).sum(axis=1, dtype=np.int64)
-            near = (same >= least) & (roots != root) & (100 * np.minimum(sizes, n) >= similarity * np.maximum(sizes, n))
-            if i == j:
-                near &= classes > c
-            found += [(min(c, o), max(c, o)) for o in classes[near].tolist()]
-        return pd.DataFrame(found, columns=["center", "other"], dtype="int64")
-
-    blocked = state.where(F.col("size") > SMALL).withColumn("n_blocks", F.ceil(F.col("size") / CELL_ROWS).cast("int"))
-    blocked = blocked.withColumn("block", F.pmod(F.xxhash64("c"), F.col("n_blocks")).cast("int"))
-    cells = blocked.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    cells = cells.withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
-    return cells.groupBy("key", "i", "j").applyInPandas(meet, "center long, other long").distinct()
-
-
 # --- confirmation -----------------------------------------------------------------------
 
 
@@ -204,6 +173,91 @@ def linked(a: np.ndarray, b: np.ndarray, similarity: int) -> bool:
     return 100 * both >= similarity * (len(a) + len(b) - both)
 
 
+class _Cell:
+    """Two blocks of a bucket, or one twice: their links that join components."""
+
+    def __init__(self, key: int, rows: list[tuple], shingle: int, similarity: int):
+        self.key, self.shingle, self.similarity = key, shingle, similarity
+        self.blocks = [r[0] for r in rows]
+        self.ids, self.roots, self.sizes = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
+        self.bits = np.array([r[4] for r in rows], np.int64).view(np.uint64)
+        self.bands = np.array([r[5] for r in rows], np.int64)
+        self.texts = [r[6] for r in rows]
+        self.sets: dict[int, tuple[np.ndarray, frozenset | None]] = {}
+        self.parent: dict[int, int] = {}
+
+    def _find(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = self.parent.get(up, up)
+            x = up
+        return x
+
+    def _set(self, i: int) -> tuple[np.ndarray, frozenset | None]:
+        if i not in self.sets:
+            found = shingles(self.texts[i], self.shingle)
+            self.sets[i] = found, (frozenset(found.tolist()) if len(found) <= SMALL_SET else None)
+        return self.sets[i]
+
+    def _linked(self, i: int, j: int) -> bool:
+        (a, small_a), (b, small_b) = self._set(i), self._set(j)
+        if small_a is None or small_b is None:
+            return linked(a, b, self.similarity)
+        both = len(small_a & small_b)
+        return 100 * both >= self.similarity * (len(a) + len(b) - both)
+
+    def links(self, i_block: int, j_block: int) -> Iterator[tuple[int, int]]:
+        least = least_matches(self.similarity)
+        band = int(np.flatnonzero((self.bands == self.key).all(axis=0))[0])  # the key names its band
+        blocks = np.array(self.blocks)
+        left, right = np.flatnonzero(blocks == i_block), np.flatnonzero(blocks == j_block)
+        for i in left.tolist():
+            x = self.bits[right] ^ self.bits[i]
+            same = MINIMA - np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_LOW)).sum(axis=1, dtype=np.int64)
+            near = (same >= least) & (self.roots[right] != self.roots[i])
+            near &= 100 * np.minimum(self.sizes[right], self.sizes[i]) >= self.similarity * np.maximum(self.sizes[right], self.sizes[i])
+            if i_block == j_block:
+                near &= self.ids[right] > self.ids[i]
+            others = right[near]
+            if band and len(others):
+                others = others[~(self.bands[others, :band] == self.bands[i, :band]).any(axis=1)]
+            for j in others.tolist():
+                u, v = self._find(int(self.roots[i])), self._find(int(self.roots[j]))
+                if u != v and self._linked(i, j):
+                    self.parent[max(u, v)] = min(u, v)
+                    yield int(self.ids[i]), int(self.ids[j])
+
+
+def met_in_cells(state: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """Links u, v that join different components within buckets, confirmed on full sets."""
+    own = state.select("key", "c", "root", "n_shingles", F.array(*(f"s{i}" for i in range(LONGS))).alias("bits"))
+    lengths = texts.select("c", F.octet_length("text").alias("bytes"))
+    sizes = own.select("key", "c").join(lengths, "c").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = sizes.select("key", F.ceil(F.greatest(F.col("n") / CELL_ROWS, F.col("bytes") / CELL_BYTES)).cast("int").alias("n_blocks"))
+    rows = own.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("c"), F.col("n_blocks")).cast("int"))
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    rows = rows.withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k")).drop("k", "n_blocks")
+    whole = rows.join(classes.select("c", "bands"), "c").join(texts, "c")
+    columns = ["key", "i", "j", "block", "c", "root", "n_shingles", "bits", "bands", "text"]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+        cell, held = None, []
+        for batch in batches:
+            for part in slices([batch]):
+                for row in zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in columns), strict=True):
+                    if row[:3] != cell:
+                        if len(held) > 1:
+                            yield out(list(_Cell(cell[0], held, shingle, similarity).links(*cell[1:])))
+                        cell, held = row[:3], []
+                    held.append(row[3:])
+        yield out(list(_Cell(cell[0], held, shingle, similarity).links(*cell[1:])) if len(held) > 1 else [])
+
+    sorted_rows = whole.select(columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return cut(sorted_rows.mapInArrow(meet, "u long, v long").distinct(), "links")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """Of pairs (center, other), those whose full sets are similar enough, as u and v.
 
@@ -220,7 +274,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int)
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         center, own = None, None
         for batch in batches:
-            for part in slices(batch for batch in (batch,)):
+            for part in slices([batch]):
                 u, v = [], []
                 for c, o, text in zip(*(part.column(part.schema.get_field_index(n)).to_pylist() for n in ("center", "other", "text")), strict=True):
                     if o is None:
@@ -270,23 +324,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not members.isEmpty():
         involved = members.select("c").distinct().join(classes.select("c", "rep"), "c")
         texts = _texts(docs, involved, id_col, text_col)
-        links = tested = None
+        links = None
         for _ in range(STAR_ROUNDS):
-            state = _open(members, info, roots)
-            pairs = _stars(state, similarity)
-            if tested is not None:
-                pairs = pairs.join(tested, ["center", "other"], "left_anti")
-            pairs = cut(pairs, "stars")
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            new = confirmed(pairs, texts, shingle, similarity)
+            new = confirmed(_stars(_open(members, info, roots), similarity), texts, shingle, similarity)
             links = new if links is None else links.unionByName(new)
             roots = cut(components(links), "roots")
-        state = _open(members, info, roots)
-        pairs = _listed(state, similarity).unionByName(_celled(state, similarity)).distinct()
-        if tested is not None:
-            both = tested.select(F.least("center", "other").alias("center"), F.greatest("center", "other").alias("other"))
-            pairs = pairs.join(both, ["center", "other"], "left_anti")
-        new = confirmed(pairs, texts, shingle, similarity)
+        new = met_in_cells(_open(members, info, roots), classes, texts, shingle, similarity)
         links = new if links is None else links.unionByName(new)
         roots = cut(components(links), "roots")
 

@@ -63,9 +63,9 @@ def corpus(seed):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("settings", [{}, {"STAR_ROUNDS": 0, "SMALL": 3, "CELL_ROWS": 5}, {"STAR_ROUNDS": 1, "COMPARED": 3}])
+@pytest.mark.parametrize("settings", [{}, {"STAR_ROUNDS": 0, "CELL_ROWS": 5, "SMALL_SET": 50}, {"STAR_ROUNDS": 2, "COMPARED": 3, "CELL_BYTES": 900}])
 def test_components_against_full_sets(spark, frame, settings, monkeypatch):
-    """By stars and small buckets, and by cells alone."""
+    """By stars and cells, and by cells alone, of few rows or bytes."""
     for name, value in settings.items():
         monkeypatch.setattr(mh, name, value)
     rows = corpus(1)
