@@ -27,9 +27,11 @@ from tenure.operators.spine import version_windows
 from tenure.plans import cohorts, dimensions, kpi, silver
 from tenure.plans.bronze import SOURCE_LABELS, bronze, flatten_events
 from tenure.plans.fact import daily_partitions, fact_daily, one_at_a_time, price_ranges
-from tenure.sources.dimension_store import create_dimension, merge_dimension, read_dimension
+from tenure.marts import KpiMart, Touched
+from tenure.sources.dimension_store import create_dimension, merge_dimension, read_changes, read_dimension
 from tenure.sources.extract import WATERMARK_COLUMN, Since, next_watermarks
 from tenure.sources.files import exists
+from tenure.sources.split_table import MAX_BYTES, SplitTable
 from tenure.sources.tables import (
     landing_path,
     overwrite_partitions,
@@ -57,8 +59,8 @@ SILVER_KEYS = {
     "invoices": (["invoice_id"], "last_updated"),
     "events": (["event_id"], "event_ts"),
 }
-#: Parts of a silver table, by a hash of the key. A load writes the parts that its rows touch.
-BUCKETS = 64
+#: Bytes of files that a part of a silver table may have before it splits. A load writes the parts that its rows touch.
+PART_BYTES = MAX_BYTES
 
 #: A price list and a stretch of a subscription are rows of their own in a dimension.
 DIMENSION_KEYS = {
@@ -153,40 +155,35 @@ def load_silver(
 ) -> None:
     """Bring silver up to date with one bronze batch, or, without ``batch_id``, rebuild it from all.
 
-    Silver holds the newest row of each key, valid or not. A batch is merged into the parts of the table that its keys
-    fall into; the other parts are neither read nor written. Running a batch again changes nothing.
+    Silver holds the newest row of each key, valid or not, in parts that split as they grow. A batch is merged into the parts
+    that its keys fall into; the other parts are neither read nor written. Running a batch again changes nothing.
     """
     codes = frozenset(country_codes or assigned_country_codes(spark))
     for table in tables:
         keys, newest = SILVER_KEYS[table]
-        path, source = layout.silver(table), f"{layout.bronze}/{table}"
-        source = source if batch_id is None else landing_path(layout.bronze, table, batch_id)
+        source = f"{layout.bronze}/{table}" if batch_id is None else landing_path(layout.bronze, table, batch_id)
         rows = _prepared(table, read_table(spark, source, merge_schema=True).drop("batch"), codes)
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-        rows = rows.withColumn("bucket", bucket)
-        if batch_id is None or not exists(spark, path):
-            write_table(_judged(table, latest_by(rows, keys, [newest]), codes), path, layout.fmt, partition_by=["is_valid", "bucket"])
-            continue
-        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most BUCKETS
-        stored = read_table(spark, path, layout.fmt, merge_schema=True).drop("is_valid", "rule").filter(F.col("bucket").isin(touched))
-        merged = latest_by(stored.unionByName(rows, allowMissingColumns=True), keys, [newest])
-        # What is read is not what is written: the new parts are finished elsewhere first.
-        work = f"{layout.root}/work/{table}/batch={batch_id}"
-        write_table(_judged(table, merged, codes), work, layout.fmt)
-        overwrite_partitions(
-            read_table(spark, work, layout.fmt), path, ["is_valid", "bucket"], layout.fmt,
-            every=[(v, b) for v in ("true", "false") for b in touched],
-        )
+        stored = silver_table(spark, layout, table)
+        newest_of = lambda both: _judged(table, latest_by(both.drop("is_valid", "rule"), keys, [newest]), codes)  # noqa: E731, B023
+        if batch_id is None or not stored.exists():
+            stored.create(newest_of(rows))
+        else:
+            stored.upsert(rows, newest_of)
+
+
+def silver_table(spark: SparkSession, layout: Layout, table: str) -> SplitTable:
+    keys, _ = SILVER_KEYS[table]
+    return SplitTable(spark, layout.silver(table), keys, layout.fmt, ["is_valid"], PART_BYTES)
 
 
 def current(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """Valid rows of a silver table."""
-    return read_table(spark, layout.silver(table), layout.fmt, merge_schema=True).filter("is_valid = 'true'").drop("is_valid", "rule", "bucket")
+    return silver_table(spark, layout, table).read().filter("cast(is_valid as boolean)").drop("is_valid", "rule")
 
 
 def rejected(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """Newest rows of a silver table that break a rule, with its name."""
-    return read_table(spark, layout.silver(table), layout.fmt, merge_schema=True).filter("is_valid = 'false'").drop("is_valid", "bucket")
+    return silver_table(spark, layout, table).read().filter("not cast(is_valid as boolean)").drop("is_valid")
 
 
 def _dimension_schema(spark: SparkSession, layout: Layout, table: str) -> T.StructType:
@@ -310,6 +307,34 @@ def load_gold(
     )
 
 
+def load_kpi_changes(
+    spark: SparkSession,
+    layout: Layout,
+    batch_id: str,
+    previous_batch: str | None = None,
+    valid_from: str = "start_date",
+    valid_to: str = "end_date",
+    max_bytes: int = MAX_BYTES,
+) -> Touched:
+    """The KPI mart by what a batch changed; see ``KpiMart``. Call it after ``load_dimensions`` of each batch."""
+    path = layout.silver("subscriptions_scd2")
+    changed = read_changes(spark, path, _dimension_schema(spark, layout, "subscriptions"), batch_id, layout.fmt)
+    return _kpi_mart(spark, layout, valid_from, valid_to, max_bytes).update(
+        batch_id, changed, price_ranges(dimension(spark, layout, "plans", batch_id)), previous_batch,
+    )
+
+
+def _kpi_mart(spark: SparkSession, layout: Layout, valid_from: str, valid_to: str, max_bytes: int = MAX_BYTES) -> KpiMart:
+    return KpiMart(spark, layout.gold(f"kpi_changes_{valid_from}"), valid_from, valid_to, max_bytes)
+
+
+def read_kpi_changes(
+    spark: SparkSession, layout: Layout, batch_id: str, as_of: str | date, valid_from: str = "start_date", valid_to: str = "end_date",
+) -> DataFrame:
+    """The KPIs of every day up to ``as_of``, as of a batch."""
+    return _kpi_mart(spark, layout, valid_from, valid_to).read(batch_id, as_of)
+
+
 def load_event_stream(
     spark: SparkSession,
     layout: Layout,

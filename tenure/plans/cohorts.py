@@ -166,6 +166,19 @@ def retention_from_fact(customers: DataFrame, fact: DataFrame, as_of: str | date
     return _with_rates(cells, "subscription")
 
 
+def period_dates(cohorts: DataFrame) -> DataFrame:
+    """cohort_month, period_number and period_date of every cohort: five rows each."""
+    due = [F.struct(F.lit(number).alias("period_number"), F.date_add("cohort_month", _offset_days(months)).alias("period_date")) for _, number, months in RETENTION_PERIODS]
+    return cohorts.select("cohort_month", F.explode(F.array(*due)).alias("p")).select("cohort_month", "p.*")
+
+
+def retention_cells(sizes: DataFrame, retained: DataFrame, as_of: str | date, cohort_type: str) -> DataFrame:
+    """Cells from cohort sizes (cohort_month, cohort_size) and counts (cohort_month, period_number, retained_users); no count is none."""
+    reached = sizes.withColumn("period", F.explode(_periods(as_of))).select("cohort_month", "cohort_size", "period.*")
+    cells = reached.join(retained, ["cohort_month", "period_number"], "left").withColumn("retained_users", F.coalesce("retained_users", F.lit(0)))
+    return _with_rates(cells, cohort_type)
+
+
 def retention_engagement(
     customers: DataFrame, events: DataFrame, as_of: str | date, grain: str = "month"
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from tenure.contracts import KPI_DAILY, MONEY
 from tenure.functions.money import cents, from_cents
 from tenure.functions.rules import ACTIVE
 from tenure.functions.times import as_date
-from tenure.operators.ranges import MAX_BROADCAST_BYTES
+from tenure.operators.ranges import LAST_DAY, MAX_BROADCAST_BYTES
 from tenure.operators.spine import HALF_OPEN
 from tenure.plans.fact import priced_windows, subscription_windows
 
@@ -143,6 +143,28 @@ def kpi_daily_changepoints(
     its last, and a running sum over the days turns that into daily totals. Work follows
     the number of versions, not the number of days; the running sum sees one row per day.
     """
+    changes = kpi_changes(subscriptions, plans, as_of, valid_from, valid_to, active_plans_only, max_broadcast_bytes)
+    return _within(_from_levels(changes), from_dt, to_dt)
+
+
+#: What a piece of a version adds from its first day to its last, and what it adds on its first day only.
+LEVELS = ["rows", "unpriced", "active", "mrr"]
+ONCE = ["new_unpriced", "new_mrr", "expansion_mrr", "contraction_mrr", "churn_mrr"]
+
+
+def kpi_changes(
+    subscriptions: DataFrame,
+    plans: DataFrame,
+    as_of: str | date = LAST_DAY,
+    valid_from: str = "start_date",
+    valid_to: str = "end_date",
+    active_plans_only: bool = False,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Per day, by how much the levels change and what is added once: a sum over subscriptions, so changes of disjoint sets of them add up.
+
+    With the last day of the calendar as ``as_of``, open versions have no end, and the changes hold for every as-of day.
+    """
     windows = subscription_windows(subscriptions, as_of, valid_from, valid_to, HALF_OPEN)
     pieces = priced_windows(windows, plans, active_plans_only, max_broadcast_bytes).select(
         "subscription_id", "version_no", "status", cents(F.col("monthly_price")).alias("price"),
@@ -157,37 +179,39 @@ def kpi_daily_changepoints(
     }).select("starts", "ends", *[v.alias(k) for k, v in moves.items()])
 
     # Rows without a price are counted, because a sum over nothing but nulls is null.
-    on_start = {
-        "rows": F.lit(1),
-        "unpriced": F.col("mrr_today").isNull().cast("int"),
-        "active": F.col("is_active_today"),
-        "mrr": F.coalesce("mrr_today", zero),
-    }
-    once = {
-        "new_unpriced": F.col("new_mrr").isNull().cast("long"),
-        "new_mrr": F.coalesce("new_mrr", zero),
-        "expansion_mrr": F.col("expansion_mrr"),
-        "contraction_mrr": F.col("contraction_mrr"),
-        "churn_mrr": F.col("churn_mrr"),
-    }
+    levels = dict(zip(LEVELS, [F.lit(1), F.col("mrr_today").isNull().cast("int"), F.col("is_active_today"), F.coalesce("mrr_today", zero)], strict=True))
+    once = dict(zip(ONCE, [
+        F.col("new_mrr").isNull().cast("long"), F.coalesce("new_mrr", zero), F.col("expansion_mrr"), F.col("contraction_mrr"), F.col("churn_mrr"),
+    ], strict=True))
     begin = F.struct(
         F.col("starts").alias("dt"),
-        *[v.alias(k) for k, v in {**on_start, **once}.items()],
+        *[v.alias(k) for k, v in {**levels, **once}.items()],
     )
     end = F.struct(
         F.date_add("ends", 1).alias("dt"),
-        *[(-v).alias(k) for k, v in on_start.items()], *[zero.alias(k) for k in once],
+        *[(-v).alias(k) for k, v in levels.items()], *[zero.alias(k) for k in once],
     )
-    changes = (
-        moved.select(F.explode(F.array(begin, end)).alias("c")).select("c.*")
-        .groupBy("dt").agg(*[F.sum(c).alias(c) for c in [*on_start, *once]])
+    both = F.array_compact(F.array(begin, F.when(F.col("ends") < as_date(LAST_DAY), end)))
+    return (
+        moved.select(F.explode(both).alias("c")).select("c.*")
+        .groupBy("dt").agg(*[F.sum(c).alias(c) for c in [*LEVELS, *ONCE]])
     )
 
+
+def kpi_from_changes(changes: DataFrame, as_of: str | date) -> DataFrame:
+    """The KPIs of every day up to ``as_of`` from ``kpi_changes`` that hold for every as-of day."""
+    return _from_levels(changes.filter(F.col("dt") <= as_date(as_of)), as_of)
+
+
+def _from_levels(changes: DataFrame, as_of: str | date | None = None) -> DataFrame:
     # From here on there is one row per calendar day at most.
+    zero = F.lit(0).cast("long")
     to_date = Window.orderBy("dt").rowsBetween(Window.unboundedPreceding, 0)
     next_change = F.lead("dt").over(Window.orderBy("dt"))
+    if as_of is not None:
+        next_change = F.coalesce(next_change, F.date_add(as_date(as_of), 1))
     level = changes.withColumns({
-        **{c: F.sum(c).over(to_date) for c in on_start},
+        **{c: F.sum(c).over(to_date) for c in LEVELS},
         "next_dt": next_change,
     }).filter("rows > 0")
     daily = level.withColumn(
@@ -207,4 +231,4 @@ def kpi_daily_changepoints(
         today("churn_mrr").alias("churn_mrr"),
         F.col("active").alias("active_customers"),
     )
-    return _finish(_within(totals, from_dt, to_dt))
+    return _finish(totals)

@@ -1,7 +1,7 @@
 """Versioned dimensions on plain files.
 
 Every load writes one batch folder split by ``active_status``: all open versions, and the
-versions this load closed. Earlier history stays where it is, a load never overwrites what
+versions this load closed. What a load opened or closed is also kept by itself, for marts that follow changes. Earlier history stays where it is, a load never overwrites what
 it reads, and running a batch again replaces only that batch. Batch ids sort as text.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tenure.functions.times import as_timestamp
 from tenure.operators.scd2 import scd2_initial, scd2_step
 from tenure.sources.files import delete, exists, folders
 
@@ -26,11 +27,32 @@ def _write_batch(rows: DataFrame, root: str, batch_id: str, fmt: str) -> None:
     rows.write.format(fmt).mode("overwrite").partitionBy("active_status").save(_batch_path(root, batch_id))
 
 
+def _changes_path(root: str, batch_id: str) -> str:
+    return f"{root.rstrip('/')}/_changes/{batch_id}"
+
+
+def _write_changes(rows: DataFrame, root: str, batch_id: str, as_of: str | datetime, fmt: str) -> None:
+    changed = (F.col("active_status") == "N") | (F.col("start_date") == as_timestamp(as_of))
+    rows.filter(changed).write.format(fmt).mode("overwrite").save(_changes_path(root, batch_id))
+
+
 def create_dimension(
     df: DataFrame, root: str, batch_id: str, as_of: str | datetime, fmt: str = "parquet"
 ) -> None:
     """First load."""
     _write_batch(scd2_initial(df, as_of), root, batch_id, fmt)
+    schema = scd2_initial(df, as_of).schema
+    _write_changes(_read_batch(df.sparkSession, root, schema, batch_id, fmt), root, batch_id, as_of, fmt)
+
+
+def _read_batch(spark: SparkSession, root: str, schema: T.StructType, batch_id: str, fmt: str) -> DataFrame:
+    stored = T.StructType([*(f for f in schema if f.name != "active_status"), T.StructField("active_status", T.StringType())])
+    return spark.read.format(fmt).schema(stored).load(_batch_path(root, batch_id)).select([f.name for f in schema])
+
+
+def read_changes(spark: SparkSession, root: str, schema: T.StructType, batch_id: str, fmt: str = "parquet") -> DataFrame:
+    """The versions that a load opened or closed, as they were after it."""
+    return spark.read.format(fmt).schema(schema).load(_changes_path(root, batch_id))
 
 
 def read_dimension(
@@ -70,6 +92,7 @@ def merge_dimension(
         raise ValueError(f"batch {batch_id!r} must sort after {previous_batch!r}")
     target = read_dimension(spark, root, schema, previous_batch, fmt)
     _write_batch(scd2_step(target, source, keys, as_of, tracked, close_missing, closing), root, batch_id, fmt)
+    _write_changes(_read_batch(spark, root, schema, batch_id, fmt), root, batch_id, as_of, fmt)
 
 
 def retire_open_versions(spark: SparkSession, root: str, before_batch: str) -> list[str]:

@@ -24,3 +24,9 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder."""
     found, fs = _path(spark, path)
     return sorted(f.getPath().getName() for f in fs.listStatus(found) if f.isDirectory()) if fs.exists(found) else []
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path; 0 if there is none."""
+    found, fs = _path(spark, path)
+    return fs.getContentSummary(found).getLength() if fs.exists(found) else 0

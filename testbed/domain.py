@@ -187,8 +187,9 @@ def user_dates(events: DataFrame) -> DataFrame:
 
 # --- two loads through the jobs --------------------------------------------------------
 
-FIRST_CUT, SECOND_CUT, JOB_AS_OF = "1999-09-30", "1999-12-31", "2000-02-29"
-FIRST_RUN, SECOND_RUN = "1999-10-01 06:00:00", "2000-01-01 06:00:00"
+#: The second load has all orders, up to their last day; the jobs run for two months more.
+FIRST_CUT, SECOND_CUT, JOB_AS_OF = "2001-04-30", AS_OF, "2001-09-30"
+FIRST_RUN, SECOND_RUN = "2001-05-01 06:00:00", "2001-08-02 06:00:00"
 
 
 def _source_subscriptions(orders: DataFrame, cut: str) -> DataFrame:

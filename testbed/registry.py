@@ -14,7 +14,10 @@ from tenure.contracts import CUSTOMERS, EVENTS, INVOICES, SUBSCRIPTIONS, conform
 from tenure.functions.countries import assigned_country_codes
 from tenure.functions.times import as_date, as_timestamp
 from tenure.jobs import Layout
+from tenure.marts import RetentionMart
+from tenure.operators.asof import asof_join
 from tenure.operators.checks import contract_violations, fk_orphans, pk_duplicates
+from tenure.operators.islands import coalesced
 from tenure.operators.scd2 import (
     row_hash,
     scd2_changes,
@@ -27,7 +30,9 @@ from tenure.operators.updates import conditional_update
 from tenure.plans import cohorts, dimensions, fact, kpi, silver
 from tenure.plans.bronze import bronze, bronze_events
 from tenure.sources.extract import extract_all, full_extract, incremental_extract, next_watermark
+from tenure.sources.references import ReferenceCounts, deltas
 from tenure.sources.scratch import scratch_path
+from tenure.sources.split_table import SplitTable
 from tenure.sources.tables import (
     overwrite_partitions,
     read_event_files,
@@ -250,6 +255,17 @@ def _subscription_changes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def scd2_changes_digest_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The same changes, from those parts of the stored dimension only whose digest differs from the source's."""
+    keys, tracked = dimensions.SUBSCRIPTION_KEY, dimensions.SUBSCRIPTION_TRACKED
+    stored = SplitTable(spark, scratch_path(spark, "digests"), keys, max_bytes=16_384, digest_columns=[*keys, *tracked])
+    stored.create(_early_subscriptions(spark, sf))
+    source = d.current_subscriptions(_orders(spark, sf), d.AS_OF)
+    parts = stored.differing(source)
+    located = stored.located(source)
+    return scd2_changes(located.filter(F.col("part").isin(parts)).drop("part"), stored.read(parts), keys, tracked)
+
+
 def scd2_changes_q(spark: SparkSession, sf: str) -> DataFrame:
     return _subscription_changes(spark, sf)
 
@@ -335,6 +351,18 @@ def asof_plan_join_q(spark: SparkSession, sf: str) -> DataFrame:
     return fact.priced_days(windows, _plans(spark, sf))
 
 
+def asof_merge_join_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Every day of every version with its plan, by one merge of days and price lists; the five plans hold a fifth of the days each."""
+    days = fact.date_spine(_versions(spark, sf), d.AS_OF).select("subscription_id", "plan_id", "dt")
+    return asof_join(days, _plans(spark, sf), "plan_id", "dt", "effective_from", "effective_to", ["subscription_id"], rows_per_stretch=10_000)
+
+
+def date_spine_coalesced_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The days of versions of which neighbours that say the same were joined first."""
+    joined = coalesced(_versions(spark, sf), ["subscription_id"], ["customer_id", "plan_id", "status"])
+    return fact.date_spine(joined, d.AS_OF).drop("version_no")
+
+
 def fact_daily_q(spark: SparkSession, sf: str) -> DataFrame:
     return _fact(spark, sf)
 
@@ -391,6 +419,30 @@ def cohort_sizes_q(spark: SparkSession, sf: str) -> DataFrame:
     return cohorts.cohort_sizes(_cohorts(spark, sf))
 
 
+def cohort_sizes_bitmap_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct customers per cohort, counted in bitmaps that three loads merged."""
+    mart, batch = _retention_mart(spark, sf)
+    return mart.sizes(batch)
+
+
+def retention_bitmap_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Retention from daily rows that came in three loads, each read once."""
+    mart, batch = _retention_mart(spark, sf)
+    return mart.read(batch, d.AS_OF)
+
+
+def _retention_mart(spark: SparkSession, sf: str) -> tuple[RetentionMart, str]:
+    mart, previous, low = RetentionMart(spark, scratch_path(spark, "retention")), None, "1995-01-01"
+    daily = _fact(spark, sf)
+    for high in ("1998-01-01", "2000-01-01", "2001-08-02"):
+        known = _signups(spark, sf).filter(F.col("created_at") < as_date(high))
+        part = daily.filter((F.col("dt") >= as_date(low)) & (F.col("dt") < as_date(high)))
+        days = spark.range(1).select(F.explode(F.sequence(as_date(low), F.date_sub(as_date(high), 1))).alias("dt"))
+        mart.update(high, known, part, days, previous)
+        previous = low = high
+    return mart, previous
+
+
 def cohort_period_matrix_q(spark: SparkSession, sf: str) -> DataFrame:
     return cohorts.cohort_period_matrix(_cohorts(spark, sf), d.AS_OF)
 
@@ -460,6 +512,22 @@ def job_retention_q(spark: SparkSession, sf: str) -> DataFrame:
     return _job_gold(spark, sf, "gold_retention_cohorts", BUSINESS)
 
 
+def kpi_incremental_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The KPIs in load time, kept up to date by what each of the two loads changed."""
+    return _kpi_incremental(spark, sf)
+
+
+def kpi_incremental_business_q(spark: SparkSession, sf: str) -> DataFrame:
+    return _kpi_incremental(spark, sf, **BUSINESS)
+
+
+def _kpi_incremental(spark: SparkSession, sf: str, **validity: str) -> DataFrame:
+    layout, last = _lake(spark, sf)
+    for batch, previous in (("b1", None), ("b2", "b1")):
+        jobs.load_kpi_changes(spark, layout, batch, previous, **validity)
+    return jobs.read_kpi_changes(spark, layout, last, d.JOB_AS_OF, **validity)
+
+
 def silver_rejects_q(spark: SparkSession, sf: str) -> DataFrame:
     """What silver keeps and what it rejects, by rule, after both loads."""
     layout, _ = _lake(spark, sf)
@@ -505,6 +573,19 @@ def fk_orphans_q(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+def fk_orphans_incremental_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders without their customer, by counts that three batches changed: all come, customers of ten nations and urgent orders go,
+    and of these customers those of five nations come back."""
+    orders, customer = _orders(spark, sf), d.table(spark, sf, "customer")
+    gone, back = F.col("c_nationkey") < 10, F.col("c_nationkey") < 5
+    counts = ReferenceCounts(spark, scratch_path(spark, "references"), max_bytes=65_536)
+    counts.apply("b1", deltas(orders, "o_custkey", "child", 1).unionByName(deltas(customer, "c_custkey", "parent", 1)))
+    counts.apply("b2", deltas(customer.filter(gone), "c_custkey", "parent", -1).unionByName(
+        deltas(orders.filter(F.col("o_orderpriority") == "1-URGENT"), "o_custkey", "child", -1)))
+    counts.apply("b3", deltas(customer.filter(back), "c_custkey", "parent", 1))
+    return counts.orphans()
+
+
 def pk_duplicates_q(spark: SparkSession, sf: str) -> DataFrame:
     return pk_duplicates(d.invoices_raw(d.table(spark, sf, "lineitem")), contracts.INVOICES.key)
 
