@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tenure.llm.columns import nested
 from tenure.llm.common import cut, table, text_of
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -261,17 +262,17 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = cut(digests(docs, id_col, text_col), "digests")
     index = cut(build_index(found), "index")
     gone = found.join(index, "digest").where(~F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_rows") > 1))
-    # By id and digest: the same id may also stand on another text.
-    key = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.sha2(normalised(text_of(text_col)).cast("binary"), 256).alias("sha"))
-    gone = gone.select(F.struct("doc_id", F.lower(F.hex("digest")).alias("sha")).alias("__gone")).distinct()
-    kept = docs.join(gone, key.eqNullSafe(F.col("__gone")), "left_anti")
-    if index.where("n_first > 1").isEmpty():
-        return kept
-    again = index.where("n_first > 1").select(F.lower(F.hex("digest")).alias("__sha"))
+    # By id and digest: the same id may also stand on another text. The rows travel as one column, so that no name of theirs clashes.
     sha = F.sha2(normalised(text_of(text_col)).cast("binary"), 256)
-    single = kept.join(again, sha == F.col("__sha"), "left_anti")
-    rest = kept.join(again, sha == F.col("__sha"), "left_semi").withColumn("__sha", sha).dropDuplicates(["__sha"]).drop("__sha")
-    return single.unionByName(rest)
+    own = nested(docs, key=F.struct(F.col(id_col).cast("long").alias("doc_id"), sha.alias("sha")))
+    gone = gone.select(F.struct("doc_id", F.lower(F.hex("digest")).alias("sha")).alias("gone")).distinct()
+    kept = own.join(gone, F.col("key").eqNullSafe(F.col("gone")), "left_anti")
+    if index.where("n_first > 1").isEmpty():
+        return kept.select("row.*")
+    again = index.where("n_first > 1").select(F.lower(F.hex("digest")).alias("again"))
+    single = kept.join(again, F.col("key.sha") == F.col("again"), "left_anti")
+    rest = kept.join(again, F.col("key.sha") == F.col("again"), "left_semi").withColumn("sha", F.col("key.sha")).dropDuplicates(["sha"])
+    return single.select("row.*").unionByName(rest.select("row.*"))
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenure.llm.columns import chunks, cut_out, let, nested, running
 from tenure.llm.common import cut, table, text_of
 
 #: Kinds in the order in which spans of one start are listed; the first four have base patterns.
@@ -59,20 +60,18 @@ _EMPTY = "array<struct<start:int,end:int,kind:int,s:string>>"
 def matches(text: Column, pattern: str, kind: int, holds) -> Column:
     """Spans (start, end, kind, s) of the leftmost non-overlapping matches, by code points, of which ``holds`` is true.
 
-    The pieces between matches, from a split at the same pattern, tell where each match begins.
+    The pieces between matches, from a split at the same pattern, tell where each match begins: running
+    totals of lengths, so that work follows the text and its matches.
     """
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    both = F.zip_with(found, between, lambda s, gap: F.struct(s.alias("s"), F.length(gap).alias("gap")))
-    start = F.struct(F.lit(0).alias("at"), F.lit([]).cast(_EMPTY).alias("out"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + F.length(x["s"])
-        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["s"].alias("s"))
-        return F.struct(end.alias("at"), F.when(holds(x["s"]), F.array_append(state["out"], span)).otherwise(state["out"]).alias("out"))
+    def spans(s: Column) -> Column:
+        between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(s))
+        ends = running(F.zip_with(s, between, lambda x, gap: F.length(x) + F.length(gap)), lambda a, b: a + b)
+        every = F.zip_with(s, ends, lambda x, end: F.struct((end - F.length(x)).alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x.alias("s")))
+        return F.filter(every, lambda x: holds(x["s"]))
 
-    return F.aggregate(both, start, step)["out"]
+    return let(found, spans)
 
 
 def digits(s: Column) -> Column:
@@ -101,22 +100,47 @@ def valid_ip(s: Column) -> Column:
 HOLDS = (lambda s: F.lit(True), valid_ip, valid_card, lambda s: _sized(s, 10, 15))
 
 
-def base_spans(text: Column) -> Column:
-    """Spans of the base patterns, kind by kind."""
-    none = F.lit([]).cast(_EMPTY)
-    return F.concat(*(F.when(text.rlike(need), matches(text, p, k, h)).otherwise(none) for k, (p, need, h) in enumerate(zip(PATTERNS, NEEDED, HOLDS, strict=True))))
+def _spans(text: Column, kind: int, need: str, pattern: str, holds) -> Column:
+    return F.when(text.rlike(need), matches(text, pattern, kind, holds)).otherwise(F.lit([]).cast(_EMPTY))
 
 
-def wider_spans(text: Column) -> Column:
-    none = F.lit([]).cast(_EMPTY)
-    return F.concat(*(F.when(text.rlike(need), matches(text, p, k, lambda s: F.lit(True))).otherwise(none) for k, need, p in WIDER))
+def base_spans(text: Column) -> list[Column]:
+    """Spans of the base patterns, an array for each kind."""
+    return [_spans(text, k, need, p, h) for k, (p, need, h) in enumerate(zip(PATTERNS, NEEDED, HOLDS, strict=True))]
 
 
-def votes(text: Column, span: Column, is_base: Column) -> Column:
-    """What each labeler says of a span: 1 for, -1 against, 0 nothing."""
+def wider_spans(text: Column) -> dict[int, Column]:
+    return {k: _spans(text, k, need, p, lambda s: F.lit(True)) for k, need, p in WIDER}
+
+
+def apart(wider: Column, base: Column) -> Column:
+    """The spans of ``wider`` that overlap none of ``base``.
+
+    Both in one list, wider spans by their end and base spans by their start: of the base spans before a wider one in it, none
+    may end after that begins.
+    """
+    places = F.concat(
+        F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("is_base"), b["end"].alias("end"), F.struct(b["start"], b["end"], b["kind"], b["s"]).alias("x"))),
+        F.transform(wider, lambda w: F.struct(w["end"].alias("at"), F.lit(0).alias("is_base"), F.lit(0).alias("end"), F.struct(w["start"], w["end"], w["kind"], w["s"]).alias("x"))),
+    )
+
+    def free(both: Column) -> Column:
+        latest = running(F.transform(both, lambda e: e["end"]), F.greatest)
+        kept = F.filter(F.zip_with(both, latest, lambda e, top: F.struct(e.alias("e"), top.alias("top"))), lambda p: (p["e"]["is_base"] == 0) & (p["top"] <= p["e"]["x"]["start"]))
+        return F.array_sort(F.transform(kept, lambda p: p["e"]["x"])).cast(_EMPTY)
+
+    some = (F.size(wider) > 0) & (F.size(base) > 0)
+    return F.when(some, let(F.array_sort(places), free)).otherwise(wider)
+
+
+def votes(parts: Column, span: Column, is_base: Column) -> Column:
+    """What each labeler says of a span of a text in chunks: 1 for, -1 against, 0 nothing."""
+    around = F.struct(cut_out(parts, span["start"] - AROUND, F.lit(AROUND)).alias("before"), cut_out(parts, span["end"], F.lit(1)).alias("after"))
+    return let(around, lambda x: _says(span, is_base, x["before"], x["after"]))
+
+
+def _says(span: Column, is_base: Column, before: Column, after: Column) -> Column:
     s, kind = span["s"], span["kind"]
-    before = F.substring(text, F.greatest(span["start"] + 1 - AROUND, F.lit(1)), F.least(span["start"], F.lit(AROUND)))
-    after = F.substring(text, span["end"] + 1, F.lit(1))
     say = lambda yes, no=None: F.when(yes, 1).when(F.lit(False) if no is None else no, -1).otherwise(0)
     by_kind = lambda *says: F.coalesce(*(F.when(kind == k, x) for k, x in enumerate(says)), F.lit(0))
     near = F.coalesce(*(F.when(kind == k, before.rlike(p)) for k, p in enumerate(NEAR)))
@@ -137,12 +161,17 @@ def votes(text: Column, span: Column, is_base: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents with __base (spans) and __voted (spans with their votes): base spans first, then candidates that no base span of their kind overlaps."""
-    text = text_of(text_col)
-    found = docs.withColumn("__base", base_spans(text)).withColumn("__wider", wider_spans(text))
-    apart = lambda c: ~F.exists("__base", lambda b: (b["kind"] == c["kind"]) & (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    voted = lambda is_base: lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit(is_base).alias("is_base"), votes(text, s, F.lit(is_base)).alias("votes"))
-    return found.withColumn("__voted", F.concat(F.transform("__base", voted(True)), F.transform(F.filter("__wider", apart), voted(False)))).drop("__wider")
+    """The documents as one column row, their text, base (spans) and voted (spans with their votes): base spans first, then candidates that no base span of their kind overlaps."""
+    found = nested(docs, text=text_of(text_col))
+    text = F.col("text")
+    found = found.withColumns({f"base{k}": x for k, x in enumerate(base_spans(text))} | {f"wider{k}": x for k, x in wider_spans(text).items()})
+    base = F.concat(*(F.col(f"base{k}") for k in range(BASE)))
+    wider = F.concat(*(apart(F.col(f"wider{k}"), F.col(f"base{k}")) if k < BASE else F.col(f"wider{k}") for k, _, _ in WIDER))
+    found = found.select("row", "text", base.alias("base"), wider.alias("wider"))
+    voted = lambda parts, is_base: lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit(is_base).alias("is_base"), votes(parts, s, F.lit(is_base)).alias("votes"))
+    every = let(chunks(text), lambda parts: F.concat(F.transform("base", voted(parts, True)), F.transform("wider", voted(parts, False))))
+    # The other branch only gives the type of an empty list.
+    return found.select("row", "text", "base", F.when((F.size("base") > 0) | (F.size("wider") > 0), every).otherwise(F.slice(every, F.lit(1), F.lit(0))).alias("voted"))
 
 
 # --- reliabilities and the classifier ----------------------------------------------------
@@ -199,7 +228,7 @@ def fit_classifier(patterns: list[Pattern], likely: list[float], rounds: int = 4
 
 def train(spans: DataFrame) -> dict[str, float]:
     """The classifier from all documents' spans (as ``with_spans`` gives them); no spans give no weights."""
-    voted = spans.select(F.explode("__voted").alias("x")).groupBy("x.kind", *(f"x.votes.{name}" for name in LABELERS)).agg(F.count(F.lit(1)).alias("n"))
+    voted = spans.select(F.explode("voted").alias("x")).groupBy("x.kind", *(f"x.votes.{name}" for name in LABELERS)).agg(F.count(F.lit(1)).alias("n"))
     patterns = [Pattern(r["kind"], tuple(r[name] for name in LABELERS), r["n"]) for r in voted.orderBy("kind", *LABELERS).collect()]
     return fit_classifier(patterns, estimate(patterns)) if patterns else {}
 
@@ -213,7 +242,7 @@ def accepted(weights: dict[str, float]) -> Column:
             total = total + F.when((x["kind"] if name == "kind" else x["votes"][name]) == int(value), w).otherwise(0.0)
         return 1 / (1 + F.exp(-total))
 
-    kept = F.filter("__voted", lambda x: x["is_base"] | (score(x) >= ACCEPT))
+    kept = F.filter("voted", lambda x: x["is_base"] | (score(x) >= ACCEPT))
     return F.array_sort(F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))))
 
 
@@ -223,7 +252,7 @@ def _listed(spans: Column) -> Column:
 
 
 def _count(kind: int) -> Column:
-    return F.size(F.filter("__base", lambda x: x["kind"] == kind)).cast("long")
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,37 +263,54 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     that repeat an id, or have none, each get a row. Other columns are not read.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    spans = cut(with_spans(own).select("doc_id", "__base", "__voted"), "spans")
-    base = F.array_sort(F.transform("__base", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))))
+    spans = cut(with_spans(own).select("row.doc_id", "base", "voted"), "spans")
+    base = F.array_sort(F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))))
     return spans.select(
         "doc_id", *(_count(k).alias(f"n_{KINDS[k]}") for k in range(BASE)),
         F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(accepted(train(spans))).alias("spans"),
     )
 
 
+def _merged(spans: Column) -> Column:
+    """Spans (start, kind, end) in order, those that overlap joined under the kind that begins first."""
+    def joined(xs: Column, ends: Column) -> Column:
+        begins = F.filter(
+            F.transform(xs, lambda x, i: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), i.alias("i"), ((i == 0) | (x["start"] >= F.get(ends, i - 1))).alias("fresh"))),
+            lambda x: x["fresh"],
+        )
+        return let(begins, lambda bs: F.transform(bs, lambda x, j: F.struct(
+            x["start"].alias("start"), x["kind"].alias("kind"), F.coalesce(F.get(ends, F.get(bs, j + 1)["i"] - 1), F.element_at(ends, -1)).alias("end")
+        )))
+
+    return let(spans, lambda xs: let(running(F.transform(xs, lambda x: x["end"]), F.greatest), lambda ends: joined(xs, ends)))
+
+
+def _replaced(text: Column, spans: Column) -> Column:
+    """The text with merged spans replaced by their kind in brackets."""
+    names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
+
+    def pieces(parts: Column, xs: Column) -> Column:
+        before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(xs, i - 1)["end"])
+        kept = F.transform(xs, lambda x, i: F.concat(cut_out(parts, before(i), x["start"] - before(i)), F.element_at(names, x["kind"] + 1)))
+        last = F.element_at(xs, -1)["end"]
+        return F.concat(F.array_join(kept, ""), cut_out(parts, last, F.length(text) - last))
+
+    return let(chunks(text), lambda parts: let(spans, lambda xs: pieces(parts, xs)))
+
+
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents, whole rows, with each span of their text replaced by its kind in brackets, as [EMAIL].
 
-    Spans that overlap are replaced together, under the kind that begins first. A column n_chars, if there is one, follows the text where it changed.
+    Spans that overlap are replaced together, under the kind that begins first. A column n_chars, if there is one, follows the
+    text where it changed. Other columns pass unchanged, whatever their names.
     """
     spans = cut(with_spans(docs, text_col), "spans")
-    text = text_of(text_col)
-    names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-
-    def join(out: Column, x: Column) -> Column:
-        last = F.element_at(out, -1)
-        longer = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], x["end"]).alias("end"))
-        meets = (F.size(out) > 0) & (x["start"] < F.try_element_at(out, F.lit(-1))["end"])
-        return F.when(meets, F.array_append(F.slice(out, F.lit(1), F.size(out) - 1), longer)).otherwise(F.array_append(out, x))
-
-    whole = spans.withColumn("__all", F.aggregate(accepted(train(spans)), F.lit([]).cast("array<struct<start:int,kind:int,end:int>>"), join))
-    ends = F.concat(F.array(F.lit(0)), F.transform("__all", lambda x: x["end"]))
-    pieces = F.transform("__all", lambda x, i: F.concat(F.substring(text, F.get(F.col("__ends"), i) + 1, x["start"] - F.get(F.col("__ends"), i)), F.element_at(names, x["kind"] + 1)))
-    rest = F.substring(text, F.element_at("__ends", -1) + 1, F.length(text))
-    changed = F.size("__all") > 0
-    out = whole.withColumn("__ends", ends).withColumn("__new", F.when(changed, F.concat(F.array_join(pieces, ""), rest)))
-    columns = [F.coalesce("__new", F.col(c)).alias(c) if c == text_col else F.when(changed, F.length("__new").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*columns)
+    every = spans.select("row", "text", accepted(train(spans)).alias("every"))
+    new = F.when(F.size("every") > 0, _replaced(F.col("text"), _merged(F.col("every"))))
+    out = every.select("row", new.alias("new"))
+    own = lambda c: F.col("row").getField(c)
+    changed = {text_col: F.coalesce("new", own(text_col)), "n_chars": F.when(F.col("new").isNotNull(), F.length("new")).otherwise(own("n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*(changed.get(c, own(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenure.llm.columns import nested
 from tenure.llm.common import components, computed, cut, table, text_of
 
 SHINGLE = 3
@@ -148,21 +149,22 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marked = cut(_classes(docs, id_col, text_col, SHINGLE), "near")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     key = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"))
+    own = nested(docs, key=key)
     pair = F.struct("doc_id", "text_key")
-    gone = marked.where(~first).select(pair.alias("__gone")).distinct()
-    kept = docs.join(gone, key.eqNullSafe(F.col("__gone")), "left_anti")
+    gone = marked.where(~first).select(pair.alias("gone")).distinct()
+    kept = own.join(gone, F.col("key").eqNullSafe(F.col("gone")), "left_anti")
     # Ids that stand on several rows of their component: one of those rows stays.
     again = marked.where(first).groupBy("root", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("text_key").alias("low")).where("n > 1")
     again = cut(again, "again")
     if again.isEmpty():
-        return kept
+        return kept.select("row.*")
     # Equal texts have one fingerprint, so an id and a text stand in one component only.
-    repeated = marked.where(first).join(again.select("root", "low"), "root").select(pair.alias("__again"), "doc_id", "text_key", "low")
+    repeated = marked.where(first).join(again.select("root", "low"), "root").select(pair.alias("again"), "doc_id", "text_key", "low")
     repeated = cut(repeated.distinct(), "repeated")
-    single = kept.join(repeated.select("__again"), key.eqNullSafe(F.col("__again")), "left_anti")
-    low = repeated.where("text_key = low").select(F.col("__again").alias("__low"))
-    rest = kept.join(low, key.eqNullSafe(F.col("__low")), "left_semi").withColumn("__key", key).dropDuplicates(["__key"]).drop("__key")
-    return single.unionByName(rest)
+    single = kept.join(repeated.select("again"), F.col("key").eqNullSafe(F.col("again")), "left_anti")
+    low = repeated.where("text_key = low").select(F.col("again").alias("low"))
+    rest = kept.join(low, F.col("key").eqNullSafe(F.col("low")), "left_semi").dropDuplicates(["key"])
+    return single.select("row.*").unionByName(rest.select("row.*"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -107,3 +108,35 @@ def test_the_articles_of_the_pages(spark):
         article = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S).group(1)
         parts = (re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", p))).strip() for p in re.split(r"</?(?:p|h1)>", article))
         assert r.text == "\n".join(p for p in parts if p)
+
+
+@pytest.mark.parametrize("page, texts", [
+    ('<p title="the hidden truth">a</p>b', ["a", "b"]), ("<p data-x='display: none'>a</p>", ["a"]), ("<p title=it's>a</p><p>b's</p>", ["a", "b's"]), ("<p title=a\"b>c</p>", ["c"]),
+    ("<!-- c --!>a<!-->b<!--->c<!-- - -- > -->d", ["abcd"]), ("<p a='x' 'y>b", ["b"]), ("<p a=\"never closed>b</p>c", ["b", "c"]), ("<a href=/x?a=\"b>c</a>", ["c"]),
+    ("<p a = 'x>y' b>c", ["c"]), ("1 <2 and 3< 4 <p>x", ["1 <2 and 3< 4", "x"]), ("a<?php x ?>b<!doctype html>c", ["abc"]), ("<script>x</script a='>'>b", ["'>b"]), ("<title>x</titles></title>y", ["y"]),
+    ("a<b", ["a"]), ("a </ b", ["a </ b"])])
+def test_tags_as_browsers_read_them(page, texts):
+    assert [b.text for b in h.blocks(page)] == texts
+
+
+@pytest.mark.parametrize("attributes, names", [
+    ("class=a id=b role='c d'", ("a", "b", "c", "d")), ("title='class=x'", ()), ("hidden", ("hidden",)), ("HIDDEN=''", ("hidden",)), ("data-hidden", ()), ("aria-hidden=true", ("hidden",)),
+    ("aria-hidden='false'", ()), ("style='Display : None'", ("hidden",)), ("title='display:none' class='x'", ("x",)), ("class='a' class='b'", ("a",)), ("class = a", ("a",)), ("class", ())])
+def test_names_come_from_attributes_only(attributes, names):
+    assert h.named(attributes) == names
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a x=\"", "<a x='y\" ", "</script", "<script", "<select>", "<!-", "<!--", "<", "</", "<a x=\">\" ", "<p title='", "a&", "<p =", "<textarea>", "</p "])
+def test_broken_tags_take_linear_time(unit):
+    started = time.process_time()
+    h.blocks(unit * (1_000_000 // len(unit)) + "x" * 9)
+    assert time.process_time() - started < 6
+
+
+@pytest.mark.parametrize("kind", ['section id="comments"', 'section class="comments"', 'div id="comments"', 'div class="comment"', 'ol class="commentlist"', 'div id="respond"', 'section id="responses"', 'div id="disqus"'])
+@pytest.mark.parametrize("inner", ["<p>Nice.</p>", "<p>I liked this a lot, thank you for writing it.</p>", "Not sure that I agree with all of it."])
+def test_a_single_comment_inside_the_article(kind, inner):
+    tag = kind.split()[0]
+    body = "<h1>A title</h1><p>One paragraph of words, with a stop.</p><p>The last paragraph of words, with a stop.</p>"
+    page = f"<body><article>{body}<{kind}>{inner}</{tag}></article></body>"
+    assert h.main_text(page, h.trained()) == "A title\nOne paragraph of words, with a stop.\nThe last paragraph of words, with a stop."

@@ -106,3 +106,21 @@ def test_overlaps_and_empty(spark, frame):
     assert {r.doc_id: r.text for r in pii.redact(docs).collect()}[2] == "[EMAIL] é"
     assert pii.find(docs.where("doc_id > 5")).count() == 0 and pii.redact(docs.where("doc_id > 5")).count() == 0
     assert "Python" not in plan_text(pii.find(docs)) and "Python" not in plan_text(pii.redact(docs))
+
+
+def test_work_follows_the_text_and_its_spans(spark, frame):
+    """A text with ten times the phones takes about ten times as long, at any place of them."""
+    import time
+
+    def seconds(n):
+        text = "é".join(f" call +1 (212) 555-{i % 10_000:04d} or 212-555-{i % 10_000:04d} and a{i}@b.com" for i in range(n))
+        docs = frame([(1, text, "")], DOCS)
+        started = time.time()
+        r = pii.find(docs).collect()[0]
+        assert r.n_phone == n and r.n_email == n
+        assert pii.redact(docs).collect()[0].text.count("[PHONE]") >= n
+        return time.time() - started
+
+    seconds(100)
+    small, large = seconds(2_000), seconds(20_000)
+    assert large < 25 * small + 20

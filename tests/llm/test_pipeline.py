@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as p
 from tests.conftest import TESTDATA
@@ -77,3 +78,34 @@ def test_large_ids_beside_null_ids(spark, frame):
                toxicity.score(docs, model, fitted), packing.pack(docs)):
         assert ids(df) == want
     assert ids(html_text.extract(pages), "page_id") == want
+
+
+def test_columns_named_like_helpers_pass_unchanged(spark, tmp_path):
+    """Documents with columns of every name that a stage uses inside."""
+    import re
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    names = set()
+    for module in ("toxicity", "exact_dedup", "simhash", "pii", "packing", "common", "columns"):
+        with open(f"{root}/tenure/llm/{module}.py") as f:
+            names |= set(re.findall(r"[\"']([A-Za-z_]\w{0,14})[\"']", f.read()))
+    names |= {"__base", "__ends", "__gone", "__again", "__low", "__key", "__sha", "__text", "__all", "__new", "__voted"}
+    names = sorted({n.lower() for n in names} - {"doc_id", "text", "lang", "source", "n_chars"})
+    base_text = "plain words that say nothing and mail me@site.example about it number"
+    rows = [(i, f"{base_text} {i} " + " ".join(f"w{(i * 7 + j * j) % 97}" for j in range(40)), "en", "s", 1) for i in range(12)]
+    rows += [(20, rows[3][1], "en", "s", 1), (20, rows[3][1], "en", "s", 1), (None, rows[4][1], "en", "s", 1), (None, "other words", "en", "s", 1), (None, "other words", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *(F.lit(f"own {n}").alias(n) for n in names))
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in p.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name == "packing":
+            assert out.count() >= 12
+            break
+        assert out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        for r in docs.collect():
+            assert all(r[n] == f"own {n}" for n in names)
+    assert docs.count() == 13 and all("[EMAIL]" in r.text for r in docs.where("doc_id is not null").collect())
