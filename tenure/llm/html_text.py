@@ -39,10 +39,14 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 SELF_CLOSING = {"p": ("p",), "option": ("option",), "optgroup": ("option", "optgroup"), "button": ("button",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 SCOPES = {"option": ("select", "datalist"), "optgroup": ("select", "datalist"), "li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_ATTR = re.compile(r"(?:^|\s)(class|id|role)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in (*RAW, CHOICE)}
+#: A tag as browsers read it: a value has quotes only right after its equals sign, and a quote that nothing closes is a character
+#: like others. Every repetition keeps what it took, so that a page is read in linear time.
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)>")
+_ATTR = re.compile(r"([^\s/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|(\S*+)))?")
+_NO_DISPLAY = re.compile(r"display\s*+:\s*+none", re.I)
+_COMMENT_END = re.compile(r"--!?>")
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in (*RAW, CHOICE)}
+_BEGUN = re.compile(r"</?[A-Za-z]")
 _NAME = re.compile(r"[a-z]+")
 _WORDS = re.compile(r"[^\W_]+")
 _SPACE = re.compile(r"\s+")
@@ -56,6 +60,17 @@ class Block(NamedTuple):
     breaks: int
 
 
+def named(attributes: str) -> tuple[str, ...]:
+    """Words of a tag's classes, id and role, and whether it is hidden; of an attribute given twice, the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTR.findall(attributes):
+        found.setdefault(name.lower(), "".join(values))
+    names = [n for a in ("class", "id", "role") for n in _NAME.findall(found.get(a, "").lower())]
+    if "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true" or _NO_DISPLAY.search(found.get("style", "")):
+        names.append("hidden")
+    return tuple(names)
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in order. Raw-text elements and comments give nothing; unclosed tags are closed by their parents."""
     found: list[Block] = []
@@ -84,26 +99,59 @@ def blocks(page: str) -> list[Block]:
             if tag in INLINE and stack[i][2]:
                 return  # an inline end tag doesn't reach over its block
 
-    while m := _TOKEN.search(page, at):
-        if m.start() > at:
-            text.append(piece := page[at:m.start()])
+    unclosed: set[str] = set()  # raw-text tags that have no end tag in the rest of the page
+
+    def end_of(tag: str, after: int) -> int | None:
+        """Where the content of a raw-text tag, with its end tag, ends."""
+        if tag in unclosed:
+            return None
+        end = _END[tag].search(page, after)
+        if end is None:
+            unclosed.add(tag)
+            return None
+        closed = page.find(">", end.end())
+        return closed + 1 if closed >= 0 else len(page)
+
+    met_foreign = False
+    seen = 0  # text up to here is taken
+    while (lt := page.find("<", at)) >= 0:
+        if page.startswith("<!--", lt):
+            if page.startswith("<!-->", lt):
+                end = lt + 5
+            else:
+                closed = _COMMENT_END.search(page, lt + 4 - page.startswith("<!--->", lt))
+                end = closed.end() if closed else len(page)
+            m = None
+        elif page.startswith(("<!", "<?"), lt):
+            m, end = None, page.find(">", lt) + 1 or len(page)
+        else:
+            m = _TAG.match(page, lt)
+            if m is None:
+                if not _BEGUN.match(page, lt):
+                    at = lt + 1  # a character of the text
+                    continue
+                end = len(page)  # a tag that the end of the page cut off
+            else:
+                end = m.end()
+        if lt > seen:
+            text.append(piece := page[seen:lt])
             if any(t == "a" for t, _, _ in stack):
                 links += len(piece)
-        at = m.end()
-        if m.group(2) is None:
+        at = seen = end
+        if m is None:
             continue
         tag = m.group(2).lower()
         if m.group(1):
             if tag not in VOID:
                 close(tag)
             continue
-        foreign = next((i for i, x in enumerate(stack) if x[0] in FOREIGN), None)
+        foreign = next((i for i, x in enumerate(stack) if x[0] in FOREIGN), None) if met_foreign else None
         if foreign is not None and m.group(3).rstrip().endswith("/") and tag not in ENDS_FOREIGN:
             continue  # the element is empty
         if tag in _END:
-            end = _END[tag].search(page, at)
-            if end or tag != CHOICE:
-                at = end.end() if end else len(page)
+            closed = end_of(tag, at)
+            if closed is not None or tag != CHOICE:
+                at = seen = len(page) if closed is None else closed
                 if tag not in ("script", "style") and foreign is None:
                     flush()
                 continue
@@ -118,6 +166,7 @@ def blocks(page: str) -> list[Block]:
         if foreign is not None and tag in ENDS_FOREIGN:
             del stack[foreign:]
             foreign = None
+        met_foreign = met_foreign or tag in FOREIGN
         inline = tag in INLINE or tag in FOREIGN or foreign is not None
         if not inline:
             flush()
@@ -128,17 +177,11 @@ def blocks(page: str) -> list[Block]:
                         break
                     if stack[i][0] in SCOPES.get(tag, ()) or (ended == "p" and stack[i][0] not in INLINE):
                         break
-        names = tuple(
-            n for _, value in _ATTR.findall(m.group(3)) for n in _NAME.findall(value.lower())
-        ) if m.group(3) else ()
-        if m.group(3) and _HIDDEN.search(m.group(3)):
-            names += ("hidden",)
+        names = named(m.group(3)) if m.group(3) else ()
         if len(stack) < MAX_DEPTH and (not m.group(3).rstrip().endswith("/") or tag in ("p", "div", "span", "a")):
             stack.append((tag, names, not inline))
-    if at < len(page):
-        rest = page[at:]
-        cut = re.search(r"<[A-Za-z/!?][^>]*\Z", rest)  # a tag that the end of the page cut off
-        text.append(rest[:cut.start()] if cut else rest)
+    if seen < len(page):
+        text.append(page[seen:])
     flush()
     return found
 
@@ -344,6 +387,14 @@ def labelled_page(rng: random.Random) -> tuple[str, list[str]]:
     own = random.Random("".join(inside))  # the layout's own draws go on as they were
     for _ in range(own.choice((0, 0, 0, 0, 0, 1, 2))):
         inside.insert(own.randrange(len(inside) + 1), control(own))
+    if own.random() < 0.4:  # one short paragraph inside the article that only its element's name, or one word of it, tells apart
+        tag, names = own.choice((*_COMMENTS, *_COMMENTS, *_ADVERT, *_SIDE, *_NOTICE))
+        if names != "hidden":
+            if " " in names and own.random() < 0.5:
+                names = names.split()[0]
+            key = "class" if " " in names else own.choice(("class", "id"))
+            line = own.choice((_sentences(own, 1, 2), _words(own, 1, 3).capitalize() + "."))
+            inside.insert(own.randrange(1, len(inside) + 2), f'<{tag} {key}="{names}">{own.choice((f"<p>{line}</p>", line))}</{tag}>' if names else "")
     inner = "".join(inside)
     if rng.random() < 0.3:
         inner = f'<div class="{rng.choice(("wrapper", "inner", "col", "text"))}">{inner}</div>'
