@@ -16,6 +16,7 @@ from tenure.functions.times import as_date, as_timestamp
 from tenure.jobs import Layout
 from tenure.marts import RetentionMart
 from tenure.operators.asof import asof_join
+from tenure.operators.bitmaps import numbered
 from tenure.operators.checks import contract_violations, fk_orphans, pk_duplicates
 from tenure.operators.islands import coalesced
 from tenure.operators.scd2 import (
@@ -30,6 +31,7 @@ from tenure.operators.updates import conditional_update
 from tenure.plans import cohorts, dimensions, fact, kpi, silver
 from tenure.plans.bronze import bronze, bronze_events
 from tenure.sources.extract import extract_all, full_extract, incremental_extract, next_watermark
+from tenure.sources.payloads import field, read_lines, shredded
 from tenure.sources.references import ReferenceCounts, deltas
 from tenure.sources.scratch import scratch_path
 from tenure.sources.split_table import SplitTable
@@ -42,6 +44,7 @@ from tenure.sources.tables import (
     write_landing,
     write_table,
 )
+from tenure.streaming.engagement import EngagementStream
 from tenure.streaming.events import drop_redelivered, event_stream, stream_session, write_available
 from testbed import domain as d
 
@@ -192,6 +195,23 @@ def events_flatten_q(spark: SparkSession, sf: str) -> DataFrame:
     return bronze_events(landed.drop("_corrupt_record"), LOAD_TS)
 
 
+def events_variant_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Events whose payload grows: the second batch brings a channel and a nested device. Known fields and new ones, from both batches."""
+    raw = d.raw_events(d.table(spark, sf, "events"), d.unique_event_id())
+    number = F.col("event_id").cast("long")
+    plain = raw.filter(number % 2 == 0).select(F.to_json(F.struct(*raw.columns)).alias("value"))
+    device = F.struct(F.concat(F.lit("os"), number % 3).alias("os"), F.array(number % 5, number % 7).alias("sizes"))
+    grown = raw.filter(number % 2 == 1).withColumns({"channel": F.concat(F.lit("ch"), number % 4), "device": device})
+    path, known = scratch_path(spark, "payloads"), T.StructType([f for f in EVENTS.schema if f.name in ("event_id", "event_type")])
+    for batch, lines in (("1", plain), ("2", grown.select(F.to_json(F.struct(*grown.columns)).alias("value")))):
+        lines.write.text(f"{path}/landing/batch={batch}")
+        shredded(read_lines(spark, [f"{path}/landing/batch={batch}"]), known).write.mode("append").parquet(f"{path}/events")
+    return spark.read.parquet(f"{path}/events").select(
+        "event_id", "event_type", field("$.payload.customer_id", "string").alias("customer_id"), field("$.channel", "string").alias("channel"),
+        field("$.device.os", "string").alias("os"), field("$.device.sizes[1]", "bigint").alias("size"), "unreadable",
+    )
+
+
 def customers_silver_q(spark: SparkSession, sf: str) -> DataFrame:
     return silver.clean_customers(_bronze_customers(spark, sf), assigned_country_codes(spark))
 
@@ -461,6 +481,19 @@ def retention_engagement_q(spark: SparkSession, sf: str) -> DataFrame:
     return cohorts.retention_engagement(d.user_dates(events), seen, EVENTS_AS_OF, "week")
 
 
+def engagement_stream_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Engagement cells kept up to date by the event stream, numbered customers beside it."""
+    events = d.table(spark, sf, "events")
+    own = cohorts.customer_cohorts(d.user_dates(events), "week")
+    root = scratch_path(spark, "engagement")
+    members = own.join(numbered(own.select("customer_id"), "customer_id", None, f"{root}/numbers"), "customer_id").select("customer_id", "cohort_month", "number")
+    write_table(members, f"{root}/members")
+    session = stream_session(spark, spark.sparkContext.defaultParallelism)
+    engaged = EngagementStream(session, f"{root}/mart", read_table(session, f"{root}/members"))
+    engaged.run(event_stream(session, _land_events(spark, sf, "engagement-landing", redeliver=True), EVENTS.schema))
+    return engaged.read(EVENTS_AS_OF)
+
+
 # --- the whole flow -------------------------------------------------------------------
 
 _LAKES: dict[tuple[str, str], Layout] = {}
