@@ -56,11 +56,12 @@ def test_kpis_by_changes_equal_a_rebuild_after_every_load(spark, tmp_path):
         prices = price_ranges(jobs.dimension(spark, layout, "plans", batch))
         for valid in (("start_date", "end_date"), business):
             touched = load_kpi_changes(spark, layout, batch, previous, *valid, max_bytes=4_000)
-            again = load_kpi_changes(spark, layout, batch, previous, *valid, max_bytes=4_000)
-            assert again.versions_read == 0, "a batch that was applied is not applied again"
-            for as_of in ("2025-02-15", "2025-04-01"):
-                want = kpi.kpi_daily_changepoints(jobs.subscription_versions(spark, layout, batch, *valid), prices, as_of, *valid).where(F.col("dt") <= as_of)
-                assert rows(read_kpi_changes(spark, layout, batch, as_of, *valid)) == rows(want), (batch, valid, as_of)
+            as_of = "2025-02-15" if k == 1 else "2025-04-01"
+            want = kpi.kpi_daily_changepoints(jobs.subscription_versions(spark, layout, batch, *valid), prices, as_of, *valid).where(F.col("dt") <= as_of)
+            assert rows(read_kpi_changes(spark, layout, batch, as_of, *valid)) == rows(want), (batch, valid, as_of)
+            if k == 1:  # a batch that was applied is not applied again
+                assert load_kpi_changes(spark, layout, batch, previous, *valid, max_bytes=4_000).versions_read == 0
+                assert rows(read_kpi_changes(spark, layout, batch, as_of, *valid)) == rows(want)
             if k == 1:
                 assert touched.subscriptions == 6 and touched.versions_read < 25 and touched.parts_read < touched.parts
             if k == 2:
