@@ -122,5 +122,5 @@ def test_work_follows_the_text_and_its_spans(spark, frame):
         return time.time() - started
 
     seconds(100)
-    small, large = seconds(2_000), seconds(20_000)
+    small, large = seconds(1_000), seconds(10_000)
     assert large < 25 * small + 20
