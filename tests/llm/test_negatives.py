@@ -2,6 +2,7 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -76,3 +77,10 @@ def test_large_components_stay_exact(spark, frame):
     rng = np.random.default_rng(9)
     rows = [(i, [float(x) for x in rng.normal(size=4) * (10.0 ** rng.integers(0, 6))], i % 2) for i in range(150)]
     assert got(mine(frame(rows, SCHEMA))) == brute(rows)
+
+
+def test_query_and_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE VIEW embeddings AS SELECT * FROM read_parquet('/root/testdata/sf0.01/embeddings.parquet')")
+    want = con.execute(f"SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ({hn.OP12_SQL})").fetchall()
+    assert want and got(hn.op12_hard_negatives(spark, "/root/testdata/sf0.01")) == sorted(want)
