@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
-from tenure.contracts import CUSTOMERS, EVENTS, INVOICES, PLANS, SUBSCRIPTIONS, Contract, widened
+from tenure.contracts import CUSTOMERS, INVOICES, PLANS, SUBSCRIPTIONS, Contract, widened
 from tenure.functions.countries import assigned_country_codes, is_country
 from tenure.functions.times import as_date, parse_event_ts
 from tenure.operators.checks import contract_violations
@@ -41,7 +40,8 @@ from tenure.sources.tables import (
     write_landing,
     write_table,
 )
-from tenure.streaming.events import drop_redelivered, event_stream, late_events, stream_session, unreadable, write_available
+from tenure.streaming.arrivals import Arrivals, StreamRun
+from tenure.streaming.events import drop_redelivered, late_events, stream_session, write_available
 
 BATCH_TABLES: dict[str, Contract] = {
     "customers": CUSTOMERS,
@@ -340,24 +340,29 @@ def load_event_stream(
     layout: Layout,
     delay: str = "1 day",
     state_partitions: int | None = None,
-    arrived_after: datetime | None = None,
-) -> StreamingQuery:
+) -> StreamRun:
     """Event files that arrived in ``landing/event_stream`` since the last run, without repeated
     deliveries, appended to silver. The checkpoint lives beside the table.
 
-    Lines that are no JSON and events without a readable time are appended to ``event_stream_unreadable``. Events later than
-    the watermark are in ``event_stream_late``: all of them, or of files changed after ``arrived_after`` those.
+    New files are read once, others not at all. Lines that are no JSON and events without a readable time are appended to
+    ``event_stream_unreadable``, deliveries later than the watermark to ``event_stream_late``.
     """
     own = stream_session(spark, state_partitions)
-    landing, out = f"{layout.landing}/event_stream", layout.silver("event_stream")
-    query = write_available(drop_redelivered(event_stream(own, landing), delay), out, f"{out}_checkpoint")
-    write_available(unreadable(own, landing), layout.silver("event_stream_unreadable"), layout.silver("event_stream_unreadable_checkpoint"))
-    reader = spark.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in EVENTS.schema]))
-    if arrived_after is not None:
-        reader = reader.option("modifiedAfter", arrived_after.strftime("%Y-%m-%dT%H:%M:%S"))
-    delivered = flatten_events(reader.json(landing)).withColumn("event_ts", parse_event_ts(F.col("event_ts")))
-    write_table(late_events(delivered, read_table(spark, out)), layout.silver("event_stream_late"), layout.fmt)
-    return query
+    out = layout.silver("event_stream")
+    arrivals = Arrivals(
+        own, f"{layout.landing}/event_stream", layout.silver("event_stream_arrivals"),
+        layout.silver("event_stream_late"), layout.silver("event_stream_unreadable"), delay,
+    )
+    arrivals.run()
+    query = write_available(drop_redelivered(arrivals.admitted(), delay), out, f"{out}_checkpoint")
+    arrivals.forget()
+    return StreamRun(query, arrivals.n_late())
+
+
+def events_come_too_late(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Late events of the stream of which no other delivery came in time; copies of kept events are not among them."""
+    late = read_table(spark, layout.silver("event_stream_late"))
+    return late_events(late.drop("batch"), read_table(spark, layout.silver("event_stream"))).dropDuplicates(["event_id"])
 
 
 def violations(spark: SparkSession, layout: Layout) -> DataFrame:

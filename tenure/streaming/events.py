@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tenure.contracts import EVENTS
 from tenure.functions.times import parse_event_ts
 from tenure.plans.bronze import flatten_events
+from tenure.streaming.arrivals import StreamRun
 
 #: Spreads the copies of one event over this many first-level states.
 DEDUP_SALTS = 16
@@ -60,19 +61,11 @@ def undated(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_ts").isNull()).drop("arrival")
 
 
-def unreadable(spark: SparkSession, path: str) -> DataFrame:
-    """As a stream, the rows that have no place in ``drop_redelivered``: lines that are no JSON, and events without a
-    readable timestamp, with the reason."""
-    lines = spark.readStream.text(path)
-    parsed = F.from_json("value", T.StructType([T.StructField(f.name, f.dataType) for f in EVENTS.schema]))
-    event = lines.select("value", parsed.alias("event")).filter(F.trim("value") != "")
-    is_json = F.coalesce(F.try_parse_json("value").isNotNull(), F.lit(False))
-    reason = F.when(~is_json, "not_json").when(parse_event_ts(F.col("event.event_ts")).isNull(), "timestamp")
-    return event.select(F.col("event.event_id").alias("event_id"), reason.alias("reason"), "value").filter("reason is not null")
-
-
 def late_events(delivered: DataFrame, kept: DataFrame) -> DataFrame:
-    """Dated events that were delivered and are not among those kept: they came later than the watermark."""
+    """Dated events that were delivered and are not among those kept: they came later than the watermark.
+
+    Of late deliveries (see ``tenure.streaming.arrivals``) these are the events of which no other delivery came in time.
+    """
     dated = delivered.filter(F.col("event_ts").isNotNull())
     return dated.join(kept.select("event_id").distinct(), "event_id", "left_anti")
 
@@ -107,9 +100,10 @@ def write_available(stream: DataFrame, out: str, checkpoint: str) -> StreamingQu
     return query
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the query dropped as later than its watermark."""
+def late_rows(run: StreamingQuery | StreamRun) -> int:
+    """Rows that were later than the watermark: dropped by the query, or told apart before it."""
+    query, before = (run.query, run.n_late) if isinstance(run, StreamRun) else (run, 0)
     reports = query.recentProgress
     if len(reports) >= PROGRESS_KEPT:
         raise RuntimeError("the run made more reports than are kept")
-    return sum(state.get("numRowsDroppedByWatermark", 0) for r in reports for state in r["stateOperators"])
+    return before + sum(state.get("numRowsDroppedByWatermark", 0) for r in reports for state in r["stateOperators"])

@@ -588,6 +588,21 @@ def event_rejects_q(spark: SparkSession, sf: str) -> DataFrame:
     ]
     return reduce(DataFrame.unionByName, counts).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
+def event_late_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in two deliveries, signups of the whole month in the second: those at or before the first one's watermark are late.
+
+    Each run of the stream reads its own files only; every event is in one of the two tables.
+    """
+    layout = Layout(scratch_path(spark, "late-lake"))
+    raw = d.raw_events(d.table(spark, sf, "events"), d.unique_event_id())
+    signup = F.col("event_type") == "signup"
+    for delivery in (raw.filter(~signup), raw.filter(signup)):
+        delivery.write.mode("append").json(f"{layout.landing}/event_stream")
+        jobs.load_event_stream(spark, layout, "10 days", spark.sparkContext.defaultParallelism)
+    kept, late = (read_table(spark, layout.silver(t)).select("event_id", "event_type", "event_ts", F.lit(k).alias("kind"))
+                  for t, k in (("event_stream", "kept"), ("event_stream_late", "late")))
+    return kept.unionByName(late)
+
 
 # --- checks and streams ---------------------------------------------------------------
 
