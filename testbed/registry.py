@@ -32,6 +32,7 @@ from tenure.plans import cohorts, dimensions, fact, kpi, silver
 from tenure.plans.bronze import bronze, bronze_events
 from tenure.sources.extract import extract_all, full_extract, incremental_extract, next_watermark
 from tenure.sources.payloads import field, read_lines, shredded
+from tenure.sources.pruned_dimension import PrunedDimension
 from tenure.sources.references import ReferenceCounts, deltas
 from tenure.sources.scratch import scratch_path
 from tenure.sources.split_table import SplitTable
@@ -318,6 +319,20 @@ def scd2_merge_subscriptions_q(spark: SparkSession, sf: str) -> DataFrame:
     return dimension
 
 
+def scd2_merge_pruned_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The same two loads, each by the rows that changed since the one before: only files that may hold their keys are read."""
+    orders = _orders(spark, sf)
+    stored = PrunedDimension(spark, scratch_path(spark, "pruned"), dimensions.SUBSCRIPTION_KEY, dimensions.SUBSCRIPTION_TRACKED, rows_per_file=500)
+    shown = d.current_subscriptions(orders, "1997-12-31")
+    stored.create(shown, "1997-12-31", "1998-01-01 00:00:00")
+    previous = "1997-12-31"
+    for cut, as_of in (("1999-12-31", "2000-01-01 00:00:00"), (d.AS_OF, LOAD_TS)):
+        before, shown = shown, d.current_subscriptions(orders, cut)
+        stored.merge(shown.subtract(before), previous, cut, as_of)
+        previous = cut
+    return stored.read(previous)
+
+
 def scd2_close_missing_q(spark: SparkSession, sf: str) -> DataFrame:
     """Parts that left the price list (the smallest sizes) are closed when asked for."""
     part = d.table(spark, sf, "part")
