@@ -2,10 +2,9 @@
 
 Every assistant turn becomes an example: all earlier turns of its conversation are context, and only
 its text is trained on. The context of turn k is the first ``context_chars`` characters of the
-conversation's transcript, which is the same for all its examples; so the formatted output holds
-each turn's piece once, and an example is (piece, context_chars, loss_start, loss_chars). A
-conversation of n turns then takes space in proportion to n instead of its square; ``materialise``
-writes the examples out in full where a trainer wants flat strings.
+conversation's transcript, which is the same for all its examples; so ``pieces`` holds each turn once, for storage
+in proportion to n turns instead of their square. ``expanded`` writes every example out with its context, a row at a time, and is
+what the digests read; ``materialise`` does so by a join, where contexts may be cut to a length.
 
 A piece is ``<s>role\\ntext</s>``. Backslashes in texts and roles are doubled and a backslash and a dot break
 up control strings, so that no piece holds a control string of its text, and reading back is exact.
@@ -19,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenure.llm.columns import chunks, cut_out, let
 from tenure.llm.common import table, text_of
 
 OPEN, CLOSE = "<s>", "</s>"
@@ -110,27 +108,48 @@ def read_back(formatted: DataFrame) -> DataFrame:
     )
 
 
-def read_examples(conversations: DataFrame) -> DataFrame:
-    """Conversations as their examples tell: conv_id, transcript, turns (role and text each), losses (per example, the text under the mask).
+def expanded(formatted: DataFrame) -> DataFrame:
+    """Prefix-target expansion: one row per assistant turn, its whole context written out before its piece.
 
-    The formatted output is one transcript per conversation, and examples that point into it: the transcript read back is the
-    last example, that is its context and its piece, and what follows it; each example's loss is read at its own
-    place after its own context. A conversation without examples is what it holds. Its turns must fit one row.
+    Columns: conv_id, position, formatted, loss_start, loss_chars (in ``formatted``), whole. Turns after a conversation's last
+    assistant turn are nobody's context; they end the conversation as one more row that trains on nothing, so that the output holds
+    every turn. ``whole`` marks the row that holds its conversation. Rows are made one at a time from a conversation's pieces, which
+    must fit one row; nothing of the written-out form is shuffled.
     """
-    order = lambda x, *names: F.array_sort(F.collect_list(F.when(x, F.struct(*names))))
-    own = conversations.groupBy("conv_id").agg(
-        order(F.lit(True), "position", "piece").alias("pieces"),
-        order(F.col("loss_chars").isNotNull(), "position", "piece", "context_chars", "loss_start", "loss_chars").alias("examples"),
-    ).withColumn("output", F.array_join(F.transform("pieces", lambda x: x["piece"]), ""))
-    last = F.try_element_at("examples", F.lit(-1))
-    rest = F.array_join(F.transform(F.filter("pieces", lambda x: x["position"] > last["position"]), lambda x: x["piece"]), "")
-    whole = F.when(F.size("examples") > 0, F.concat(F.col("output").substr(F.lit(1), last["context_chars"].cast("int")), last["piece"], rest)).otherwise(F.col("output"))
-    at = lambda parts: lambda e: unescape(cut_out(parts, e["context_chars"] + e["loss_start"], e["loss_chars"]))
-    losses = let(chunks(F.col("output")), lambda parts: F.transform("examples", at(parts)))
+    turn = F.struct("position", "piece", "loss_start", "loss_chars", "context_chars", F.length("piece").cast("long").alias("size"))
+    own = formatted.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    text = lambda turns: F.array_join(F.transform(turns, lambda x: x["piece"]), "")
+    end = F.element_at("turns", F.lit(-1))["position"]
+    each = own.select(
+        "conv_id", "turns", text(F.col("turns")).alias("transcript"), end.alias("end"),
+        F.try_element_at(F.filter("turns", lambda x: x["loss_chars"].isNotNull()), F.lit(-1)).alias("last"),
+        F.explode(F.filter("turns", lambda x: x["loss_chars"].isNotNull() | (x["position"] == end))).alias("turn"),
+    )
+    until = lambda x: F.concat(F.col("transcript").substr(F.lit(1), x["context_chars"].cast("int")), x["piece"])
+    last, here = F.col("last"), F.col("turn")
+    rest = text(F.filter("turns", lambda x: x["position"] > last["position"]))
+    closing = F.when(last.isNull(), F.col("transcript")).otherwise(F.concat(until(last), rest))
+    before = F.aggregate(F.filter("turns", lambda x: x["position"] < here["position"]), F.lit(0).cast("long"), lambda n, x: n + x["size"])
+    return each.select(
+        "conv_id", "turn.position", F.when(here["loss_chars"].isNotNull(), until(here)).otherwise(closing).alias("formatted"),
+        (before + here["loss_start"]).alias("loss_start"), "turn.loss_chars", (here["position"] == F.col("end")).alias("whole"),
+    )
+
+
+def read_examples(formatted: DataFrame) -> DataFrame:
+    """Conversations as their written-out examples tell: conv_id, transcript, turns (role and text each), losses (per example, the text
+    under its mask).
+
+    Each example's loss is read at its own place in its own string; the turns are those of the row that holds the whole conversation.
+    """
+    masked = F.col("formatted").substr((F.col("loss_start") + 1).cast("int"), F.col("loss_chars").cast("int"))
+    read = expanded(formatted).select("conv_id", "position", unescape(masked).alias("loss"), F.when(F.col("whole"), F.col("formatted")).alias("transcript"))
+    losses = F.array_sort(F.collect_list(F.when(F.col("loss").isNotNull(), F.struct("position", "loss"))))
+    own = read.groupBy("conv_id").agg(F.first("transcript", ignorenulls=True).alias("transcript"), losses.alias("losses"))
     inner = F.split(F.col("transcript").substr(F.lit(len(OPEN) + 1), F.length("transcript") - len(OPEN) - len(CLOSE)), re.escape(CLOSE + OPEN), -1)
     role = lambda x: F.substring_index(x, "\n", 1)
     turns = F.transform(inner, lambda x: F.struct(unescape_role(role(x)).alias("role"), unescape(x.substr(F.length(role(x)) + 2, F.length(x))).alias("text")))
-    return own.select("conv_id", whole.alias("transcript"), losses.alias("losses")).select("conv_id", "transcript", turns.alias("turns"), "losses")
+    return own.select("conv_id", "transcript", turns.alias("turns"), F.transform("losses", lambda x: x["loss"]).alias("losses"))
 
 
 def digest_turns(formatted: DataFrame) -> DataFrame:

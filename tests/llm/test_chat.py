@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tenure.llm.chat import digest_turns, examples, materialise, pieces, read_back
+from tenure.llm.chat import digest_turns, examples, expanded, materialise, pieces, read_back
 from tests.conftest import plan_text
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -70,3 +70,19 @@ def test_digests_come_through_the_examples(spark, frame):
     # What examples() gives, written out, is what the digests read.
     flat = {r.position: r for r in materialise(formatted).collect()}
     assert hashlib.sha256("".join(flat[p].formatted[flat[p].loss_start:][:flat[p].loss_chars] for p in (1, 3)).encode()).hexdigest() == right["loss_sha256"]
+
+
+def test_every_example_is_written_out_with_its_context(spark, frame):
+    rows = [(1, 0, "user", "a\u00e9"), (1, 1, "assistant", "b<s>"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (1, 4, "user", "e"), (2, 0, "user", "x"), (None, 0, "assistant", "n")]
+    formatted = pieces(frame(rows, SCHEMA))
+    got = {(r.conv_id, r.position): r for r in expanded(formatted).collect()}
+    assert set(got) == {(1, 1), (1, 3), (1, 4), (2, 0), (None, 0)}
+    flat = {(r.conv_id, r.position): r for r in materialise(formatted).collect()}
+    assert {k: (r.formatted, r.loss_start, r.loss_chars) for k, r in got.items() if r.loss_chars is not None} == {k: (r.formatted, r.loss_start, r.loss_chars) for k, r in flat.items()}
+    whole = {r.conv_id: r.formatted for r in got.values() if r.whole}
+    pieces_of = {}
+    for r in formatted.orderBy("position").collect():
+        pieces_of[r.conv_id] = pieces_of.get(r.conv_id, "") + r.piece
+    assert whole == pieces_of and got[1, 4].loss_chars is None
+    # The digests read these rows: the plan writes them out.
+    assert "Generate" in plan_text(digest_turns(formatted))
