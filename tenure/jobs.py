@@ -25,7 +25,7 @@ from tenure.operators.scd2 import scd2_initial
 from tenure.operators.spine import version_windows
 from tenure.plans import cohorts, dimensions, kpi, silver
 from tenure.plans.bronze import SOURCE_LABELS, bronze, flatten_events
-from tenure.plans.fact import daily_partitions, fact_daily, one_at_a_time, price_ranges
+from tenure.plans.fact import fact_daily, one_at_a_time, price_ranges
 from tenure.marts import KpiMart, Touched
 from tenure.sources.dimension_store import create_dimension, merge_dimension, read_changes, read_dimension
 from tenure.sources.extract import WATERMARK_COLUMN, Since, next_watermarks
@@ -36,7 +36,6 @@ from tenure.sources.tables import (
     overwrite_partitions,
     read_event_files,
     read_table,
-    with_month,
     write_landing,
     write_table,
 )
@@ -252,16 +251,15 @@ def load_fact(
         raise ValueError("from_dt must be the first of a month, because whole months are replaced")
     subscriptions = subscription_versions(spark, layout, batch_id, valid_from, valid_to)
     _require_one_a_day(subscriptions, as_of, valid_from, valid_to)
-    fact = with_month(fact_daily(
+    fact = fact_daily(
         subscriptions, price_ranges(dimension(spark, layout, "plans", batch_id)), as_of, valid_from, valid_to,
-        from_dt=from_dt,
-        partitions=daily_partitions(subscriptions, as_of, valid_from, valid_to, from_dt=from_dt),
-    ))
+        from_dt=from_dt, by_month=True,
+    )
     path = layout.silver("fact_subscription_daily")
     if from_dt is None:
-        write_table(fact, path, layout.fmt, partition_by=["dt_month"])
+        write_table(fact, path, layout.fmt, partition_by=["dt_month"], placed=True)
     else:
-        overwrite_partitions(fact, path, ["dt_month"], layout.fmt, every=_months(from_dt, as_of))
+        overwrite_partitions(fact, path, ["dt_month"], layout.fmt, every=_months(from_dt, as_of), placed=True)
     windows = windows_without_days(subscriptions, valid_from, valid_to)
     write_table(windows, layout.silver("fact_rejects"), layout.fmt)
 

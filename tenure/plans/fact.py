@@ -90,6 +90,26 @@ def daily_partitions(
     return max(needed, cores) if needed > 1 else None
 
 
+#: Daily rows that a task sorts by month and writes, about.
+ROWS_PER_WRITE = 2_000_000
+
+
+def cut_by_month(windows: DataFrame, rows_per_task: int = ROWS_PER_WRITE) -> DataFrame:
+    """Windows cut where months end, with their month as ``dt_month``, in tasks of neighbouring months and about ``rows_per_task`` days.
+
+    Rows of a daily table partitioned by month are so placed before they are multiplied into days, and each task writes few months.
+    """
+    months = F.sequence(F.trunc("first_day", "MM"), F.col("last_day"), F.expr("interval 1 month"))
+    others = [c for c in windows.columns if c not in ("first_day", "last_day")]
+    cut = windows.select("*", F.explode(months).alias("__month")).select(
+        *others, F.greatest("first_day", "__month").alias("first_day"), F.least("last_day", F.last_day("__month")).alias("last_day"),
+        F.date_format("__month", "yyyy-MM").alias("dt_month"),
+    )
+    days = windows.agg(F.sum(F.datediff("last_day", "first_day") + 1)).first()[0] or 0
+    tasks = max(1, -(-days // rows_per_task))
+    return cut.repartitionByRange(tasks, "dt_month", F.xxhash64("subscription_id"))
+
+
 def date_spine(
     subscriptions: DataFrame,
     as_of: str | date,
@@ -244,12 +264,14 @@ def fact_daily(
     for_kpi: bool = False,
     partitions: int | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    by_month: bool = False,
 ) -> DataFrame:
     """The daily fact in its contract.
 
     ``for_kpi`` keeps what the KPI job needs beyond the contract: ``version_no`` to order two
     versions that share a day, ``price_cents``, and the last row of each version before
-    ``from_dt`` so that the first day has its previous rows.
+    ``from_dt`` so that the first day has its previous rows. ``by_month`` adds ``dt_month`` and places the rows by it, ready to be
+    written (see ``cut_by_month``).
     """
     windows = _clipped_windows(
         subscriptions, as_of, valid_from, valid_to, end_rule, from_dt, to_dt, for_kpi, partitions
@@ -257,6 +279,8 @@ def fact_daily(
     pieces = priced_windows(windows, plans, active_plans_only, max_broadcast_bytes)
     if for_kpi:
         pieces = pieces.withColumn("price_cents", cents(F.col("monthly_price")))
+    if by_month:
+        pieces = cut_by_month(pieces)
     daily = explode_days(pieces)
     values = {
         "status_at_day": F.col("status"),
@@ -269,4 +293,4 @@ def fact_daily(
     columns = [
         values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in FACT_DAILY.schema
     ]
-    return daily.select(*columns, *(["version_no", "price_cents"] if for_kpi else []))
+    return daily.select(*columns, *(["version_no", "price_cents"] if for_kpi else []), *(["dt_month"] if by_month else []))

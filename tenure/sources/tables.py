@@ -54,16 +54,17 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    placed: bool = False,
 ) -> None:
     """Replace (or append to) a table.
 
     A partitioned table is rebalanced on its partition columns first. That keeps files few,
-    and unlike a plain repartition it lets Spark split a partition value that is very large.
+    and unlike a plain repartition it lets Spark split a partition value that is very large. Rows that are ``placed`` by
+    them already are written as they lie.
     """
     if partition_by:
-        df.hint("rebalance", *[F.col(c) for c in partition_by]).write.format(fmt).mode(mode).partitionBy(
-            *partition_by
-        ).save(path)
+        rows = df if placed else df.hint("rebalance", *[F.col(c) for c in partition_by])
+        rows.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
     else:
         df.write.format(fmt).mode(mode).save(path)
 
@@ -74,15 +75,16 @@ def save_as_table(df: DataFrame, name: str, path: str, fmt: str = "parquet", mod
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", every: Iterable[Sequence[str]] = ()
+    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", every: Iterable[Sequence[str]] = (), placed: bool = False,
 ) -> None:
     """Replace the partitions that ``df`` has rows for.
 
     ``every`` lists the partitions (values in order) that ``df`` stands for: of these, the ones without rows
-    are removed, since nothing is left in them.
+    are removed, since nothing is left in them. ``placed`` as in ``write_table``.
     """
+    rows = df if placed else df.hint("rebalance", *[F.col(c) for c in partition_by])
     (
-        df.hint("rebalance", *[F.col(c) for c in partition_by]).write.format(fmt).mode("overwrite")
+        rows.write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
     )
     every = {tuple(map(str, values)) for values in every}

@@ -302,3 +302,15 @@ def test_a_popular_plan_spreads_over_tasks_when_not_broadcast(frame, spark):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 2000 and len(sizes) >= 5 and max(sizes) < 1000
+
+
+def test_days_placed_by_month_before_they_are_made(spark, frame):
+    v = versions(frame, ("s1", "p1", "active", "2024-11-15", "2025-02-03"), ("s1", "p1", "canceled", "2025-02-03", None), ("s2", "p9", "active", "2025-01-31", "2025-02-01"))
+    p = plans(frame, ("p1", "9.00", "2024-12-10", None))
+    plain = fact_daily(v, p, AS_OF)
+    placed = fact_daily(v, p, AS_OF, by_month=True)
+    assert rows(placed.drop("dt_month")) == rows(plain)
+    assert placed.where("dt_month <> date_format(dt, 'yyyy-MM')").count() == 0
+    # Windows are shuffled, not days.
+    plan = plan_text(placed)
+    assert plan.index("sequence(first_day") < plan.index("Exchange") and "rangepartitioning(dt_month" in plan
