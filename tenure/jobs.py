@@ -19,7 +19,7 @@ from tenure.contracts import CUSTOMERS, INVOICES, PLANS, SUBSCRIPTIONS, Contract
 from tenure.functions.countries import assigned_country_codes, is_country
 from tenure.functions.times import as_date, parse_event_ts
 from tenure.operators.checks import contract_violations
-from tenure.operators.dedup import latest_by
+from tenure.operators.dedup import latest_by_key
 from tenure.operators.ranges import overlapping_ranges
 from tenure.operators.scd2 import scd2_initial
 from tenure.operators.spine import version_windows
@@ -163,9 +163,9 @@ def load_silver(
         source = f"{layout.bronze}/{table}" if batch_id is None else landing_path(layout.bronze, table, batch_id)
         rows = _prepared(table, read_table(spark, source, merge_schema=True).drop("batch"), codes)
         stored = silver_table(spark, layout, table)
-        newest_of = lambda both: _judged(table, latest_by(both.drop("is_valid", "rule"), keys, [newest]), codes)  # noqa: E731, B023
+        newest_of = lambda both: _judged(table, latest_by_key(both.drop("is_valid", "rule"), keys, [newest]), codes)  # noqa: E731, B023
         if batch_id is None or not stored.exists():
-            stored.create(newest_of(rows))
+            stored.create(newest_of(rows), measured=rows)
         else:
             stored.upsert(rows, newest_of)
 

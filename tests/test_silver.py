@@ -1,6 +1,8 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from tenure.functions.countries import assigned_country_codes
 from tenure.operators.dedup import latest_by
 from tenure.plans import silver
@@ -152,3 +154,19 @@ def test_event_time_is_utc_in_any_session_zone(frame, spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert seconds == 1755993600 + 7200
     assert date(2025, 8, 24) == datetime.fromtimestamp(1755993600).date()
+
+
+def test_latest_by_key_is_latest_by_without_a_sort_before_the_shuffle(spark):
+    from tenure.operators.dedup import latest_by_key
+
+    df = spark.range(6_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") % 2_500).cast("string")).alias("k"),
+        (F.col("id") % 11).alias("at"), F.col("id").alias("v"),
+    )
+    want = rows(latest_by(df, ["k"], ["at"]))
+    assert rows(latest_by_key(df, ["k"], ["at"])) == want
+    assert rows(latest_by_key(df, ["k"], ["at"], rows_per_sort=100)) == want  # "hot" and null are more than a task's share
+    even = df.withColumn("k", F.col("v").cast("string"))
+    plan = plan_text(latest_by_key(even, ["k"], ["at"], rows_per_sort=100))
+    assert "hashpartitioning(k" in plan and ", 60)" in plan
+    assert plan.index("Window") < plan.index("Sort") < plan.index("Exchange") and plan.count("Sort ") == 1
