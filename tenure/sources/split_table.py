@@ -3,7 +3,7 @@
 A directory lists the parts: each holds the rows whose key hash begins with its bits, and no prefix begins another one, so
 every key has one part. A batch rewrites the parts that its keys fall into, and a part that
 grows over a size is split by its next bits. So what a batch of k keys rewrites is bounded by k parts of that size, however large
-the table is.
+the table is, up to MAX_PARTS parts; beyond that, parts grow, so that directories and folders don't.
 
 Parts are written to a new generation of folders and then listed by a new directory; until that stands, readers see the last one. What
 a directory no longer lists is deleted when the next one is made, so a reader has until then. One writer at a time.
@@ -28,6 +28,8 @@ from tenure.sources.files import delete, exists, folders, size
 
 #: Bytes of files that a part may have.
 MAX_BYTES = 256 * 1024 * 1024
+#: Parts that a table may have: a table of more than MAX_PARTS times a part's size has larger parts.
+MAX_PARTS = 1024
 #: The root's name; bits of the hash follow it. A letter keeps the names text.
 ROOT = "p"
 
@@ -132,10 +134,12 @@ class SplitTable:
 
     # --- writing ------------------------------------------------------------------------
 
-    def create(self, rows: DataFrame) -> None:
-        """The table anew, with as many parts as the rows' measured size asks for."""
-        measured = measured_bytes(rows) if is_flat(rows) else 1024 * rows.count()
-        depth = max(0, math.ceil(math.log2(max(1, measured) / self.max_bytes)))
+    def create(self, rows: DataFrame, measured: DataFrame | None = None) -> None:
+        """The table anew, with as many parts as the measured size of rows asks for: of these, or, where they take long to make, of
+        ``measured``, which are no fewer."""
+        counted = rows if measured is None else measured
+        n_bytes = measured_bytes(counted) if is_flat(counted) else 1024 * counted.count()
+        depth = min(max(0, math.ceil(math.log2(max(1, n_bytes) / self.max_bytes))), int(math.log2(MAX_PARTS)))
         generation = max(self._directories(), default=-1) + 1
         retired = [p.folder for p in self.parts() if p.folder] if generation else []
         names = [ROOT + (f"{i:0{depth}b}" if depth else "") for i in range(2 ** depth)]
@@ -151,12 +155,17 @@ class SplitTable:
         if not touched:
             return []
         merged = merge(self.read(touched).unionByName(rows, allowMissingColumns=True))
-        made = self._write(self.located(merged), last + 1, sorted(touched))
+        made = self._write(self.located(merged), last + 1, sorted(touched), len(listed) - len(touched))
         known = [Part(r["part"], r["folder"], r["n_rows"], r["digest"]) for r in listed]
         retired = [p.folder for p in known if p.part in touched and p.folder]
         self._publish(last + 1, [*(p for p in known if p.part not in touched), *made], retired, self._schema(merged))
         return sorted(touched)
 
+    def _sizes(self, root: str, names: Sequence[str]) -> dict[str, int]:
+        """Bytes of parts of a generation, 0 of those without files."""
+        there = set(folders(self.spark, f"{self.path}/{root}"))
+        return {n: size(self.spark, f"{self.path}/{root}/part={n}") if f"part={n}" in there else 0 for n in names}
+
     def _schema(self, rows: DataFrame) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
 
@@ -164,8 +173,9 @@ class SplitTable:
         reader = self.spark.read.format(self.fmt).option("basePath", f"{self.path}/{root}").option("mergeSchema", "true")
         return reader.load([f"{self.path}/{root}/part={n}" for n in names])
 
-    def _write(self, rows: DataFrame, generation: int, names: Sequence[str]) -> list[Part]:
-        """Rows, whose ``part`` is one of ``names``, as folders of a generation; parts over the size are split. Gives all parts."""
+    def _write(self, rows: DataFrame, generation: int, names: Sequence[str], others: int = 0) -> list[Part]:
+        """Rows, whose ``part`` is one of ``names``, as folders of a generation; parts over the size are split, the largest first, while
+        these and the ``others`` are no more than MAX_PARTS. Gives all parts."""
         root = f"generation={generation}"
         delete(self.spark, f"{self.path}/{root}")
         by = ["part", *self.partition_by]
@@ -176,17 +186,23 @@ class SplitTable:
         save(rows)
         made: list[str] = []
         while names:
-            sizes = {n: size(self.spark, f"{self.path}/{root}/part={n}") for n in names}
+            sizes = self._sizes(root, names)
             over = [n for n in names if sizes[n] > self.max_bytes]
             if over:
                 # A part of one key can't be split: nothing tells its rows apart.
                 hashed = F.xxhash64(*self.keys)
                 several = self._reader(root, over).groupBy("part").agg(F.min(hashed).alias("low"), F.max(hashed).alias("high")).where("low < high")
                 over = [r["part"] for r in several.select("part").collect()]
-            made += [n for n in names if n not in over]
+            deeper, room = {}, MAX_PARTS - others - len(made) - len(names)
+            for n in sorted(over, key=lambda n: -sizes[n]):
+                depth = min(math.ceil(math.log2(sizes[n] / self.max_bytes)), int(math.log2(max(0, room) + 1)))
+                if depth:
+                    deeper[n] = depth
+                    room -= 2 ** depth - 1
+            over = list(deeper)
+            made += [n for n in names if n not in deeper]
             if not over:
                 break
-            deeper = {n: math.ceil(math.log2(sizes[n] / self.max_bytes)) for n in over}
             place = F.coalesce(*(F.when(F.col("part") == n, F.substring(key_bits(self.keys), 1, len(n) + d)) for n, d in deeper.items()))
             save(self._reader(root, over).withColumn("part", place))
             for n in over:
@@ -196,7 +212,8 @@ class SplitTable:
 
     def _described(self, root: str, names: Sequence[str]) -> list[Part]:
         """Directory entries of written parts."""
-        filled = [n for n in names if exists(self.spark, f"{self.path}/{root}/part={n}")]
+        there = set(folders(self.spark, f"{self.path}/{root}"))
+        filled = [n for n in names if f"part={n}" in there]
         found = {}
         if filled:
             rows = self._reader(root, filled)

@@ -100,3 +100,19 @@ def test_digests_tell_which_parts_changed(spark, tmp_path):
     changed = changed.unionByName(spark.createDataFrame([("new", 0, "x")], SCHEMA))
     assert table.differing(changed) == table.touched(spark.createDataFrame([("17", 0, ""), ("40", 0, ""), ("new", 0, "")], SCHEMA))
     assert "Scan" not in plan_text(table.located(wanted)).replace("Scan ExistingRDD", "").replace("Range", "")
+
+
+def test_parts_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(st, "MAX_PARTS", 10)
+    rows_of = lambda low, high: spark.range(low, high).select(F.col("id").cast("string"), F.lit(0).alias("n"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    table = st.SplitTable(spark, str(tmp_path / "t"), ["id"], max_bytes=5_000, digest_columns=["id", "n", "v"])
+    table.create(rows_of(0, 3_000))
+    check(table)
+    assert 8 <= len(table.parts()) <= 10
+    table.upsert(rows_of(2_500, 6_000), newest)
+    check(table)
+    assert len(table.parts()) <= 10 and table.read().count() == 6_000 and table.differing(rows_of(0, 6_000)) == []
+    # Measured by other rows, which stand for those that take long to make.
+    other = st.SplitTable(spark, str(tmp_path / "u"), ["id"], max_bytes=50_000)
+    other.create(rows_of(0, 100).where("id % 2 = 0"), measured=rows_of(0, 3_000))
+    assert len(other.parts()) >= 4 and other.read().count() == 50
