@@ -29,6 +29,8 @@ from tenure.sources.files import delete, exists, folders
 KEYS_PER_WORD = 4
 BITS_PER_KEY = 4
 MAX_DEPTH = 40
+#: Files that a batch writes, at most: beyond that they hold more rows, so that their number does not grow with the table.
+MAX_FILES = 512
 LIVE = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("n_rows", T.LongType()), T.StructField("depth", T.IntegerType()), T.StructField("columns", T.StringType()),
 ])
@@ -58,8 +60,8 @@ def mask_of(keys: Sequence[str]) -> Column:
 
 
 class PrunedDimension:
-    """``keys`` and ``tracked`` as in ``scd2_step``. A file of open versions holds about ``rows_per_file``; those of less than a
-    quarter are folded when there are more than ``max_small``."""
+    """``keys`` and ``tracked`` as in ``scd2_step``. A file of open versions holds about ``rows_per_file``, or more in a batch of over
+    ``MAX_FILES`` times that; those of less than a quarter are folded when there are more than ``max_small``."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], tracked: Sequence[str], rows_per_file: int = 1_000_000, max_small: int = 64):
         self.spark, self.path, self.keys, self.tracked = spark, path.rstrip("/"), list(keys), list(tracked)
@@ -134,7 +136,7 @@ class PrunedDimension:
         n = rows.count()
         depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(1, n) / KEYS_PER_WORD))))
         place = F.xxhash64(*self.keys).bitwiseXOR(F.lit(-(2**63)))  # in the order of the words
-        ordered = rows.withColumn("__place", place).repartitionByRange(max(1, math.ceil(n / self.rows_per_file)), "__place")
+        ordered = rows.withColumn("__place", place).repartitionByRange(min(MAX_FILES, max(1, math.ceil(n / self.rows_per_file))), "__place")
         ordered.sortWithinPartitions("__place").drop("__place").write.mode("overwrite").parquet(self._open(batch_id))
 
         file = F.concat(F.lit(f"{batch_id}/"), F.col("_metadata.file_name"))
@@ -160,6 +162,10 @@ class PrunedDimension:
             raise ValueError(f"batch {batch_id!r} must sort after {previous_batch!r}")
         listed = self._live(previous_batch)
         schema, live = self._schema(listed), [r for r in listed if r["file"]]
+        # Kept, since they are read twice: for the files that may hold their keys, and for the merge.
+        kept = f"{self.path}/staged/{batch_id}-changes"
+        changes.write.mode("overwrite").parquet(kept)
+        changes = self.spark.read.schema(changes.schema).parquet(kept)
         read = set(self._files_of(changes, live))
         small = {r["file"] for r in live if 4 * r["n_rows"] < self.rows_per_file}
         if len(small - read) > self.max_small:
@@ -167,4 +173,5 @@ class PrunedDimension:
         target = self._versions(sorted(read), schema)
         step = scd2_step(target, changes, self.keys, as_of, self.tracked, closing=closing)
         self._publish(batch_id, step, [r for r in live if r["file"] not in read], schema)
+        delete(self.spark, kept)
         return Merged(len(read), len(live))

@@ -79,3 +79,26 @@ def test_running_a_batch_again_empty_batches_and_withdrawn_keys(spark, tmp_path,
         dim.merge(gone, "b2", "b1", "2025-01-04")
     with pytest.raises(FileNotFoundError):
         dim.read("b9")
+
+
+def test_files_do_not_grow_with_the_table_and_changes_are_made_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tenure.sources import pruned_dimension
+
+    monkeypatch.setattr(pruned_dimension, "MAX_FILES", 4)
+    dim = stored(spark, tmp_path, rows_per_file=10)
+    dim.create(spark.range(400).selectExpr("cast(id as string) a", "0 b", "1 v", "'x' note"), "b0", "2025-01-01")
+    assert len([r for r in dim._live("b0") if r["file"]]) <= 4
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        made.add(1)
+        return x
+
+    changes = spark.range(395, 405, 1, 1).select(F.udf(counted, "string")(F.col("id").cast("string")).alias("a"), F.lit(0).alias("b"), F.lit(2).alias("v"), F.lit("x").alias("note"))
+    dim.merge(changes, "b0", "b1", "2025-01-02")
+    assert made.value == 10
+    after = dim.read("b1")
+    assert after.filter("active_status = 'Y'").count() == 405 and after.filter("v = 2").count() == 10 and after.filter("active_status = 'N'").count() == 5
+    assert len([r for r in dim._live("b1") if r["file"]]) <= 8
