@@ -1,4 +1,4 @@
-"""As-of join by one merge: versions and facts sorted together, the last version carried forward."""
+"""As-of join by one merge: versions and facts, or the days of facts, sorted together, the last version carried forward."""
 
 from __future__ import annotations
 
@@ -7,11 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenure.operators.ranges import fits_broadcast, is_flat
+
 #: Facts of one key that one task merges, at least; a key with more is cut into stretches of time.
 ROWS_PER_STRETCH = 8_000_000
 #: Stretches of a key, at most. A stretch then holds more than ROWS_PER_STRETCH facts, a 200th of all at most.
 MAX_STRETCHES = 200
 _SPREAD = 2 ** 20
+#: Days of keys that are merged in place of their facts, at most, and the facts that a day of a key must have on average for that.
+MAX_DAYS = 1_000_000
+FACTS_PER_DAY = 4
 
 
 def _place(day: Column, within: Column) -> Column:
@@ -36,7 +41,27 @@ def asof_join(
     with. A key with more than ``rows_per_stretch`` facts is cut at quantiles of its facts' days, and within a day
     by a hash of ``spread_by``, so a key with half of all facts, or a day of it, is merged by many tasks. Null keys and days
     have no version. Of versions of a key that begin together, the one that ends last counts.
+
+    Where many facts share their key and day, the days are merged, and their versions, as far as they fit a broadcast, are joined to the
+    facts, which then are neither shuffled nor sorted.
     """
+    args = (key, day, effective_from, effective_to)
+    days = facts.filter(F.col(key).isNotNull() & F.col(day).isNotNull()).groupBy(key, day).agg(F.count(F.lit(1)).alias("__n")).cache()
+    n_days, n_facts = days.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    attached = [c for c in versions.columns if c not in (key, effective_from, effective_to)]
+    if 0 < FACTS_PER_DAY * n_days <= n_facts and n_days <= MAX_DAYS and key != day and is_flat(versions):
+        named = versions.select(*(F.col(c) if c in (key, effective_from, effective_to) else F.col(c).alias(f"__version_{c}") for c in versions.columns))
+        dated = _merged(days.select(key, day), named, *args, (key, day), rows_per_stretch).withColumnsRenamed({key: "__key", day: "__day"})
+        if fits_broadcast(dated):
+            joined = facts.join(F.broadcast(dated), (F.col(key) == F.col("__key")) & (F.col(day) == F.col("__day")), "left")
+            return joined.select(*(F.col(c) for c in facts.columns), *(F.col(f"__version_{c}").alias(c) for c in attached))
+    days.unpersist()
+    return _merged(facts, versions, *args, spread_by, rows_per_stretch)
+
+
+def _merged(
+    facts: DataFrame, versions: DataFrame, key: str, day: str, effective_from: str, effective_to: str | None, spread_by: Sequence[str], rows_per_stretch: int,
+) -> DataFrame:
     carried = [c for c in versions.columns if c != key]
     attached = [c for c in carried if c != effective_from and c != effective_to]
     spread = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(_SPREAD))

@@ -90,3 +90,18 @@ def test_coalesced_versions_give_the_same_days(spark):
     assert joined.count() == len(used) - sum(meets) < len(used) - 20
     # Nothing more can be joined.
     assert rows(coalesced(joined, ["subscription_id"], ["customer_id", "plan_id", "status"]).select(joined.columns)) == rows(joined)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_days_with_many_facts_are_merged_in_place_of_them(spark, seed):
+    rng = random.Random(seed)
+    _, versions = tables(rng, 0, 1)
+    facts = [(i, rng.choice(["a", "a", "b", "none", None]), FIRST + timedelta(rng.randrange(40)) if rng.random() < 0.97 else None) for i in range(2_000)]
+    f = spark.createDataFrame(facts, "id int, k string, dt date")
+    v = spark.createDataFrame(versions, "k string, f date, t date, v string")
+    joined = asof_join(f, v, "k", "dt", "f", "t", ["id"], rows_per_stretch=50)
+    assert joined.columns == ["id", "k", "dt", "v"]
+    assert sorted((tuple(r) for r in joined.collect()), key=str) == brute(facts, versions)
+    # The facts are neither shuffled nor sorted.
+    left = plan_text(joined).split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in left and "Sort" not in left and "Exchange" not in left
