@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tenure.contracts import FACT_DAILY, KPI_DAILY
 from tenure.operators.ranges import fits_broadcast, measured_bytes, overlapping_ranges
 from tenure.operators.spine import rejected_windows
-from tenure.plans.fact import attach_plan, daily_partitions, date_spine, fact_daily, plan_timeline
+from tenure.plans.fact import attach_plan, cut_by_month, daily_partitions, date_spine, fact_daily, plan_timeline
 from tenure.plans.kpi import kpi_daily, kpi_daily_changepoints, kpi_deltas, kpi_snapshot
 from tests import brute
 from tests.conftest import day, money, plan_text, rows
@@ -313,4 +313,11 @@ def test_days_placed_by_month_before_they_are_made(spark, frame):
     assert placed.where("dt_month <> date_format(dt, 'yyyy-MM')").count() == 0
     # Windows are shuffled, not days.
     plan = plan_text(placed)
-    assert plan.index("sequence(first_day") < plan.index("Exchange") and "rangepartitioning(dt_month" in plan
+    assert plan.index("sequence(first_day") < plan.index("Exchange")
+    windows = frame([("s1", day("2024-11-15"), day("2025-02-03")), ("s2", day("2025-01-31"), day("2025-01-31"))], "subscription_id string, first_day date, last_day date")
+    cut = cut_by_month(windows, rows_per_task=20)
+    assert "rangepartitioning(dt_month" in plan_text(cut)
+    assert rows(cut, "subscription_id", "first_day") == [
+        ("s1", day("2024-11-15"), day("2024-11-30"), "2024-11"), ("s1", day("2024-12-01"), day("2024-12-31"), "2024-12"),
+        ("s1", day("2025-01-01"), day("2025-01-31"), "2025-01"), ("s1", day("2025-02-01"), day("2025-02-03"), "2025-02"), ("s2", day("2025-01-31"), day("2025-01-31"), "2025-01"),
+    ]
